@@ -197,3 +197,21 @@ FROM (
     q["adhoc_high_value_top"] = _recent(f"WHERE fraud_reason = '{REASON_HIGH_VALUE}'", "amount", "*")
     q["adhoc_travel_recent"] = _recent(f"WHERE fraud_reason = '{REASON_TRAVEL}'", '"timestamp"', "*")
     return q
+
+
+def closed_window_sql(delay_minutes: int = 15) -> dict[str, str]:
+    """Batch twins of the streaming keys: only windows the watermark closed
+    (window end <= latest event time - delay)."""
+    cut = f"({_ASOF} - INTERVAL {delay_minutes} MINUTE)"
+    it_closed = f"""itc AS (
+  SELECT {_COLS}, '{REASON_TRAVEL}' AS fraud_reason FROM w JOIN fw USING (user_id, ws)
+  WHERE ws + INTERVAL 10 MINUTE <= {cut})"""
+    base = _with(_TX, _HV, _WIN, it_closed)
+    return {
+        "window_location_count": _with(_TX, _WIN) + f"""SELECT user_id, ws AS window_start,
+  ws + INTERVAL 10 MINUTE AS window_end, count(DISTINCT location) AS location_count
+FROM w WHERE ws + INTERVAL 10 MINUTE <= {cut} GROUP BY user_id, ws""",
+        "impossible_travel": base + "SELECT * FROM itc",
+        "fraud_union": base + "SELECT * FROM hv UNION ALL SELECT * FROM itc",
+        "fraud_distinct": base + "SELECT DISTINCT * FROM (SELECT * FROM hv UNION ALL SELECT * FROM itc)",
+    }

@@ -1,9 +1,87 @@
-"""Streaming query registry (filled in by the streaming layer)."""
+"""Streaming query registry.
+
+Each key runs the streaming plan with ``availableNow`` over the whole input
+(the Parquet event table as a file stream, or JSON payload files derived from
+it), writes to a fresh directory below the shared scratch area and returns a
+batch read of what the sink committed.  Only windows closed by the watermark
+are emitted, so the SQL twins are the batch results restricted to windows that
+end at least the watermark delay before the latest event.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripwire.schema import FRAUD_COLUMNS
+from tripwire.session import fresh_path
+from tripwire.sources import json_encode, load_transactions, validated_scan
+from tripwire.sinks.fraud_table import read_fraud_table
+from tripwire.streaming import detect as SD
+from tripwire.streaming.ingest import event_transactions, payload_transactions
+from tripwire.streaming.run import run_available_now, start_fraud_sink, start_validated_sink
+
+
+def _events_path(d: str) -> str:
+    return f"{d.rstrip('/')}/events.parquet"
+
+
+def write_payload_files(spark: SparkSession, d: str) -> str:
+    """JSON payload text files (the topic's wire format) derived from the events."""
+    out = fresh_path(spark, "payloads")
+    json_encode(load_transactions(spark, d)).select("value").write.text(out)
+    return out
+
+
+def _drain(build) -> callable:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        stream = build(event_transactions(spark, _events_path(d)))
+        return spark.read.parquet(run_available_now(stream, spark, "stream"))
+    return run
+
+
+def _ingest(spark: SparkSession, d: str) -> DataFrame:
+    stream = payload_transactions(spark, write_payload_files(spark, d))
+    return spark.read.parquet(run_available_now(stream, spark, "ingest"))
+
+
+def _validated(spark: SparkSession, d: str) -> DataFrame:
+    stream = payload_transactions(spark, write_payload_files(spark, d))
+    out, ckpt = fresh_path(spark, "validated"), fresh_path(spark, "validated-checkpoint")
+    start_validated_sink(stream, out, ckpt, available_now=True).awaitTermination()
+    return validated_scan(spark, out)
+
+
+def _fraud_sink(spark: SparkSession, d: str) -> DataFrame:
+    stream = SD.stream_fraud(event_transactions(spark, _events_path(d)))
+    table, ckpt = fresh_path(spark, "fraud-table"), fresh_path(spark, "fraud-checkpoint")
+    start_fraud_sink(stream, table, ckpt, available_now=True).awaitTermination()
+    return read_fraud_table(spark, table).select(*FRAUD_COLUMNS)
 
 
 def stream_queries():
-    return {}
+    return {
+        "stream_ingest": _ingest,
+        "stream_validated_sink": _validated,
+        "stream_high_value": _drain(SD.stream_high_value),
+        "stream_window_location_count": _drain(SD.stream_window_location_count),
+        "stream_impossible_travel": _drain(SD.stream_impossible_travel),
+        "stream_fraud_union": _drain(SD.stream_fraud),
+        "stream_fraud_sink": _fraud_sink,
+    }
 
 
 def stream_oracles():
-    return {}
+    from tripwire.plans.oracle import closed_window_sql, oracle_queries
+
+    q = oracle_queries()
+    closed = closed_window_sql()
+    return {
+        "stream_ingest": q["event_time_parse"],
+        "stream_validated_sink": q["event_time_parse"],
+        "stream_high_value": q["high_value"],
+        "stream_window_location_count": closed["window_location_count"],
+        "stream_impossible_travel": closed["impossible_travel"],
+        "stream_fraud_union": closed["fraud_union"],
+        "stream_fraud_sink": closed["fraud_distinct"],
+    }
