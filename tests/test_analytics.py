@@ -1,0 +1,103 @@
+"""Report tables: rounding, ties, bins, NULL keys, empty input."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripwire.operators import analytics as A
+from tripwire.schema import FRAUD_EVENT
+
+
+def _fraud(spark, rows):
+    return spark.createDataFrame(rows, FRAUD_EVENT)
+
+
+def test_half_even_rounding(spark):
+    df = spark.createDataFrame([(0.125,), (2.675,), (1.005,), (2.5,), (0.375,)], "x double")
+    got = [r[0] for r in df.select(F.bround("x", 2)).collect()]
+    assert got == [0.12, 2.68, 1.0, 2.5, 0.38]
+
+
+def test_mode_tie_smallest(spark):
+    t = datetime(2024, 1, 1)
+    rows = [("U1", t, c, 1.0, "US", "R") for c in ["b", "a", "a", "b"]]
+    s = A.summary(_fraud(spark, rows)).collect()[0]
+    assert s["most_common_category"] == "a"
+
+
+def test_summary_values(spark):
+    t = datetime(2024, 1, 1, 5)
+    rows = [("U1", t, "A", 10.0, "US", "R1"), ("U2", t, "B", 20.0, "UK", "R1"),
+            ("U1", t, "B", 40.0, "UK", "R2"), ("U3", t, "B", 31.0, "UK", "R2")]
+    s = A.summary(_fraud(spark, rows)).collect()[0].asDict()
+    assert s == {"total_fraud_transactions": 4, "total_fraud_amount": 101.0, "average_fraud_amount": 25.25,
+                 "median_fraud_amount": 25.5, "max_fraud_amount": 40.0, "unique_users_affected": 3,
+                 "most_common_category": "B", "most_common_reason": "R1"}
+
+
+def test_histogram_last_bin_closed(spark):
+    t = datetime(2024, 1, 1)
+    rows = [("U", t, "A", float(v), "US", "R") for v in [0, 1, 2, 39, 40]]
+    h = {r["bin"]: r["fraud_count"] for r in A.amount_histogram(_fraud(spark, rows)).collect()}
+    import numpy as np
+    ref, _ = np.histogram([0, 1, 2, 39, 40], bins=40)
+    assert [h[b] for b in range(1, 41)] == list(ref)
+    assert h[40] == 2
+
+
+def test_histogram_single_value(spark):
+    t = datetime(2024, 1, 1)
+    rows = [("U", t, "A", 7.0, "US", "R")] * 3
+    h = A.amount_histogram(_fraud(spark, rows)).collect()
+    assert [r["fraud_count"] for r in h if r["fraud_count"]] == [3]
+    assert h[0]["bin_start"] == pytest.approx(6.5) and h[-1]["bin_end"] == pytest.approx(7.5)
+
+
+def test_density_integrates_to_one(spark):
+    t = datetime(2024, 1, 1)
+    rows = [("U", t, "A", float(v), "US", "R") for v in [10, 12, 13, 20, 21, 40, 41, 41, 60]]
+    d = A.amount_density(_fraud(spark, rows)).orderBy("point").collect()
+    assert len(d) == 200
+    xs = [r["amount"] for r in d]
+    ys = [r["density"] for r in d]
+    area = sum((xs[i + 1] - xs[i]) * (ys[i] + ys[i + 1]) / 2 for i in range(199))
+    assert 0.5 < area < 1.0      # the grid stops at min and max, the tails are cut
+    import numpy as np
+    vals = np.array([10, 12, 13, 20, 21, 40, 41, 41, 60], dtype=float)
+    bw = vals.std(ddof=1) * len(vals) ** (-0.2)
+    x = xs[57]
+    ref = np.exp(-0.5 * ((x - vals) / bw) ** 2).sum() / (len(vals) * bw * np.sqrt(2 * np.pi))
+    assert ys[57] == pytest.approx(ref, rel=1e-6)
+
+
+def test_null_keys_form_no_group(spark):
+    t = datetime(2024, 1, 1)
+    rows = [("U", t, None, 1.0, None, "R"), ("U", t, "A", 2.0, "US", "R")]
+    f = _fraud(spark, rows)
+    assert [r["merchant_category"] for r in A.by_category(f).collect()] == ["A"]
+    assert [r["location"] for r in A.by_location(f).collect()] == ["US"]
+
+
+def test_empty_input(spark):
+    f = _fraud(spark, [])
+    for fn in (A.by_category, A.by_reason, A.by_location, A.by_hour, A.summary, A.top_categories,
+               A.reason_share, A.timeline_hourly, A.amount_histogram, A.amount_density):
+        assert fn(f).count() == 0, fn.__name__
+
+
+def test_by_hour_and_timeline(spark):
+    rows = [("U", datetime(2024, 1, 1, 5, 10), "A", 1.005, "US", "R"),
+            ("U", datetime(2024, 1, 2, 5, 50), "A", 2.0, "US", "R"),
+            ("U", datetime(2024, 1, 2, 7, 0), "A", 3.0, "US", "R")]
+    f = _fraud(spark, rows)
+    assert [(r["hour"], r["fraud_count"], r["total_amount"]) for r in A.by_hour(f).collect()] == \
+        [(5, 2, 3.01), (7, 1, 3.0)]
+    assert [r["fraud_count"] for r in A.timeline_hourly(f).collect()] == [1, 1, 1]
+
+
+def test_reason_share(spark):
+    t = datetime(2024, 1, 1)
+    rows = [("U", t, "A", 1.0, "US", "R1")] * 3 + [("U", t, "A", 1.0, "US", "R2")] * 5
+    got = {r["fraud_reason"]: r["percentage"] for r in A.reason_share(_fraud(spark, rows)).collect()}
+    assert got == {"R1": 37.5, "R2": 62.5}

@@ -1,0 +1,60 @@
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from tripwire.operators import reconcile as R
+from tripwire.schema import FRAUD_EVENT, TRANSACTION
+
+NOW = datetime(2024, 1, 1, 12, 0)
+
+
+def _tx(spark, rows):
+    return spark.createDataFrame(rows, TRANSACTION)
+
+
+def _fraud(spark, rows):
+    return spark.createDataFrame(rows, FRAUD_EVENT)
+
+
+def test_formulas_and_lookback(spark):
+    validated = _tx(spark, [("U", datetime(2024, 1, 1, 1), "A", 100.0, "US"),
+                            ("U", datetime(2024, 1, 1, 2), "A", 200.5, "US"),
+                            ("U", datetime(2024, 1, 1, 3), "A", None, "US")])
+    fraud = _fraud(spark, [("U", datetime(2024, 1, 1, 6), "A", 6000.0, "US", "R"),      # exactly 6 h: in
+                           ("U", datetime(2024, 1, 1, 5, 59), "A", 7000.0, "US", "R"),  # older: out
+                           ("U", datetime(2024, 1, 1, 13), "A", 10.0, "US", "R")])      # future: in
+    row = R.reconciliation(validated, fraud, as_of=NOW, report_time=F.lit(NOW)).collect()[0].asDict()
+    assert row == {"report_timestamp": NOW, "total_transactions": 5, "validated_transactions": 3,
+                   "fraud_transactions": 2, "fraud_percentage": 40.0, "total_amount": 300.5,
+                   "fraud_amount": 6010.0, "fraud_amount_percentage": round(6010 / 6310.5 * 100, 2)}
+    db = R.recon_table_row(validated, fraud, as_of=NOW, report_time=F.lit(NOW)).collect()[0]
+    assert db["total_amount"] == 6310.5 and db["fraud_count"] == 2 and db["total_transactions"] == 5
+
+
+def test_empty_inputs_give_zeros(spark):
+    row = R.reconciliation(_tx(spark, []), _fraud(spark, []), as_of=NOW,
+                           report_time=F.lit(NOW)).collect()[0]
+    assert (row["total_transactions"], row["total_amount"], row["fraud_percentage"],
+            row["fraud_amount_percentage"]) == (0, 0.0, 0.0, 0.0)
+    v = R.validated_totals(_tx(spark, [])).collect()[0]
+    assert (v["transaction_count"], v["total_amount"]) == (0, 0.0)
+
+
+def test_consistent_counts_each_event_once(spark):
+    t = datetime(2024, 1, 1, 10)
+    tx = _tx(spark, [("U", t, "A", 9000.0, "US"), ("U", t, "A", 5.0, "UK"), ("V", t, "A", 1.0, "US")])
+    fraud = _fraud(spark, [("U", t, "A", 9000.0, "US", "HIGH_VALUE_TRANSACTION")]
+                   + [("U", t, "A", 9000.0, "US", "IMPOSSIBLE_TRAVEL")] * 3
+                   + [("U", t, "A", 5.0, "UK", "IMPOSSIBLE_TRAVEL")] * 3)
+    row = R.reconciliation_consistent(tx, fraud, as_of=NOW, report_time=F.lit(NOW)).collect()[0]
+    assert (row["total_transactions"], row["validated_transactions"], row["fraud_transactions"]) == (3, 1, 2)
+    faithful = R.reconciliation(tx, fraud, as_of=NOW, report_time=F.lit(NOW)).collect()[0]
+    assert faithful["total_transactions"] == 3 + 7
+
+
+def test_patterns_order(spark):
+    t = datetime(2024, 1, 1, 10)
+    fraud = _fraud(spark, [("U", t, "A", 1.0, "US", "R1")] * 2 + [("U", t, "B", 3.0, "US", "R1")] * 3)
+    got = [(r["merchant_category"], r["fraud_count"], r["total_fraud_amount"], r["avg_fraud_amount"])
+           for r in R.fraud_patterns(fraud, as_of=NOW).collect()]
+    assert got == [("B", 3, 9.0, 3.0), ("A", 2, 2.0, 1.0)]

@@ -19,7 +19,15 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.schema import FRAUD_COLUMNS
+from pyspark.sql import types as T
+
+from tripwire.schema import FRAUD_COLUMNS, FRAUD_TABLE
+
+# Stored layout: the fraud table columns plus the two partition columns.
+STORED = T.StructType(FRAUD_TABLE.fields + [
+    T.StructField("batch_id", T.LongType(), True),
+    T.StructField("event_date", T.DateType(), True),
+])
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -30,7 +38,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_fraud_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The stored fraud rows (zero rows when nothing was written yet)."""
+    if not _exists(spark, path):
+        return spark.createDataFrame([], STORED)
+    return spark.read.schema(STORED).parquet(path)
 
 
 @dataclass
@@ -46,7 +57,7 @@ class FraudTableWriter:
                 .dropDuplicates(FRAUD_COLUMNS)
                 .withColumn("event_date", F.to_date("timestamp")))
         if _exists(spark, self.path):
-            seen = (spark.read.parquet(self.path)
+            seen = (read_fraud_table(spark, self.path)
                     .filter(F.col("batch_id") < F.lit(batch_id))
                     .select(*[F.col(c).alias(f"_s_{c}") for c in FRAUD_COLUMNS + ["event_date"]]))
             cond = F.col("event_date") == F.col("_s_event_date")
