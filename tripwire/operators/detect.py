@@ -53,30 +53,61 @@ def _window_locations(nbr: Column, ws: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(inside, lambda e: e["locs"])))
 
 
-def _minute_windows(tx: DataFrame) -> DataFrame:
-    """One row per (user, active minute m) with
+def _window_flag(nbr: Column, ws: Column) -> Column:
+    """True when the window starting at ``ws`` holds two different locations:
+    its smallest location is below its largest."""
+    last = ws + (WINDOW_MINUTES - 1) * MINUTE
+    inside = F.filter(nbr, lambda e: (e["minute"] >= ws) & (e["minute"] <= last))
+    return (F.array_min(F.transform(inside, lambda e: e["lo"]))
+            < F.array_max(F.transform(inside, lambda e: e["hi"])))
 
-    * ``n_flagged``: how many of the ten windows containing m are flagged;
-    * ``reported``: the windows whose first active minute is m, each with its
-      distinct-location count (every non-empty window is reported once).
-    """
+
+_RADIUS = (WINDOW_MINUTES - 1) * MINUTE
+
+
+def _window_starts(m: Column) -> Column:
+    """The ten windows containing minute ``m`` start at ``m-9 .. m``."""
+    return F.sequence(m - _RADIUS, m, F.lit(MINUTE))
+
+
+def _minute_windows(tx: DataFrame) -> DataFrame:
+    """One row per (user, active minute m) with ``reported``: the windows whose
+    first active minute is m, each with its distinct-location count (so every
+    non-empty window is reported exactly once)."""
     per_minute = (_timed(tx)
                   .groupBy("user_id", "_minute")
                   .agg(F.collect_set("location").alias("locs")))
-    radius = (WINDOW_MINUTES - 1) * MINUTE
-    nb = with_neighbours(per_minute, "user_id", "_minute", radius,
+    nb = with_neighbours(per_minute, "user_id", "_minute", _RADIUS,
                          F.struct(F.col("_minute").alias("minute"), F.col("locs")),
                          "_nbr", prev_name="_prev")
     m = F.col("_minute")
-    starts = F.sequence(m - radius, m, F.lit(MINUTE))
-    counted = F.transform(starts, lambda ws: F.struct(
-        ws.alias("ws"), F.size(_window_locations(F.col("_nbr"), ws)).alias("n_loc")))
-    first_active = F.coalesce(F.col("_prev") + MINUTE, m - radius)
-    return nb.select(
-        "user_id", "_minute",
-        F.size(F.filter(counted, lambda w: w["n_loc"] > 1)).alias("n_flagged"),
-        F.filter(counted, lambda w: w["ws"] >= first_active).alias("reported"),
-    )
+    first_active = F.coalesce(F.col("_prev") + MINUTE, m - _RADIUS)
+    reported = F.transform(
+        F.filter(_window_starts(m), lambda ws: ws >= first_active),
+        lambda ws: F.struct(ws.alias("ws"), F.size(_window_locations(F.col("_nbr"), ws)).alias("n_loc")))
+    return nb.select("user_id", "_minute", reported.alias("reported"))
+
+
+def _flagged_minutes(tx: DataFrame) -> DataFrame:
+    """(user, active minute m, n_flagged): how many of the ten windows
+    containing m hold two locations; only minutes with n_flagged > 0.
+
+    Per-minute state is just min/max location (a codegen'd hash aggregate);
+    a minute whose whole +-9 minute neighbourhood has one location is dropped
+    before the per-window test."""
+    per_minute = (_timed(tx)
+                  .groupBy("user_id", "_minute")
+                  .agg(F.min("location").alias("lo"), F.max("location").alias("hi")))
+    nb = with_neighbours(per_minute, "user_id", "_minute", _RADIUS,
+                         F.struct(F.col("_minute").alias("minute"), F.col("lo"), F.col("hi")),
+                         "_nbr")
+    nbr = F.col("_nbr")
+    mixed = (F.array_min(F.transform(nbr, lambda e: e["lo"]))
+             < F.array_max(F.transform(nbr, lambda e: e["hi"])))
+    n_flagged = F.size(F.filter(_window_starts(F.col("_minute")), lambda ws: _window_flag(nbr, ws)))
+    return (nb.filter(mixed)
+            .select("user_id", "_minute", n_flagged.alias("n_flagged"))
+            .filter(F.col("n_flagged") > 0))
 
 
 def window_location_count(tx: DataFrame) -> DataFrame:
@@ -104,9 +135,7 @@ def impossible_travel(tx: DataFrame) -> DataFrame:
     execution turns the join into a broadcast when its measured size allows,
     else it is a sort-merge join on (user, minute) with skew splitting.
     """
-    flagged = (_minute_windows(tx)
-               .filter(F.col("n_flagged") > 0)
-               .select("user_id", "_minute", "n_flagged"))
+    flagged = _flagged_minutes(tx)
     return (_timed(tx)
             .join(flagged, ["user_id", "_minute"])
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("n_flagged"))))
