@@ -83,6 +83,19 @@ def _recent(reason: str | None, order: str, cols: list[str]) -> Query:
     return run
 
 
+def _validated_tree(spark: SparkSession, d: str) -> DataFrame:
+    """Validated records stored as a plain nested directory tree (one
+    sub-directory per event date), read back recursively."""
+    from tripwire.session import fresh_path
+    from tripwire.sources import validated_scan
+
+    root = fresh_path(spark, "validated-tree")
+    tx = _tx(spark, d)
+    (tx.withColumn("event_date", F.to_date("timestamp"))
+     .write.partitionBy("event_date").parquet(root))
+    return validated_scan(spark, root, written_by_stream=False)
+
+
 def _anti(spark: SparkSession, d: str) -> DataFrame:
     tx = _tx(spark, d)
     return D.validated_anti(tx, _fraud(tx))
@@ -110,6 +123,7 @@ def batch_queries() -> dict[str, Query]:
         "json_encode": lambda s, d: json_encode(_tx(s, d)).select("value"),
         "json_decode": _payload_roundtrip,
         "event_time_parse": _parsed_roundtrip,
+        "validated_scan": _validated_tree,
         # detectors
         "high_value": lambda s, d: D.high_value(_tx(s, d)),
         "window_location_count": lambda s, d: D.window_location_count(_tx(s, d)),

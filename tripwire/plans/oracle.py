@@ -89,6 +89,7 @@ def oracle_queries() -> dict[str, str]:
   || ',"location":"' || location || '"}}' AS value FROM tx"""
     q["json_decode"] = _with(_TX) + f"""SELECT user_id, {_ISO} AS "timestamp", merchant_category, amount, location FROM tx"""
     q["event_time_parse"] = _with(_TX) + f"SELECT {_COLS} FROM tx"
+    q["validated_scan"] = q["event_time_parse"]
     q["high_value"] = _with(_TX, _HV) + "SELECT * FROM hv"
     q["window_location_count"] = _with(_TX, _WIN) + """SELECT user_id, ws AS window_start,
   ws + INTERVAL 10 MINUTE AS window_end, count(DISTINCT location) AS location_count
