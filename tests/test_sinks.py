@@ -77,3 +77,18 @@ def test_pipeline_runs_both_queries(spark):
     assert validated_scan(spark, base + "/validated").count() == 3
     got = sorted((r["amount"], r["fraud_reason"]) for r in read_fraud_table(spark, base + "/fraud").collect())
     assert got == [(1.0, "IMPOSSIBLE_TRAVEL"), (9000.0, "HIGH_VALUE_TRANSACTION"), (9000.0, "IMPOSSIBLE_TRAVEL")]
+
+
+def test_jobs_write_all_outputs(spark):
+    from tripwire.plans.jobs import reconciliation_job, report_job
+
+    tx = spark.createDataFrame([("U", NOW, "A", 10.0, "US"), ("U", NOW, "A", 9000.0, "UK")], TRANSACTION)
+    fraud = spark.createDataFrame([("U", NOW, "A", 9000.0, "UK", "HIGH_VALUE_TRANSACTION")], FRAUD_EVENT)
+    d = tempfile.mkdtemp(prefix="jobs-", dir="/tmp")
+    rec = reconciliation_job(spark, tx, fraud, d, NOW, table_path=d + "/recon_table")
+    assert rec["reconciliation"] and rec["fraud_analysis"]
+    row = spark.read.option("header", True).csv(rec["reconciliation"]).first()
+    assert row["total_transactions"] == "3" and row["fraud_transactions"] == "1"
+    rep = report_job(spark, fraud, d, now=NOW)
+    assert all(rep[k] for k in ["fraud_by_category", "fraud_by_reason_formatted", "summary"])
+    assert rep["amount_density"] is None          # one amount: no spread, no curve
