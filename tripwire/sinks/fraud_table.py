@@ -1,13 +1,15 @@
 """Fraud table writer for ``foreachBatch``.
 
-Each micro-batch is written once per ``batch_id`` into its own directory
-(``<table>/batch_id=<n>/event_date=<d>/``) with overwrite, so a batch replayed
-after a failure replaces its earlier attempt instead of appending twice.  Rows
-are de-duplicated within the batch and against rows earlier batches already
+Layout: ``<table>/event_date=<d>/batch_id=<n>/``.  A batch is written with
+dynamic partition overwrite, so a batch replayed after a failure replaces the
+partitions of its earlier attempt instead of appending twice.  Rows are
+de-duplicated within the batch and against rows that earlier batches already
 wrote (the sliding-window detector re-emits an event for every window that
-closes later); the lookup joins on ``event_date`` as well, so only the dates
-present in the batch are read.  Errors propagate: the batch is not committed
-and is retried on restart.
+closes later).  That lookup reads only the event dates present in the batch:
+the batch's distinct dates (a handful of values for a micro-batch) become a
+literal partition filter, so every other date directory is pruned before
+listing its files.  Errors propagate: the batch is not committed and is
+retried on restart.
 
 Optionally the new rows are also appended to a JDBC table.
 """
@@ -25,8 +27,8 @@ from tripwire.schema import FRAUD_COLUMNS, FRAUD_TABLE
 
 # Stored layout: the fraud table columns plus the two partition columns.
 STORED = T.StructType(FRAUD_TABLE.fields + [
-    T.StructField("batch_id", T.LongType(), True),
     T.StructField("event_date", T.DateType(), True),
+    T.StructField("batch_id", T.LongType(), True),
 ])
 
 
@@ -55,21 +57,26 @@ class FraudTableWriter:
         spark = batch.sparkSession
         rows = (batch.select(*FRAUD_COLUMNS)
                 .dropDuplicates(FRAUD_COLUMNS)
-                .withColumn("event_date", F.to_date("timestamp")))
-        if _exists(spark, self.path):
-            seen = (read_fraud_table(spark, self.path)
-                    .filter(F.col("batch_id") < F.lit(batch_id))
-                    .select(*[F.col(c).alias(f"_s_{c}") for c in FRAUD_COLUMNS + ["event_date"]]))
-            cond = F.col("event_date") == F.col("_s_event_date")
-            for c in FRAUD_COLUMNS:
-                cond = cond & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
-            rows = rows.join(seen, cond, "left_anti")
-        out = rows.withColumn("detected_at", F.current_timestamp()).persist()
+                .withColumn("event_date", F.to_date("timestamp"))
+                .persist())
         try:
-            (out.write.mode("overwrite").partitionBy("event_date")
-             .parquet(f"{self.path.rstrip('/')}/batch_id={batch_id}"))
+            new = rows
+            if _exists(spark, self.path):
+                dates = [r[0] for r in rows.select("event_date").distinct().collect()]
+                seen = (read_fraud_table(spark, self.path)
+                        .filter((F.col("batch_id") < F.lit(batch_id)) & F.col("event_date").isin(dates))
+                        .select(*[F.col(c).alias(f"_s_{c}") for c in FRAUD_COLUMNS + ["event_date"]]))
+                cond = F.col("event_date") == F.col("_s_event_date")
+                for c in FRAUD_COLUMNS:
+                    cond = cond & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
+                new = rows.join(seen, cond, "left_anti")
+            out = (new.withColumn("detected_at", F.current_timestamp())
+                   .withColumn("batch_id", F.lit(batch_id).cast("long")))
+            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("event_date", "batch_id").parquet(self.path))
             if self.jdbc_url:
-                (out.drop("event_date").write
+                (spark.read.parquet(self.path).filter(F.col("batch_id") == batch_id)
+                 .drop("event_date", "batch_id").write
                  .jdbc(self.jdbc_url, self.jdbc_table, mode="append", properties=self.jdbc_properties))
         finally:
-            out.unpersist()
+            rows.unpersist()
