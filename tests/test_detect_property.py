@@ -56,6 +56,9 @@ def _run(spark, rows):
     exact = Counter((r["user_id"], r["timestamp"], r["location"]) for r in D.impossible_travel_exact(df).collect())
     counts = {(r["user_id"], r["window_start"]): r["location_count"]
               for r in D.window_location_count(df).collect()}
+    flagged = {(r["user_id"], r["window_start"]): r["location_count"]
+               for r in D.impossible_windows(df).collect()}
+    assert flagged == {k: v for k, v in counts.items() if v > 1}
     return windowed, exact, counts
 
 

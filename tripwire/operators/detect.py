@@ -70,16 +70,20 @@ def _window_starts(m: Column) -> Column:
     return F.sequence(m - _RADIUS, m, F.lit(MINUTE))
 
 
-def _minute_windows(tx: DataFrame) -> DataFrame:
+def _minute_windows(tx: DataFrame, only_mixed: bool = False) -> DataFrame:
     """One row per (user, active minute m) with ``reported``: the windows whose
     first active minute is m, each with its distinct-location count (so every
-    non-empty window is reported exactly once)."""
+    non-empty window is reported exactly once).  ``only_mixed`` drops minutes
+    whose whole +-9 minute neighbourhood has fewer than two locations (none of
+    their windows can have two)."""
     per_minute = (_timed(tx)
                   .groupBy("user_id", "_minute")
                   .agg(F.collect_set("location").alias("locs")))
     nb = with_neighbours(per_minute, "user_id", "_minute", _RADIUS,
                          F.struct(F.col("_minute").alias("minute"), F.col("locs")),
                          "_nbr", prev_name="_prev")
+    if only_mixed:
+        nb = nb.filter(F.size(F.array_distinct(F.flatten(F.transform(F.col("_nbr"), lambda e: e["locs"])))) > 1)
     m = F.col("_minute")
     first_active = F.coalesce(F.col("_prev") + MINUTE, m - _RADIUS)
     reported = F.transform(
@@ -110,10 +114,10 @@ def _flagged_minutes(tx: DataFrame) -> DataFrame:
             .filter(F.col("n_flagged") > 0))
 
 
-def window_location_count(tx: DataFrame) -> DataFrame:
+def window_location_count(tx: DataFrame, only_mixed: bool = False) -> DataFrame:
     """``user_id, window_start, window_end, location_count`` (exact distinct
     count, NULL locations not counted) for every window that holds an event."""
-    w = (_minute_windows(tx)
+    w = (_minute_windows(tx, only_mixed)
          .select("user_id", F.explode("reported").alias("w")))
     return w.select(
         "user_id",
@@ -125,7 +129,7 @@ def window_location_count(tx: DataFrame) -> DataFrame:
 
 def impossible_windows(tx: DataFrame) -> DataFrame:
     """Windows in which the user appears in more than one location."""
-    return window_location_count(tx).filter(F.col("location_count") > 1)
+    return window_location_count(tx, only_mixed=True).filter(F.col("location_count") > 1)
 
 
 def impossible_travel(tx: DataFrame) -> DataFrame:
