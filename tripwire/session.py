@@ -37,6 +37,34 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, executor_cores_total: int,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings sized for the input volume of a cluster run.
+
+    * scan splits of ``target_partition_bytes``;
+    * initial shuffle partitions = input / target, at least 2 x total cores
+      (AQE coalesces small ones and splits skewed ones at run time); the same
+      count is fixed into streaming checkpoints, so choose it before the first
+      streaming run;
+    * skew-join splitting, RocksDB state with bounded memory and changelog
+      checkpointing for the streaming state.
+    """
+    partitions = max(2 * executor_cores_total, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    }
+
+
 def pin_session(spark: SparkSession) -> SparkSession:
     for key, value in _REQUIRED.items():
         if spark.conf.get(key, None) != value:
