@@ -19,7 +19,7 @@ from tripwire.sources import json_encode, load_transactions, validated_scan
 from tripwire.sinks.fraud_table import read_fraud_table
 from tripwire.streaming import detect as SD
 from tripwire.streaming.ingest import event_transactions, payload_transactions
-from tripwire.streaming.run import run_available_now, start_fraud_sink, start_validated_sink
+from tripwire.streaming.run import run_available_now, start_fraud_sink, start_validated_sink, state_partitions
 
 
 def _events_path(d: str) -> str:
@@ -48,14 +48,16 @@ def _ingest(spark: SparkSession, d: str) -> DataFrame:
 def _validated(spark: SparkSession, d: str) -> DataFrame:
     stream = payload_transactions(spark, write_payload_files(spark, d))
     out, ckpt = fresh_path(spark, "validated"), fresh_path(spark, "validated-checkpoint")
-    start_validated_sink(stream, out, ckpt, available_now=True).awaitTermination()
+    with state_partitions(spark):
+        start_validated_sink(stream, out, ckpt, available_now=True).awaitTermination()
     return validated_scan(spark, out)
 
 
 def _fraud_sink(spark: SparkSession, d: str) -> DataFrame:
     stream = SD.stream_fraud(event_transactions(spark, _events_path(d)))
     table, ckpt = fresh_path(spark, "fraud-table"), fresh_path(spark, "fraud-checkpoint")
-    start_fraud_sink(stream, table, ckpt, available_now=True).awaitTermination()
+    with state_partitions(spark):
+        start_fraud_sink(stream, table, ckpt, available_now=True).awaitTermination()
     return read_fraud_table(spark, table).select(*FRAUD_COLUMNS)
 
 

@@ -8,6 +8,8 @@ Checkpoints and outputs live below the shared scratch area unless given.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -39,13 +41,30 @@ def start_validated_sink(tx: DataFrame, path: str, checkpoint: str, available_no
     return _trigger(w, available_now, processing_time).start()
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Runs a *new* stateful query with ``n`` state partitions (default: the
+    cluster's parallelism).  The count is fixed into the query's checkpoint at
+    its first batch, so this only matters for fresh checkpoints; the session's
+    own setting is restored afterwards."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_available_now(df: DataFrame, spark: SparkSession, name: str) -> str:
-    """Drain ``df`` into a fresh Parquet directory; returns its path."""
+    """Drain ``df`` into a fresh Parquet directory (fresh checkpoint, state
+    partitions sized to the cluster); returns its path."""
     out, ckpt = fresh_path(spark, name), fresh_path(spark, f"{name}-checkpoint")
-    q = (df.writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", ckpt).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    with state_partitions(spark):
+        q = (df.writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", ckpt).outputMode("append")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
     return out
 
 
