@@ -6,9 +6,9 @@ partitions of its earlier attempt instead of appending twice.  Rows are
 de-duplicated within the batch and against rows that earlier batches already
 wrote (the sliding-window detector re-emits an event for every window that
 closes later).  That lookup reads only the event dates present in the batch:
-the batch's distinct dates (a handful of values for a micro-batch) become a
-literal partition filter, so every other date directory is pruned before
-listing its files.  Errors propagate: the batch is not committed and is
+the batch's distinct dates (a handful of values for a micro-batch) name the
+``event_date=`` directories that are listed and read; the rest of the table
+is never listed.  Errors propagate: the batch is not committed and is
 retried on restart.
 
 Optionally the new rows are also appended to a JDBC table.
@@ -61,10 +61,14 @@ class FraudTableWriter:
                 .persist())
         try:
             new = rows
-            if _exists(spark, self.path):
-                dates = [r[0] for r in rows.select("event_date").distinct().collect()]
-                seen = (read_fraud_table(spark, self.path)
-                        .filter((F.col("batch_id") < F.lit(batch_id)) & F.col("event_date").isin(dates))
+            root = self.path.rstrip("/")
+            dates = [r[0] for r in rows.select("event_date").distinct().collect()] \
+                if _exists(spark, root) else []
+            dirs = [d for d in (f"{root}/event_date={x.isoformat()}" for x in dates if x is not None)
+                    if _exists(spark, d)]
+            if dirs:
+                seen = (spark.read.schema(STORED).option("basePath", root).parquet(*dirs)
+                        .filter(F.col("batch_id") < F.lit(batch_id))
                         .select(*[F.col(c).alias(f"_s_{c}") for c in FRAUD_COLUMNS + ["event_date"]]))
                 cond = F.col("event_date") == F.col("_s_event_date")
                 for c in FRAUD_COLUMNS:
@@ -72,11 +76,13 @@ class FraudTableWriter:
                 new = rows.join(seen, cond, "left_anti")
             out = (new.withColumn("detected_at", F.current_timestamp())
                    .withColumn("batch_id", F.lit(batch_id).cast("long")))
+            if self.jdbc_url:
+                out = out.persist()
             (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("event_date", "batch_id").parquet(self.path))
             if self.jdbc_url:
-                (spark.read.parquet(self.path).filter(F.col("batch_id") == batch_id)
-                 .drop("event_date", "batch_id").write
+                (out.drop("event_date", "batch_id").write
                  .jdbc(self.jdbc_url, self.jdbc_table, mode="append", properties=self.jdbc_properties))
+                out.unpersist()
         finally:
             rows.unpersist()
