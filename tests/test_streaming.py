@@ -114,3 +114,28 @@ def test_stream_equals_batch_on_closed_windows(spark):
     assert stream_rows.count() == batch.count() == 194
     assert stream_rows.exceptAll(batch).count() == 0
     assert cut is not None
+
+
+def test_sink_failure_propagates_and_restart_replays(spark):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    root = tempfile.mkdtemp(prefix="fail-", dir="/tmp")
+    _write_files(root, [[_payload("U", "00:00:10", "US", amount=9000.0), _payload("U", "00:01:00", "UK")],
+                        [_payload("W", "01:00:00", "US")]])
+    table = tempfile.mkdtemp(prefix="fail-table-", dir="/tmp") + "/t"
+    ckpt = tempfile.mkdtemp(prefix="fail-ckpt-", dir="/tmp")
+    good = FraudTableWriter(table)
+
+    def flaky(batch, batch_id):
+        good(batch, batch_id)          # the write happens, then the batch fails
+        raise RuntimeError("sink down")
+
+    with pytest.raises(StreamingQueryException):
+        start_fraud_sink(SD.stream_fraud(_stream(spark, root)), table, ckpt, available_now=True,
+                         writer=flaky).awaitTermination()
+    start_fraud_sink(SD.stream_fraud(_stream(spark, root)), table, ckpt, available_now=True,
+                     writer=good).awaitTermination()
+    got = Counter((r["amount"], r["fraud_reason"]) for r in read_fraud_table(spark, table).collect())
+    assert got == {(9000.0, "HIGH_VALUE_TRANSACTION"): 1, (9000.0, "IMPOSSIBLE_TRAVEL"): 1,
+                   (10.0, "IMPOSSIBLE_TRAVEL"): 1}

@@ -216,8 +216,10 @@ def fraud_distinct(fraud: DataFrame) -> DataFrame:
 
 def validated_anti(tx: DataFrame, fraud: DataFrame) -> DataFrame:
     """Transactions that no detector flagged (NULL-safe match on the 5-tuple;
-    there is no transaction id)."""
-    keys = fraud.select(*[F.col(c).alias(f"_k_{c}") for c in TX_COLUMNS])
+    there is no transaction id).  The fraud side is reduced to distinct keys
+    first: the copies one event gets per flagged window sit in the same map
+    task, so the partial aggregation removes them before the shuffle."""
+    keys = fraud.select(*[F.col(c).alias(f"_k_{c}") for c in TX_COLUMNS]).distinct()
     cond = None
     for c in TX_COLUMNS:
         term = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
