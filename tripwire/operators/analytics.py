@@ -57,21 +57,32 @@ def by_hour(fraud: DataFrame) -> DataFrame:
 def summary(fraud: DataFrame, approx_median: bool = False) -> DataFrame:
     """One row of headline numbers (zero rows on empty input).
 
-    ``median`` is exact by default; its aggregation buffer holds one counter
-    per distinct amount (not per row).  ``approx_median`` switches to the
-    bounded-memory quantile sketch for very high-cardinality amounts.
+    The median is exact and distributed (``quantiles.exact_median``: no task
+    buffers all distinct amounts); ``approx_median`` switches to the
+    ``percentile_approx`` sketch.  ``mode`` buffers one counter per distinct
+    category / reason (a small domain); ties resolve to the smallest value.
     """
-    median = (F.percentile_approx("amount", 0.5) if approx_median else F.median("amount"))
-    return (fraud.agg(
+    from tripwire.operators.quantiles import exact_median
+
+    head = fraud.agg(
         F.count(F.lit(1)).alias("total_fraud_transactions"),
         round2(F.coalesce(money_sum("amount"), F.lit(0.0))).alias("total_fraud_amount"),
         round2(money_avg("amount")).alias("average_fraud_amount"),
-        round2(median).alias("median_fraud_amount"),
         F.max("amount").alias("max_fraud_amount"),
         F.countDistinct("user_id").alias("unique_users_affected"),
         F.mode("merchant_category", True).alias("most_common_category"),
         F.mode("fraud_reason", True).alias("most_common_reason"),
-    ).filter(F.col("total_fraud_transactions") > 0))
+        *([F.percentile_approx("amount", 0.5).alias("_median")] if approx_median else []),
+    ).filter(F.col("total_fraud_transactions") > 0)
+    if approx_median:
+        med = head
+    else:
+        # one row x one row; the median row is absent only when no amount is set
+        med = head.join(F.broadcast(exact_median(fraud, "amount", "_median")), how="left")
+    return med.select(
+        "total_fraud_transactions", "total_fraud_amount", "average_fraud_amount",
+        round2(F.col("_median")).alias("median_fraud_amount"),
+        "max_fraud_amount", "unique_users_affected", "most_common_category", "most_common_reason")
 
 
 def top_categories(fraud: DataFrame, k: int = TOP_CATEGORIES) -> DataFrame:
