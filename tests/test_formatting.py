@@ -1,7 +1,5 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
-
 from tripwire.functions.formatting import axis_currency, format_currency, format_integer, format_report, run_id
 
 
@@ -27,4 +25,3 @@ def test_report_cells(spark):
     assert rows[0].asDict() == {"Index": "GROCERY", "fraud_count": "150", "total_amount": "$12,345.50",
                                 "avg_amount": "$82.30", "unique_users": "57.00"}
     assert rows[1]["fraud_count"] == "7.00"
-    assert F is not None

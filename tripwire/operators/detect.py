@@ -171,7 +171,9 @@ def impossible_travel_exact(tx: DataFrame, gap_seconds: int = TRAVEL_GAP_SECONDS
                                   F.col("tmin"), F.col("tmax")),
                          "_nbr")
     m, loc, nbr = F.col("_minute"), F.col("location"), F.col("_nbr")
-    other = lambda e: e["loc"] != loc
+    def other(e):
+        return e["loc"] != loc
+
     interior = F.exists(nbr, lambda e: other(e) & (e["minute"] >= m - (k - 1) * MINUTE)
                         & (e["minute"] <= m + (k - 1) * MINUTE))
     last_before = F.array_max(F.transform(

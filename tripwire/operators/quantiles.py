@@ -41,7 +41,10 @@ def exact_median(df: DataFrame, value: str | Column, alias: str = "median",
     # 0-based ranks of the middle element(s); a value covers ranks [cum - c, cum)
     lo_rank = F.floor((F.col("_n") - 1) / 2)
     hi_rank = F.ceil((F.col("_n") - 1) / 2)
-    covers = lambda r: (F.col("_cum") - F.col("_c") <= r) & (r < F.col("_cum"))
+
+    def covers(r):
+        return (F.col("_cum") - F.col("_c") <= r) & (r < F.col("_cum"))
+
     middle = ranked.filter(covers(lo_rank) | covers(hi_rank))
     return middle.agg(
         ((F.max(F.when(covers(lo_rank), F.col("_v"))) + F.max(F.when(covers(hi_rank), F.col("_v")))) / 2)

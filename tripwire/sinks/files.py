@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tripwire.functions.formatting import run_id  # noqa: F401  (re-export for callers)
-
 
 def write_csv_report(df: DataFrame, directory: str, name: str, stamp: str,
                      skip_empty: bool = False) -> str | None:

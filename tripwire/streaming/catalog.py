@@ -11,7 +11,6 @@ end at least the watermark delay before the latest event.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripwire.schema import FRAUD_COLUMNS
 from tripwire.session import fresh_path
