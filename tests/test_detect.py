@@ -117,3 +117,13 @@ def test_window_location_count_reports_every_window_once(make_tx):
     # windows of the first two events: starts 23:51 .. 00:03 -> 13 windows; third event: 10 windows
     assert len(got) == 13 + 10
     assert sum(1 for _, n in got if n == 2) == 7      # starts 23:54 .. 00:00
+
+
+def test_detect_all_equals_union(make_tx):
+    tx = make_tx([("U", "00:00:10", "X", 9000.0, "US"), ("U", "00:00:20", "X", 1.0, "UK"),
+                  ("U", "00:00:20", "X", 1.0, "UK"), ("V", "00:03:00", "X", 6000.0, None),
+                  ("W", None, "X", 7000.0, "US"), (None, "00:01:00", "X", 8000.0, "FR"),
+                  ("V", "00:04:00", "X", None, "DE"), ("V", "00:05:00", "X", 2.0, "FR")])
+    fused = Counter(tuple(r) for r in D.detect_all(tx).collect())
+    union = Counter(tuple(r) for r in D.fraud_union(D.high_value(tx), D.impossible_travel(tx)).collect())
+    assert fused == union

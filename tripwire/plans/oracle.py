@@ -103,6 +103,7 @@ FROM w GROUP BY user_id, ws"""
                  RANGE BETWEEN INTERVAL 10 MINUTE PRECEDING AND INTERVAL 10 MINUTE FOLLOWING))
 WHERE lo < hi"""
     q["fraud_union"] = _F + "SELECT * FROM fraud"
+    q["detect_all"] = q["fraud_union"]
     q["fraud_distinct"] = _F + "SELECT DISTINCT * FROM fraud"
     q["validated_anti"] = _F + f"""SELECT {_COLS} FROM tx t WHERE NOT EXISTS (
   SELECT 1 FROM fraud f WHERE f.user_id IS NOT DISTINCT FROM t.user_id
