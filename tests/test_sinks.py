@@ -74,6 +74,7 @@ def test_pipeline_runs_both_queries(spark):
     fq, vq = run_pipeline(spark, payload_transactions(spark, src), base, available_now=True)
     fq.awaitTermination()
     vq.awaitTermination()
+    assert spark.table("fraud_view").isStreaming and spark.table("transactions_view").isStreaming
     assert validated_scan(spark, base + "/validated").count() == 3
     got = sorted((r["amount"], r["fraud_reason"]) for r in read_fraud_table(spark, base + "/fraud").collect())
     assert got == [(1.0, "IMPOSSIBLE_TRAVEL"), (9000.0, "HIGH_VALUE_TRANSACTION"), (9000.0, "IMPOSSIBLE_TRAVEL")]

@@ -70,12 +70,16 @@ def run_available_now(df: DataFrame, spark: SparkSession, name: str) -> str:
 
 def run_pipeline(spark: SparkSession, tx: DataFrame, base: str, available_now: bool = False):
     """The full speed layer: fraud stream -> fraud table, all transactions ->
-    validated files.  Returns both queries (``spark.streams.awaitAnyTermination()``
-    waits for them)."""
+    validated files; both streams are also registered as ``fraud_view`` and
+    ``transactions_view``.  Returns both queries
+    (``spark.streams.awaitAnyTermination()`` waits for them)."""
+    from tripwire.sources.views import register_views
     from tripwire.streaming.detect import stream_fraud
 
     base = base.rstrip("/")
-    fraud_q = start_fraud_sink(stream_fraud(tx), f"{base}/fraud", f"{base}/checkpoints/fraud",
+    fraud = stream_fraud(tx)
+    register_views(fraud, tx)
+    fraud_q = start_fraud_sink(fraud, f"{base}/fraud", f"{base}/checkpoints/fraud",
                                available_now=available_now)
     valid_q = start_validated_sink(tx, f"{base}/validated", f"{base}/checkpoints/validated",
                                    available_now=available_now)
