@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tripwire.sinks.fraud_table import FraudTableWriter, read_fraud_table
 from tripwire.streaming import detect as SD
 from tripwire.streaming.ingest import payload_transactions
-from tripwire.streaming.run import run_available_now, start_fraud_sink
+from tripwire.streaming.run import late_rows_dropped, run_available_now, start_fraud_sink
 from tests.conftest import ts
 
 
@@ -45,6 +45,12 @@ def test_late_data_dropped_by_travel_branch_only(spark):
     out = spark.read.parquet(run_available_now(SD.stream_fraud(_stream(spark, root)), spark, "late"))
     got = Counter((r["user_id"], r["fraud_reason"]) for r in out.collect())
     assert got == {("L", "HIGH_VALUE_TRANSACTION"): 1}
+    # the drop is visible in the query metrics
+    target = tempfile.mkdtemp(prefix="late-out-", dir="/tmp")
+    q = (SD.stream_fraud(_stream(spark, root)).writeStream.format("parquet").option("path", target)
+         .option("checkpointLocation", target + "-ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert late_rows_dropped(q) > 0
 
 
 def test_windows_close_over_several_batches(spark):

@@ -56,6 +56,19 @@ def state_partitions(spark: SparkSession, n: int | None = None):
         spark.conf.set(key, before)
 
 
+def late_rows_dropped(query: StreamingQuery) -> int:
+    """Rows the stateful operators dropped as later than the watermark, over
+    the query's retained progress reports."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for p in query.recentProgress for op in p.get("stateOperators", []))
+
+
+def rows_processed(query: StreamingQuery) -> int:
+    """Input rows over the retained progress reports (the batch count without
+    re-running the batch)."""
+    return sum(p.get("numInputRows", 0) for p in query.recentProgress)
+
+
 def run_available_now(df: DataFrame, spark: SparkSession, name: str) -> str:
     """Drain ``df`` into a fresh Parquet directory (fresh checkpoint, state
     partitions sized to the cluster); returns its path."""
