@@ -8,7 +8,7 @@ header CSV directories named with the run time.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,7 +66,7 @@ def report_job(spark: SparkSession, fraud: DataFrame, reports_dir: str, now: dat
     shared_dir(spark)   # the reliable checkpoint directory must be set
     as_of = as_of_column(now, fraud)
     sliced = fraud_lookback(fraud, hours, as_of=as_of).checkpoint(eager=True)
-    stamp = _stamp(now or datetime.utcnow())
+    stamp = _stamp(now or datetime.now(timezone.utc))
     out: dict[str, str | None] = {}
     for name, (fn, key) in REPORT_TABLES.items():
         table = fn(sliced)
