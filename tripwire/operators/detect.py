@@ -19,13 +19,13 @@ work on per-(user, minute) location sets, never on ten copies of each event.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwire.config import (HIGH_VALUE_THRESHOLD, MICROS_PER_SECOND, REASON_HIGH_VALUE,
                              REASON_TRAVEL, TRAVEL_GAP_SECONDS)
 from tripwire.functions.timecols import MINUTE, micros, minute_of, ts_of
-from tripwire.operators.neighbours import with_neighbours
+from tripwire.operators.neighbours import day_buckets, with_neighbours
 from tripwire.schema import FRAUD_COLUMNS, TX_COLUMNS
 
 WINDOW_MINUTES = 10
@@ -53,15 +53,6 @@ def _window_locations(nbr: Column, ws: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(inside, lambda e: e["locs"])))
 
 
-def _window_flag(nbr: Column, ws: Column) -> Column:
-    """True when the window starting at ``ws`` holds two different locations:
-    its smallest location is below its largest."""
-    last = ws + (WINDOW_MINUTES - 1) * MINUTE
-    inside = F.filter(nbr, lambda e: (e["minute"] >= ws) & (e["minute"] <= last))
-    return (F.array_min(F.transform(inside, lambda e: e["lo"]))
-            < F.array_max(F.transform(inside, lambda e: e["hi"])))
-
-
 _RADIUS = (WINDOW_MINUTES - 1) * MINUTE
 
 
@@ -96,23 +87,27 @@ def _flagged_minutes(tx: DataFrame) -> DataFrame:
     """(user, active minute m, n_flagged): how many of the ten windows
     containing m hold two locations; only minutes with n_flagged > 0.
 
-    Per-minute state is just min/max location (exact; partial aggregation
-    before the shuffle, sort-based because the buffers are strings); a minute
-    whose whole +-9 minute neighbourhood has one location is dropped before
-    the per-window test."""
+    Per-minute state is min/max location (exact; partially aggregated before
+    the shuffle).  The window starting at ``m - k`` covers minutes
+    ``[m - k, m - k + 9]``, i.e. the range frame ``[-k, 9 - k]`` around the
+    current row, so its flag is ``min(lo) < max(hi)`` over that frame: twenty
+    built-in window aggregates, no per-row arrays.
+    """
     per_minute = (_timed(tx)
                   .groupBy("user_id", "_minute")
                   .agg(F.min("location").alias("lo"), F.max("location").alias("hi")))
-    nb = with_neighbours(per_minute, "user_id", "_minute", _RADIUS,
-                         F.struct(F.col("_minute").alias("minute"), F.col("lo"), F.col("hi")),
-                         "_nbr")
-    nbr = F.col("_nbr")
-    mixed = (F.array_min(F.transform(nbr, lambda e: e["lo"]))
-             < F.array_max(F.transform(nbr, lambda e: e["hi"])))
-    n_flagged = F.size(F.filter(_window_starts(F.col("_minute")), lambda ws: _window_flag(nbr, ws)))
-    return (nb.filter(mixed)
-            .select("user_id", "_minute", n_flagged.alias("n_flagged"))
-            .filter(F.col("n_flagged") > 0))
+    spread = day_buckets(per_minute, "_minute", _RADIUS)
+    part = Window.partitionBy("user_id", "_bucket").orderBy("_minute")
+    flags = []
+    for k in range(WINDOW_MINUTES):
+        frame = part.rangeBetween(-k * MINUTE, (WINDOW_MINUTES - 1 - k) * MINUTE)
+        flags.append(F.when(F.min("lo").over(frame) < F.max("hi").over(frame), 1).otherwise(0))
+    n_flagged = flags[0]
+    for f in flags[1:]:
+        n_flagged = n_flagged + f
+    return (spread.select("user_id", "_minute", "_home", n_flagged.alias("n_flagged"))
+            .filter(F.col("_home") & (F.col("n_flagged") > 0))
+            .drop("_home"))
 
 
 def window_location_count(tx: DataFrame, only_mixed: bool = False) -> DataFrame:

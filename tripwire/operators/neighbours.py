@@ -18,14 +18,9 @@ from pyspark.sql import functions as F
 from tripwire.functions.timecols import DAY, floor_to
 
 
-def with_neighbours(rows: DataFrame, user: str, minute: str, radius_us: int,
-                    payload: Column, name: str, prev_name: str | None = None) -> DataFrame:
-    """Adds ``name`` = list of ``payload`` over the user's rows whose ``minute``
-    lies within ``±radius_us`` (inclusive), and optionally ``prev_name`` = the
-    user's previous distinct ``minute`` (NULL when further back than ``radius_us``).
-
-    Only the home copy of each input row is returned.
-    """
+def day_buckets(rows: DataFrame, minute: str, radius_us: int) -> DataFrame:
+    """Adds ``_bucket`` (the day) and ``_home``; rows within ``radius_us`` of
+    a day boundary get a read-only copy in the neighbouring day."""
     m = F.col(minute)
     day = floor_to(m, DAY)
     offset = m - day
@@ -39,10 +34,22 @@ def with_neighbours(rows: DataFrame, user: str, minute: str, radius_us: int,
         ),
         lambda c: c["keep"],
     )
-    spread = (rows.withColumn("_copy", F.explode(copies))
-              .withColumn("_bucket", F.col("_copy.bucket"))
-              .withColumn("_home", F.col("_copy.home"))
-              .drop("_copy"))
+    return (rows.withColumn("_copy", F.explode(copies))
+            .withColumn("_bucket", F.col("_copy.bucket"))
+            .withColumn("_home", F.col("_copy.home"))
+            .drop("_copy"))
+
+
+def with_neighbours(rows: DataFrame, user: str, minute: str, radius_us: int,
+                    payload: Column, name: str, prev_name: str | None = None) -> DataFrame:
+    """Adds ``name`` = list of ``payload`` over the user's rows whose ``minute``
+    lies within ``±radius_us`` (inclusive), and optionally ``prev_name`` = the
+    user's previous distinct ``minute`` (NULL when further back than ``radius_us``).
+
+    Only the home copy of each input row is returned.
+    """
+    m = F.col(minute)
+    spread = day_buckets(rows, minute, radius_us)
     part = Window.partitionBy(user, "_bucket").orderBy(minute)
     out = spread.withColumn(name, F.collect_list(payload).over(part.rangeBetween(-radius_us, radius_us)))
     if prev_name is not None:
