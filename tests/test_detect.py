@@ -127,3 +127,23 @@ def test_detect_all_equals_union(make_tx):
     fused = Counter(tuple(r) for r in D.detect_all(tx).collect())
     union = Counter(tuple(r) for r in D.fraud_union(D.high_value(tx), D.impossible_travel(tx)).collect())
     assert fused == union
+
+
+def test_exact_edge_minute_uses_other_locations_time(make_tx):
+    # event at 00:10:30 US; minute 00:00 holds US (latest, same country) and UK
+    tx = make_tx([("A", "00:10:30", "X", 1.0, "US"), ("A", "00:00:50", "X", 1.0, "US"),
+                  ("A", "00:00:20", "X", 1.0, "UK"),                       # 10m10s before: out
+                  ("B", "00:10:30", "X", 1.0, "US"), ("B", "00:00:50", "X", 1.0, "US"),
+                  ("B", "00:00:40", "X", 1.0, "UK"),                       # 9m50s before: in
+                  # mirror image on the late side: minute 00:20 holds US (earliest) and UK
+                  ("C", "00:10:30", "X", 1.0, "US"), ("C", "00:20:10", "X", 1.0, "US"),
+                  ("C", "00:20:40", "X", 1.0, "UK"),                       # 10m10s after: out
+                  ("D", "00:10:30", "X", 1.0, "US"), ("D", "00:20:10", "X", 1.0, "US"),
+                  ("D", "00:20:20", "X", 1.0, "UK")])                      # 9m50s after: in
+    got = sorted((r["user_id"], r["timestamp"]) for r in D.impossible_travel_exact(tx).collect())
+    # the two edge-minute events flag each other in every case; the central
+    # event only when the other country's time is within ten minutes
+    assert got == [("A", ts("00:00:20")), ("A", ts("00:00:50")),
+                   ("B", ts("00:00:40")), ("B", ts("00:00:50")), ("B", ts("00:10:30")),
+                   ("C", ts("00:20:10")), ("C", ts("00:20:40")),
+                   ("D", ts("00:10:30")), ("D", ts("00:20:10")), ("D", ts("00:20:20"))]

@@ -150,38 +150,51 @@ def impossible_travel_exact(tx: DataFrame, gap_seconds: int = TRAVEL_GAP_SECONDS
     """Events having another event of the same user, in a different (non-NULL)
     location, with ``|t - t'| <= gap``.  One row per qualifying event.
 
-    Works on per-(user, minute, location) first/last times: minutes fully
-    inside ``[t - gap, t + gap]`` decide by location alone, the two edge
-    minutes by the latest / earliest time of each other location.
+    Works on per-(user, minute, location) first/last times.  For an event in
+    minute m, the minutes m-9 .. m+9 lie wholly inside ``[t - gap, t + gap]``
+    and decide by location alone (``min/max(location)`` over that range);
+    minute m-10 counts if another location's *latest* time there is
+    ``>= t - gap``, minute m+10 if another location's *earliest* time is
+    ``<= t + gap``.  For those two minutes each minute carries its latest
+    (earliest) location and time plus the runner-up time of any other
+    location, read through single-minute range frames.  All built-in window
+    aggregates; no pairs are formed.
     """
     gap = gap_seconds * MICROS_PER_SECOND
     if gap % MINUTE:
         raise ValueError("gap must be a whole number of minutes")
-    k = gap // MINUTE
+    inner = gap - MINUTE
     ev = (_timed(tx).filter(F.col("location").isNotNull())
           .withColumn("_us", micros(F.col("timestamp"))))
     per_loc = (ev.groupBy("user_id", "_minute", "location")
                .agg(F.min("_us").alias("tmin"), F.max("_us").alias("tmax")))
-    nb = with_neighbours(per_loc, "user_id", "_minute", gap,
-                         F.struct(F.col("_minute").alias("minute"), F.col("location").alias("loc"),
-                                  F.col("tmin"), F.col("tmax")),
-                         "_nbr")
-    m, loc, nbr = F.col("_minute"), F.col("location"), F.col("_nbr")
-    def other(e):
-        return e["loc"] != loc
-
-    interior = F.exists(nbr, lambda e: other(e) & (e["minute"] >= m - (k - 1) * MINUTE)
-                        & (e["minute"] <= m + (k - 1) * MINUTE))
-    last_before = F.array_max(F.transform(
-        F.filter(nbr, lambda e: other(e) & (e["minute"] == m - gap)), lambda e: e["tmax"]))
-    first_after = F.array_min(F.transform(
-        F.filter(nbr, lambda e: other(e) & (e["minute"] == m + gap)), lambda e: e["tmin"]))
-    flags = (nb.select("user_id", "_minute", "location",
-                       interior.alias("_inside"),
-                       last_before.alias("_last_before"),
-                       first_after.alias("_first_after"))
-             .filter(F.col("_inside") | F.col("_last_before").isNotNull()
-                     | F.col("_first_after").isNotNull()))
+    spread = day_buckets(per_loc, "_minute", gap)
+    minute_part = Window.partitionBy("user_id", "_bucket", "_minute")
+    loc = F.col("location")
+    spread = (spread
+              .withColumn("_last_loc", F.max_by("location", "tmax").over(minute_part))
+              .withColumn("_last_t", F.max("tmax").over(minute_part))
+              .withColumn("_first_loc", F.min_by("location", "tmin").over(minute_part))
+              .withColumn("_first_t", F.min("tmin").over(minute_part)))
+    spread = (spread
+              .withColumn("_last_t2", F.max(F.when(loc != F.col("_last_loc"), F.col("tmax"))).over(minute_part))
+              .withColumn("_first_t2", F.min(F.when(loc != F.col("_first_loc"), F.col("tmin"))).over(minute_part)))
+    part = Window.partitionBy("user_id", "_bucket").orderBy("_minute")
+    inside = part.rangeBetween(-inner, inner)
+    before = part.rangeBetween(-gap, -gap)
+    after = part.rangeBetween(gap, gap)
+    last_before = F.when(F.max("_last_loc").over(before) != loc, F.max("_last_t").over(before)) \
+        .otherwise(F.max("_last_t2").over(before))
+    first_after = F.when(F.max("_first_loc").over(after) != loc, F.max("_first_t").over(after)) \
+        .otherwise(F.max("_first_t2").over(after))
+    flags = (spread.select(
+        "user_id", "_minute", "location", "_home",
+        ((F.min("location").over(inside) < loc) | (F.max("location").over(inside) > loc)).alias("_inside"),
+        last_before.alias("_last_before"),
+        first_after.alias("_first_after"))
+        .filter(F.col("_home") & (F.col("_inside") | F.col("_last_before").isNotNull()
+                                  | F.col("_first_after").isNotNull()))
+        .drop("_home"))
     us = F.col("_us")
     return (ev.join(flags, ["user_id", "_minute", "location"])
             .filter(F.col("_inside")
