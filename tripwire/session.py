@@ -81,7 +81,13 @@ def shared_dir(spark: SparkSession) -> str:
     Read from the session's ``spark.checkpoint.dir``; only when the session has
     none (local tests) is a local directory created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("spark.checkpoint.dir must name a shared directory") from None
+        return root
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tripwire-ckpt-"))
@@ -89,6 +95,15 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Total task slots of the cluster (falls back to the shuffle partition
+    setting where the SparkContext is not reachable)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused directory path below the shared scratch area."""
     root = shared_dir(spark).rstrip("/")

@@ -13,7 +13,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tripwire.session import fresh_path
+from tripwire.session import fresh_path, parallelism
 from tripwire.sinks.fraud_table import FraudTableWriter
 
 
@@ -49,7 +49,7 @@ def state_partitions(spark: SparkSession, n: int | None = None):
     own setting is restored afterwards."""
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(n or spark.sparkContext.defaultParallelism))
+    spark.conf.set(key, str(n or parallelism(spark)))
     try:
         yield
     finally:
