@@ -29,7 +29,6 @@ from tripwire.operators.neighbours import with_neighbours
 from tripwire.schema import FRAUD_COLUMNS, TX_COLUMNS
 
 WINDOW_MINUTES = 10
-GAP_US = TRAVEL_GAP_SECONDS * MICROS_PER_SECOND
 
 
 def high_value(tx: DataFrame, threshold: float = HIGH_VALUE_THRESHOLD) -> DataFrame:
@@ -172,6 +171,7 @@ def impossible_travel_exact(tx: DataFrame, gap_seconds: int = TRAVEL_GAP_SECONDS
                                   F.col("tmin"), F.col("tmax")),
                          "_nbr")
     m, loc, nbr = F.col("_minute"), F.col("location"), F.col("_nbr")
+
     def other(e):
         return e["loc"] != loc
 
@@ -208,7 +208,7 @@ def fraud_union(*detected: DataFrame) -> DataFrame:
 
 
 def detect_all(tx: DataFrame, threshold: float = HIGH_VALUE_THRESHOLD, exact: bool = False) -> DataFrame:
-    """Both detectors in one pass over the events: equal, as a multiset, to
+    """Both detectors together: equal, as a multiset, to
     ``fraud_union(high_value(tx), impossible_travel(tx))``.
 
     The events are scanned once for the flag aggregation and once for a left

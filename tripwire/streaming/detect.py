@@ -3,12 +3,14 @@
 * high value: stateless filter, no watermark, never drops late rows;
 * sliding-window location count: windowed aggregate, a window is emitted once
   the watermark passes its end;
-* impossible travel: flagged windows joined back to the events of the window
-  with an *equi-join on (user, window)*.  A range join on projected window
-  bounds would keep join state forever; the window struct carries the
-  watermark, so both join sides are evicted once a window is closed.  Event
-  time travels through the join as ``unix_micros`` so the join output has a
-  single event-time column, and is restored afterwards.
+* impossible travel: flagged windows joined back to their events with an
+  *equi-join on (user, window-typed key)*.  A range join on projected window
+  bounds would keep join state forever; a key derived from the watermarked
+  event time lets the watermark evict both join sides once no open window can
+  match.  The event side holds each event once (see
+  ``stream_impossible_travel``).  Event time travels through the join as
+  ``unix_micros`` so the join output has a single event-time column, and is
+  restored afterwards.
 """
 
 from __future__ import annotations
