@@ -11,6 +11,8 @@ SF = "/root/testdata/sf0.001"
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                 "PythonUDF", "MapInArrow", "AggregateInPandas", "WindowInPandas")
 WRITES = {"validated_scan"}      # writes its input tree first
+# a window spec whose first element is the frame or an ordering: no partition keys
+GLOBAL_WINDOW = re.compile(r"windowspecdefinition\((specifiedwindowframe|[^,()]+ (ASC|DESC))")
 
 
 def _plan(df) -> str:
@@ -29,6 +31,11 @@ def test_plan_is_jvm_only(spark, name):
     if "BroadcastNestedLoopJoin" in plan:
         assert name in {"reconciliation", "recon_table_row", "reconciliation_consistent",
                         "reason_share", "amount_histogram", "amount_density", "summary"}, name
+    # no window without partition keys (one task over all rows), except the
+    # median's prefix sum over its bucket totals (one row per bucket)
+    for line in plan.splitlines():
+        if "Window [" in line and GLOBAL_WINDOW.search(line):
+            assert name == "summary" and "_pc" in line, f"{name}: {line.strip()[:200]}"
 
 
 def test_scans_are_pruned(spark):
