@@ -145,3 +145,15 @@ def test_sink_failure_propagates_and_restart_replays(spark):
     got = Counter((r["amount"], r["fraud_reason"]) for r in read_fraud_table(spark, table).collect())
     assert got == {(9000.0, "HIGH_VALUE_TRANSACTION"): 1, (9000.0, "IMPOSSIBLE_TRAVEL"): 1,
                    (10.0, "IMPOSSIBLE_TRAVEL"): 1}
+
+
+def test_hll_window_count_equals_exact_on_country_codes(spark):
+    from tripwire.streaming.ingest import event_transactions
+
+    d = "/root/testdata/sf0.001/events.parquet"
+    exact = spark.read.parquet(run_available_now(
+        SD.stream_window_location_count(event_transactions(spark, d)), spark, "hll-exact"))
+    approx = spark.read.parquet(run_available_now(
+        SD.stream_window_location_count(event_transactions(spark, d), approx=True), spark, "hll-approx"))
+    assert exact.count() > 0
+    assert exact.exceptAll(approx).count() == 0 and approx.exceptAll(exact).count() == 0
