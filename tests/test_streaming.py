@@ -201,3 +201,21 @@ def glob_one(directory):
     import glob as _glob
     (path,) = _glob.glob(os.path.join(directory, "part-*.parquet"))
     return path
+
+
+def test_fraud_writer_quarantines_constraint_violations(spark):
+    from tripwire.schema import FRAUD_EVENT
+    from datetime import datetime
+
+    t = datetime(2024, 1, 1)
+    batch = spark.createDataFrame([("U", t, "A", 9000.0, "US", "HIGH_VALUE_TRANSACTION"),
+                                   ("U", t, "A", 9500.0, None, "HIGH_VALUE_TRANSACTION"),
+                                   ("U" * 60, t, "A", 9900.0, "US", "HIGH_VALUE_TRANSACTION")], FRAUD_EVENT)
+    root = tempfile.mkdtemp(prefix="quar-", dir="/tmp")
+    writer = FraudTableWriter(root + "/table", quarantine_path=root + "/quarantine")
+    writer(batch, 0)
+    writer(batch, 0)      # replay
+    assert [r["amount"] for r in read_fraud_table(spark, root + "/table").collect()] == [9000.0]
+    bad = spark.read.parquet(root + "/quarantine").collect()
+    assert sorted((r["amount"], tuple(r["violations"])) for r in bad) == [
+        (9500.0, ("location IS NULL",)), (9900.0, ("user_id LONGER THAN 50",))]

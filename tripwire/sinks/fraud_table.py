@@ -11,7 +11,9 @@ the batch's distinct dates (a handful of values for a micro-batch) name the
 is never listed.  Errors propagate: the batch is not committed and is
 retried on restart.
 
-Optionally the new rows are also appended to a JDBC table.
+Optionally the new rows are also appended to a JDBC table, and rows that
+break the table's constraints (NOT NULL, maximum lengths) are written to a
+quarantine directory with their violations instead of failing the batch.
 """
 
 from __future__ import annotations
@@ -52,6 +54,7 @@ class FraudTableWriter:
     jdbc_url: str | None = None
     jdbc_table: str = "fraud_transactions"
     jdbc_properties: dict = field(default_factory=dict)
+    quarantine_path: str | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -59,6 +62,7 @@ class FraudTableWriter:
                 .dropDuplicates(FRAUD_COLUMNS)
                 .withColumn("event_date", F.to_date("timestamp"))
                 .persist())
+        cached = [rows]
         try:
             new = rows
             root = self.path.rstrip("/")
@@ -76,13 +80,22 @@ class FraudTableWriter:
                 new = rows.join(seen, cond, "left_anti")
             out = (new.withColumn("detected_at", F.current_timestamp())
                    .withColumn("batch_id", F.lit(batch_id).cast("long")))
+            if self.quarantine_path:
+                from tripwire.operators.quality import constraint_violations
+
+                checked = constraint_violations(out).persist()
+                cached.append(checked)
+                (checked.filter(F.size("violations") > 0).write.mode("overwrite")
+                 .parquet(f"{self.quarantine_path.rstrip('/')}/batch_id={batch_id}"))
+                out = checked.filter(F.size("violations") == 0).drop("violations")
             if self.jdbc_url:
                 out = out.persist()
+                cached.append(out)
             (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("event_date", "batch_id").parquet(self.path))
             if self.jdbc_url:
                 (out.drop("event_date", "batch_id").write
                  .jdbc(self.jdbc_url, self.jdbc_table, mode="append", properties=self.jdbc_properties))
-                out.unpersist()
         finally:
-            rows.unpersist()
+            for df in cached:
+                df.unpersist()

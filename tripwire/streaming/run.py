@@ -83,7 +83,8 @@ def run_available_now(df: DataFrame, spark: SparkSession, name: str) -> str:
 
 def run_pipeline(spark: SparkSession, tx: DataFrame, base: str, available_now: bool = False):
     """The full speed layer: fraud stream -> fraud table, all transactions ->
-    validated files; both streams are also registered as ``fraud_view`` and
+    validated files (rows breaking the fraud table's constraints go to
+    ``fraud_quarantine/``); both streams are also registered as ``fraud_view`` and
     ``transactions_view``.  Returns both queries
     (``spark.streams.awaitAnyTermination()`` waits for them)."""
     from tripwire.sources.views import register_views
@@ -92,8 +93,9 @@ def run_pipeline(spark: SparkSession, tx: DataFrame, base: str, available_now: b
     base = base.rstrip("/")
     fraud = stream_fraud(tx)
     register_views(fraud, tx)
+    writer = FraudTableWriter(f"{base}/fraud", quarantine_path=f"{base}/fraud_quarantine")
     fraud_q = start_fraud_sink(fraud, f"{base}/fraud", f"{base}/checkpoints/fraud",
-                               available_now=available_now)
+                               available_now=available_now, writer=writer)
     valid_q = start_validated_sink(tx, f"{base}/validated", f"{base}/checkpoints/validated",
                                    available_now=available_now)
     return fraud_q, valid_q
