@@ -44,3 +44,20 @@ def test_scans_are_pruned(spark):
     assert schemas and all("event_id" not in s for s in schemas)
     plan = _plan(batch_queries()["validated_totals"](spark, SF))
     assert "props" not in "".join(re.findall(r"struct<[^>]*>", plan))
+
+
+def test_checked_broadcast_switches_on_size(spark):
+    from tripwire.operators.sizing import checked_broadcast
+
+    df = spark.range(100).withColumnRenamed("id", "k")
+    big = spark.range(10_000).withColumnRenamed("id", "k")
+    small_plan = big.join(checked_broadcast(df, max_rows=1000), "k")._jdf.queryExecution().executedPlan().toString()
+    large_plan = big.join(checked_broadcast(df, max_rows=10), "k")
+    assert "BroadcastHashJoin" in small_plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = large_plan._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert large_plan.count() == 100

@@ -26,6 +26,7 @@ from tripwire.config import (HIGH_VALUE_THRESHOLD, MICROS_PER_SECOND, REASON_HIG
                              REASON_TRAVEL, TRAVEL_GAP_SECONDS)
 from tripwire.functions.timecols import MINUTE, micros, minute_of, ts_of
 from tripwire.operators.neighbours import with_neighbours
+from tripwire.operators.sizing import checked_broadcast
 from tripwire.schema import FRAUD_COLUMNS, TX_COLUMNS
 
 WINDOW_MINUTES = 10
@@ -135,11 +136,12 @@ def impossible_windows(tx: DataFrame) -> DataFrame:
 def impossible_travel(tx: DataFrame) -> DataFrame:
     """Each event once per flagged window that contains it.
 
-    The flagged (user, minute) table is small next to the events; adaptive
-    execution turns the join into a broadcast when its measured size allows,
-    else it is a sort-merge join on (user, minute) with skew splitting.
+    The flagged (user, minute) table is usually small next to the events: it
+    is materialised and broadcast when its row count allows, so the events are
+    never shuffled for the join; else it is a sort-merge join on (user, minute)
+    with skew splitting.
     """
-    flagged = _flagged_minutes(tx)
+    flagged = checked_broadcast(_flagged_minutes(tx))
     return (_timed(tx)
             .join(flagged, ["user_id", "_minute"])
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("n_flagged"))))
@@ -218,7 +220,7 @@ def detect_all(tx: DataFrame, threshold: float = HIGH_VALUE_THRESHOLD, exact: bo
     """
     if exact:
         return fraud_union(high_value(tx, threshold), impossible_travel_exact(tx))
-    flagged = _flagged_minutes(tx)
+    flagged = checked_broadcast(_flagged_minutes(tx))
     ev = tx.withColumn("_minute", minute_of(F.col("timestamp")))
     reasons = F.concat(
         F.when(F.col("amount") > F.lit(threshold), F.array(F.lit(REASON_HIGH_VALUE)))
@@ -238,7 +240,7 @@ def validated_anti(tx: DataFrame, fraud: DataFrame) -> DataFrame:
     there is no transaction id).  The fraud side is reduced to distinct keys
     first: the copies one event gets per flagged window sit in the same map
     task, so the partial aggregation removes them before the shuffle."""
-    keys = fraud.select(*[F.col(c).alias(f"_k_{c}") for c in TX_COLUMNS]).distinct()
+    keys = checked_broadcast(fraud.select(*[F.col(c).alias(f"_k_{c}") for c in TX_COLUMNS]).distinct())
     cond = None
     for c in TX_COLUMNS:
         term = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
