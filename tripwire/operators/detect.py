@@ -183,12 +183,13 @@ def impossible_travel_exact(tx: DataFrame, gap_seconds: int = TRAVEL_GAP_SECONDS
         F.filter(nbr, lambda e: other(e) & (e["minute"] == m - gap)), lambda e: e["tmax"]))
     first_after = F.array_min(F.transform(
         F.filter(nbr, lambda e: other(e) & (e["minute"] == m + gap)), lambda e: e["tmin"]))
-    flags = (nb.select("user_id", "_minute", "location",
-                       interior.alias("_inside"),
-                       last_before.alias("_last_before"),
-                       first_after.alias("_first_after"))
-             .filter(F.col("_inside") | F.col("_last_before").isNotNull()
-                     | F.col("_first_after").isNotNull()))
+    flags = checked_broadcast(
+        nb.select("user_id", "_minute", "location",
+                  interior.alias("_inside"),
+                  last_before.alias("_last_before"),
+                  first_after.alias("_first_after"))
+        .filter(F.col("_inside") | F.col("_last_before").isNotNull()
+                | F.col("_first_after").isNotNull()))
     us = F.col("_us")
     return (ev.join(flags, ["user_id", "_minute", "location"])
             .filter(F.col("_inside")

@@ -30,10 +30,15 @@ def _threshold_bytes(df: DataFrame) -> int:
     return int(raw)
 
 
+def broadcast_row_limit(df: DataFrame) -> int:
+    """Rows of a narrow table that fit the session's broadcast threshold."""
+    return max(0, _threshold_bytes(df)) // ROW_BYTES
+
+
 def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``df`` materialised, wrapped in ``broadcast`` when it has at most
     ``max_rows`` rows (default: the session's broadcast threshold / 64 B)."""
-    limit = max_rows if max_rows is not None else max(0, _threshold_bytes(df)) // ROW_BYTES
+    limit = max_rows if max_rows is not None else broadcast_row_limit(df)
     shared_dir(df.sparkSession)          # the reliable checkpoint directory must exist
     small = df.checkpoint(eager=True)
     return F.broadcast(small) if small.count() <= limit else small

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
+from tripwire.operators.sizing import broadcast_row_limit
 from tripwire.schema import FRAUD_COLUMNS, FRAUD_TABLE
 
 # Stored layout: the fraud table columns plus the two partition columns.
@@ -77,7 +78,13 @@ class FraudTableWriter:
                 cond = F.col("event_date") == F.col("_s_event_date")
                 for c in FRAUD_COLUMNS:
                     cond = cond & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
-                new = rows.join(seen, cond, "left_anti")
+                if rows.count() <= broadcast_row_limit(rows):
+                    # small batch: find the already-stored rows with the batch broadcast
+                    # (stored rows are scanned, not shuffled), then drop them
+                    dups = seen.join(F.broadcast(rows), cond, "left_semi")
+                    new = rows.join(F.broadcast(dups), cond, "left_anti")
+                else:
+                    new = rows.join(seen, cond, "left_anti")
             out = (new.withColumn("detected_at", F.current_timestamp())
                    .withColumn("batch_id", F.lit(batch_id).cast("long")))
             if self.quarantine_path:
