@@ -101,3 +101,10 @@ def test_reason_share(spark):
     rows = [("U", t, "A", 1.0, "US", "R1")] * 3 + [("U", t, "A", 1.0, "US", "R2")] * 5
     got = {r["fraud_reason"]: r["percentage"] for r in A.reason_share(_fraud(spark, rows)).collect()}
     assert got == {"R1": 37.5, "R2": 62.5}
+
+
+def test_garbage_amount_does_not_fail_sums(spark):
+    t = datetime(2024, 1, 1)
+    rows = [("U", t, "A", 10.0, "US", "R"), ("U", t, "A", 1e300, "US", "R")]
+    got = A.by_category(_fraud(spark, rows)).collect()[0]
+    assert got["total_amount"] == 10.0 and got["fraud_count"] == 2

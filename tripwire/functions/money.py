@@ -2,7 +2,9 @@
 
 Amounts are doubles on the wire.  Sums go through ``decimal(18,2)`` so they are
 exact and independent of row order (floating sums are not); averages are the
-exact sum divided by the count.  Report rounding is half-even (``bround``), the
+exact sum divided by the count.  An amount outside the decimal's range (a
+garbage value of 1e16 or more) becomes NULL and is skipped instead of failing
+the job under ANSI mode.  Report rounding is half-even (``bround``), the
 rounding of the numeric library the report tables were made with.
 """
 
@@ -16,7 +18,7 @@ MONEY = "decimal(18,2)"
 
 def money_sum(c: Column | str) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast(MONEY)).cast("double")
+    return F.sum(col.try_cast(MONEY)).cast("double")
 
 
 def money_sum0(c: Column | str) -> Column:
