@@ -21,7 +21,7 @@ from tripwire.session import pin_session
 
 
 def _country(props: Column) -> Column:
-    k = F.get_json_object(props, "$.k").cast("int")
+    k = F.get_json_object(props, "$.k").try_cast("int")
     codes = F.array(*[F.lit(c) for c in COUNTRIES])
     return F.element_at(codes, F.pmod(k, F.lit(len(COUNTRIES))) + 1)
 
