@@ -23,7 +23,10 @@ from tripwire.session import pin_session
 def _country(props: Column) -> Column:
     k = F.get_json_object(props, "$.k").try_cast("int")
     codes = F.array(*[F.lit(c) for c in COUNTRIES])
-    return F.element_at(codes, F.pmod(k, F.lit(len(COUNTRIES))) + 1)
+    # explicit NULL guard: a literal-array lookup with an index known to be in
+    # range can be rewritten by the optimizer so that a NULL index hits the
+    # last element
+    return F.when(k.isNotNull(), F.element_at(codes, F.pmod(k, F.lit(len(COUNTRIES))) + 1))
 
 
 def transactions_from_events(events: DataFrame) -> DataFrame:
