@@ -35,18 +35,34 @@ STORED = T.StructType(FRAUD_TABLE.fields + [
 ])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+def _missing(exc: Exception) -> bool:
+    text = str(exc)
+    return "PATH_NOT_FOUND" in text or "Path does not exist" in text
 
 
 def read_fraud_table(spark: SparkSession, path: str) -> DataFrame:
     """The stored fraud rows (zero rows when nothing was written yet)."""
-    if not _exists(spark, path):
+    try:
+        return spark.read.schema(STORED).parquet(path)
+    except Exception as exc:  # noqa: BLE001 - only a missing table is tolerated
+        if not _missing(exc):
+            raise
         return spark.createDataFrame([], STORED)
-    return spark.read.schema(STORED).parquet(path)
+
+
+def _stored_rows_of_dates(spark: SparkSession, root: str, dates: list) -> DataFrame | None:
+    """Stored rows of the given event dates; only those date directories are
+    listed (a brace glob), ``None`` when none of them exists yet."""
+    names = sorted({d.isoformat() for d in dates if d is not None})
+    if not names:
+        return None
+    pattern = f"{root}/event_date={{{','.join(names)}}}"
+    try:
+        return spark.read.schema(STORED).option("basePath", root).parquet(pattern)
+    except Exception as exc:  # noqa: BLE001 - a date not written yet is not an error
+        if not _missing(exc):
+            raise
+        return None
 
 
 @dataclass
@@ -67,13 +83,10 @@ class FraudTableWriter:
         try:
             new = rows
             root = self.path.rstrip("/")
-            dates = [r[0] for r in rows.select("event_date").distinct().collect()] \
-                if _exists(spark, root) else []
-            dirs = [d for d in (f"{root}/event_date={x.isoformat()}" for x in dates if x is not None)
-                    if _exists(spark, d)]
-            if dirs:
-                seen = (spark.read.schema(STORED).option("basePath", root).parquet(*dirs)
-                        .filter(F.col("batch_id") < F.lit(batch_id))
+            dates = [r[0] for r in rows.select("event_date").distinct().collect()]
+            stored = _stored_rows_of_dates(spark, root, dates)
+            if stored is not None:
+                seen = (stored.filter(F.col("batch_id") < F.lit(batch_id))
                         .select(*[F.col(c).alias(f"_s_{c}") for c in FRAUD_COLUMNS + ["event_date"]]))
                 cond = F.col("event_date") == F.col("_s_event_date")
                 for c in FRAUD_COLUMNS:
