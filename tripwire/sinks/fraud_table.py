@@ -52,17 +52,24 @@ def read_fraud_table(spark: SparkSession, path: str) -> DataFrame:
 
 def _stored_rows_of_dates(spark: SparkSession, root: str, dates: list) -> DataFrame | None:
     """Stored rows of the given event dates; only those date directories are
-    listed (a brace glob), ``None`` when none of them exists yet."""
+    listed.  ``None`` when none of them exists yet.
+
+    The directories are read as literal paths; when some date has no
+    directory yet, a brace glob over the dates reads the ones that exist.
+    """
     names = sorted({d.isoformat() for d in dates if d is not None})
     if not names:
         return None
-    pattern = f"{root}/event_date={{{','.join(names)}}}"
-    try:
-        return spark.read.schema(STORED).option("basePath", root).parquet(pattern)
-    except Exception as exc:  # noqa: BLE001 - a date not written yet is not an error
-        if not _missing(exc):
-            raise
-        return None
+    reader = spark.read.schema(STORED).option("basePath", root)
+    literal = [f"{root}/event_date={n}" for n in names]
+    pattern = [f"{root}/event_date={{{','.join(names)}}}"]
+    for paths in (literal, pattern):
+        try:
+            return reader.parquet(*paths)
+        except Exception as exc:  # noqa: BLE001 - a date not written yet is not an error
+            if not _missing(exc):
+                raise
+    return None
 
 
 @dataclass
