@@ -143,3 +143,11 @@ def test_validated_scan_uses_the_sink_commit_log(spark):
     import glob as _glob
     files = _glob.glob(out + "/**/*.parquet", recursive=True)
     assert spark.read.parquet(*files).count() == 2        # the direct glob sees the stray file
+
+
+def test_csv_numbers_are_plain_decimals(spark):
+    df = spark.createDataFrame([(12407664.25, 0.05, 100.0, -2.5e-7, None)], "a double, b double, c double, d double, e double")
+    d = tempfile.mkdtemp(prefix="csvnum-", dir="/tmp")
+    path = write_csv_report(df, d, "n", "x")
+    (line,) = [ln for ln in open(glob.glob(os.path.join(path, "part-*.csv"))[0]).read().splitlines()[1:]]
+    assert line == "12407664.25,0.05,100.0,-0.00000025,"

@@ -28,6 +28,19 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def _as_of(text: str | None, events) -> datetime:
+    """The look-back reference time: now, a given ISO time, or the newest
+    event time of ``events`` (one aggregate value, for replaying history)."""
+    if text is None:
+        return _now()
+    if text == "latest":
+        from pyspark.sql import functions as F
+
+        latest = events.agg(F.max("timestamp")).first()[0]
+        return latest or _now()
+    return datetime.fromisoformat(text)
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="tripwire")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -41,10 +54,14 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--output", required=True)
     r.add_argument("--reports", required=True)
     r.add_argument("--hours", type=int, default=RECONCILIATION_LOOKBACK_HOURS)
+    r.add_argument("--as-of", default=None,
+                   help="look-back reference time: ISO text, or 'latest' (newest event time); default now")
     p = sub.add_parser("report", help="analytics report tables")
     p.add_argument("--output", required=True)
     p.add_argument("--reports", required=True)
     p.add_argument("--hours", type=int, default=REPORT_LOOKBACK_HOURS)
+    p.add_argument("--as-of", default=None,
+                   help="look-back reference time: ISO text, or 'latest' (newest event time); default now")
     args = ap.parse_args(argv)
     base = args.output.rstrip("/")
 
@@ -73,13 +90,14 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.cmd == "reconcile":
         spark = _session("tripwire-reconcile")
-        out = reconciliation_job(spark, validated_scan(spark, f"{base}/validated"),
-                                 read_fraud_table(spark, f"{base}/fraud"), args.reports, _now(),
-                                 table_path=f"{base}/reconciliation_reports", hours=args.hours)
+        validated = validated_scan(spark, f"{base}/validated")
+        now = _as_of(args.as_of, validated)
+        out = reconciliation_job(spark, validated, read_fraud_table(spark, f"{base}/fraud"), args.reports,
+                                 now, table_path=f"{base}/reconciliation_reports", hours=args.hours)
     else:
         spark = _session("tripwire-report")
-        out = report_job(spark, read_fraud_table(spark, f"{base}/fraud"), args.reports, now=_now(),
-                         hours=args.hours)
+        fraud = read_fraud_table(spark, f"{base}/fraud")
+        out = report_job(spark, fraud, args.reports, now=_as_of(args.as_of, fraud), hours=args.hours)
     for name, path in out.items():
         print(f"{name}\t{path or '(no rows)'}")
     return 0

@@ -2,7 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _plain_number(c: Column) -> Column:
+    """A double as plain decimal text (``12407664.25``, not ``1.240766425E7``);
+    values outside decimal(38,12) keep the default text."""
+    text = c.try_cast("decimal(38,12)").cast("string")
+    trimmed = F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", ".0")
+    return F.coalesce(trimmed, c.cast("string"))
+
+
+def _csv_ready(df: DataFrame) -> DataFrame:
+    return df.select(*[_plain_number(F.col(f.name)).alias(f.name)
+                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
+                       for f in df.schema.fields])
 
 
 def write_csv_report(df: DataFrame, directory: str, name: str, stamp: str,
@@ -12,7 +28,7 @@ def write_csv_report(df: DataFrame, directory: str, name: str, stamp: str,
     if skip_empty and df.isEmpty():
         return None
     target = f"{directory.rstrip('/')}/{name}_{stamp}"
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(target)
+    _csv_ready(df).coalesce(1).write.mode("overwrite").option("header", True).csv(target)
     return target
 
 
