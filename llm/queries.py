@@ -12,12 +12,13 @@ from llm.packing import op3_packing
 from llm.quality import op2_quality
 from llm.secrets_scan import op10_secrets
 from llm.simhash import op8_simhash
+from llm.url_filter import op5_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_quality, op3_packing, op7_mixing, op8_simhash, op9_language_id, op10_secrets)}
+    return {f.__name__: f for f in (op2_quality, op3_packing, op5_urls, op7_mixing, op8_simhash, op9_language_id, op10_secrets)}
 
 
 def llm_oracles() -> dict[str, str]:
