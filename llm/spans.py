@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+BLOCK = 256
 SPAN = "struct<start:int,end:int,kind_no:int,value:string>"
 
 
@@ -34,8 +35,19 @@ def matches(text: Column, pattern: str, kind_no: int) -> Column:
                         s["value"].alias("value"))
         return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    found = F.aggregate(steps, F.struct(F.lit(0).alias("at"), none().alias("spans")), walk, lambda acc: acc["spans"])
-    return F.when(text.rlike(pattern), found).otherwise(none())
+    def block(acc: Column, part: Column) -> Column:
+        inner = F.aggregate(part, F.struct(acc["at"].alias("at"), none().alias("spans")), walk)
+        return F.transform(F.array(inner), lambda i: F.struct(
+            i["at"].alias("at"), F.concat(acc["spans"], i["spans"]).alias("spans")))[0]
+
+    def blocks(all_steps: Column) -> Column:
+        # an array grows by copying, so it is grown in blocks
+        parts = F.transform(F.sequence(F.lit(0), F.floor(F.size(all_steps) / BLOCK).cast("int")),
+                            lambda b: F.slice(all_steps, b * BLOCK + 1, F.lit(BLOCK)))
+        return F.aggregate(parts, F.struct(F.lit(0).alias("at"), none().alias("spans")), block,
+                           lambda acc: acc["spans"])
+
+    return F.when(text.rlike(pattern), F.transform(F.array(steps), blocks)[0]).otherwise(none())
 
 
 def ordered(spans: Column) -> Column:
