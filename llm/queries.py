@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from llm.embedding_dedup import op1_embedding_dedup
 from llm.language_id import op9_language_id
 from llm.mixing import op7_mixing
 from llm.packing import op3_packing
@@ -19,7 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_quality, op3_packing, op4_pii, op5_urls, op7_mixing, op8_simhash, op9_language_id, op10_secrets)}
+    return {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_packing, op4_pii, op5_urls, op7_mixing, op8_simhash, op9_language_id, op10_secrets)}
 
 
 def llm_oracles() -> dict[str, str]:
