@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from llm.embedding_dedup import op1_embedding_dedup
 from llm.language_id import op9_language_id
 from llm.mixing import op7_mixing
+from llm.neighbours import op6_nearest
 from llm.packing import op3_packing
 from llm.pii import op4_pii
 from llm.quality import op2_quality
@@ -20,7 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_packing, op4_pii, op5_urls, op7_mixing, op8_simhash, op9_language_id, op10_secrets)}
+    return {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_packing, op4_pii, op5_urls, op6_nearest, op7_mixing, op8_simhash, op9_language_id, op10_secrets)}
 
 
 def llm_oracles() -> dict[str, str]:
