@@ -1,15 +1,25 @@
 """A training corpus from ``documents`` in stages, each written before the next.
 
 ``run(spark, sf_dir)`` applies STAGES in order; every stage gets the rows its
-predecessor kept, read back from the shared folder.
+predecessor kept, read back from the shared folder, and all but the last return
+the columns of ``documents``.
+
+Documents are rows: repeated rows are documents of their own, except that the
+near-duplicate stage keeps one row of each group.  NULLs in any column are
+passed on; a NULL text has no language and goes in the first stage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from llm.common import free_name, load, saved
 from llm.language_id import UNDETERMINED, identify, learnable, train
+from llm.mixing import Mix
+from llm.packing import pack
+from llm.secrets_scan import redact
+from llm.simhash import near_duplicates
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,8 +30,55 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return told.filter(told[name] != UNDETERMINED).select(*docs.columns)
 
 
-STAGES = [("language_id", language)]
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group: the one of the smallest id.  Rows
+    without an id cannot be told apart and stay.
+
+    Only the ids that go take part in a join with the texts."""
+    classes = near_duplicates(docs.select("doc_id", "text"))
+    gone = (classes.filter(F.col("doc_id") != F.col("component")).select(F.col("doc_id").alias("_gone")).distinct())
+    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    # an id of several rows: the same document again, or one whose first row stays
+    repeated = left.groupBy("doc_id").count().filter((F.col("count") > 1) & F.col("doc_id").isNotNull()) \
+        .select(F.col("doc_id").alias("_many"))
+    single = left.join(repeated, F.col("doc_id") == F.col("_many"), "left_anti")
+    many = left.join(repeated, F.col("doc_id") == F.col("_many"), "left_semi")
+    place = free_name(docs, "_place")
+    first = (many.withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy(
+        F.col("text").asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in docs.columns if c not in ("doc_id", "text")])))
+        .filter(F.col(place) == 1).drop(place))
+    return single.unionByName(first).select(*docs.columns)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with its secrets replaced; ``n_chars`` follows the text."""
+    clean = redact(docs)
+    if "n_chars" in docs.columns:
+        changed = F.when(F.col("n_chars").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType))
+        clean = clean.withColumn("n_chars", changed)
+    return clean.select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a row for every time a document is drawn, in shards."""
+    return Mix(docs).rows(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix in sequences of at most 1024 tokens: one row per piece."""
+    return pack(docs)
+
+
+STAGES = [
+    ("language_id", language),
+    ("simhash_near_dedup", near_duplicate),
+    ("secret_scan", secret_scan),
+    ("mixing", mixing),
+    ("packing", packing),
+]
 
+# Language models, fingerprint trees and tokens are not for SQL; the stages are
+# tested against plain versions instead.
 ORACLE_SQL = None
 
 
