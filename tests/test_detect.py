@@ -147,3 +147,32 @@ def test_exact_edge_minute_uses_other_locations_time(make_tx):
                    ("B", ts("00:00:40")), ("B", ts("00:00:50")), ("B", ts("00:10:30")),
                    ("C", ts("00:20:10")), ("C", ts("00:20:40")),
                    ("D", ts("00:10:30")), ("D", ts("00:20:10")), ("D", ts("00:20:20"))]
+
+
+def test_windows_of_events_without_user(spark, make_tx):
+    """Batch and stream alike count them; they never travel."""
+    from tripwire.operators import detect as D
+
+    tx = make_tx([(None, "00:00:10", "A", 1.0, "US"), (None, "00:01:10", "A", 1.0, "UK")])
+    got = D.window_location_count(tx).collect()
+    assert len(got) == 11 and {r["user_id"] for r in got} == {None}
+    assert D.impossible_travel(tx).count() == 0 and D.detect_all(tx).count() == 0
+
+
+def test_exact_rule_with_any_gap_and_many_locations(spark, make_tx):
+    import random
+    from datetime import datetime, timedelta
+
+    from tripwire.operators import detect as D
+
+    rng = random.Random(8)
+    start = datetime(2024, 1, 1, 23, 50)
+    rows = [(f"U{rng.randrange(3)}", (start + timedelta(microseconds=rng.randrange(1_500_000_000))).isoformat(), "A", float(i),
+             rng.choice(["US", "US", "UK", "DE", "FR", "JP", "AU"])) for i in range(150)]
+    rows += [("X", (start + timedelta(seconds=s)).isoformat(), "A", 1000.0 + s, c) for s, c in ((0, "US"), (90, "UK"), (300, "UK"))]
+    tx = make_tx(rows)
+    times = [(u, datetime.fromisoformat(t), a, c) for u, t, _, a, c in rows]
+    for gap in (0, 1, 7.5, 59, 90, 125, 600):
+        expected = {a for u, t, a, c in times if any(
+            u == v and c != d and abs((t - w).total_seconds()) <= gap for v, w, _, d in times)}
+        assert {r["amount"] for r in D.impossible_travel_exact(tx, gap).collect()} == expected, gap

@@ -25,3 +25,13 @@ def test_report_cells(spark):
     assert rows[0].asDict() == {"Index": "GROCERY", "fraud_count": "150", "total_amount": "$12,345.50",
                                 "avg_amount": "$82.30", "unique_users": "57.00"}
     assert rows[1]["fraud_count"] == "7.00"
+
+
+def test_nan_is_missing(spark):
+    from pyspark.sql import functions as F
+
+    from tripwire.functions.formatting import format_currency, format_integer
+
+    row = spark.range(1).select(format_currency(F.lit(float("nan"))), format_integer(F.lit(float("nan"))),
+                                format_integer(F.lit(None).cast("double"))).first()
+    assert tuple(row) == ("$0.00", "0", "0")

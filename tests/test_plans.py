@@ -51,8 +51,8 @@ def test_checked_broadcast_switches_on_size(spark):
 
     df = spark.range(100).withColumnRenamed("id", "k")
     big = spark.range(10_000).withColumnRenamed("id", "k")
-    small_plan = big.join(checked_broadcast(df, max_rows=1000), "k")._jdf.queryExecution().executedPlan().toString()
-    large_plan = big.join(checked_broadcast(df, max_rows=10), "k")
+    small_plan = big.join(checked_broadcast(df, max_bytes=100_000), "k")._jdf.queryExecution().executedPlan().toString()
+    large_plan = big.join(checked_broadcast(df, max_bytes=100), "k")
     assert "BroadcastHashJoin" in small_plan
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -61,3 +61,81 @@ def test_checked_broadcast_switches_on_size(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert large_plan.count() == 100
+
+
+def test_broadcast_measure_counts_text(spark):
+    from tripwire.operators.sizing import data_bytes
+
+    narrow = spark.createDataFrame([("a",)] * 10, "t string")
+    wide = spark.createDataFrame([("a" * 1000,)] * 10, "t string")
+    assert data_bytes(wide) - data_bytes(narrow) == 9990
+
+
+def test_lookback_prunes_dates_and_pushes_the_time(spark, tmp_path):
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    from tripwire.schema import FRAUD_COLUMNS
+    from tripwire.sinks.fraud_table import FraudTableWriter, read_fraud_table
+    from tripwire.sources.scans import as_of_column, fraud_lookback, lookback
+
+    rows = [("U", datetime(2024, 1, d, 12), "A", 1.0, "US", "R") for d in range(1, 9)]
+    df = spark.createDataFrame(rows, "user_id string, timestamp timestamp, merchant_category string, amount double, "
+                                     "location string, fraud_reason string")
+    FraudTableWriter(str(tmp_path / "t"))(df, 0)
+    table = read_fraud_table(spark, str(tmp_path / "t"))
+    now = as_of_column("2024-01-08 12:00:00", table)
+    got = fraud_lookback(table, 30, now, newest_first=False)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "timestamp" in plan.split("PushedFilters: [")[1].split("]")[0]
+    assert got.select(*FRAUD_COLUMNS).count() == lookback(table.drop("event_date"), 30, now).count() == 2
+    assert got.agg(F.min("timestamp")).first()[0] == datetime(2024, 1, 7, 12)
+
+
+def test_summary_has_no_sort_of_its_input_and_no_map_aggregate(spark, make_tx):
+    from pyspark.sql import functions as F
+
+    from tripwire.operators import analytics as A
+
+    fraud = make_tx([("U", "00:00:00", "A", 1.0, "US")]).withColumn("fraud_reason", F.lit("R"))
+    plan = A.summary(fraud)._jdf.queryExecution().optimizedPlan().toString()
+    assert "mode(" not in plan
+
+
+def test_median_buckets_do_not_follow_the_cluster(spark):
+    import time
+
+    from tripwire.operators.quantiles import exact_median
+
+    df = spark.range(200_000).selectExpr("cast((id * 7919) % 200003 as double) as v").repartition(4).persist()
+    df.count()
+    took = {}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("8", "1000"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            exact_median(df, "v").collect()
+            t = time.perf_counter()
+            got = exact_median(df, "v").first()[0]
+            took[n] = time.perf_counter() - t
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        df.unpersist()
+    values = sorted((i * 7919) % 200003 for i in range(200_000))
+    assert got == (values[99_999] + values[100_000]) / 2
+    assert took["1000"] < 6 * took["8"] + 3
+
+
+def test_clean_events_are_one_anti_join(spark, make_tx):
+    from tripwire.operators import detect as D
+
+    tx = make_tx([("U", "00:00:10", "A", 1.0, "US"), ("U", "00:05:00", "A", 2.0, "UK"), ("V", "00:00:10", "A", 9000.0, "US"),
+                  ("W", "00:00:10", "A", None, "US"), (None, "00:00:10", "A", 3.0, "UK"), (None, "00:00:20", "A", 3.0, "US")])
+    clean = D.validated_events(tx)
+    plan = clean._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftAnti") == 1 and plan.count("Join") == 1
+    expected = D.validated_anti(tx, D.detect_all(tx))
+    assert sorted(map(repr, clean.collect())) == sorted(map(repr, expected.collect()))
+    assert clean.count() == 3

@@ -151,3 +151,83 @@ def test_csv_numbers_are_plain_decimals(spark):
     path = write_csv_report(df, d, "n", "x")
     (line,) = [ln for ln in open(glob.glob(os.path.join(path, "part-*.csv"))[0]).read().splitlines()[1:]]
     assert line == "12407664.25,0.05,100.0,-0.00000025,"
+
+
+def _batch(spark, rows):
+    return spark.createDataFrame(rows, "user_id string, timestamp timestamp, merchant_category string, amount double, "
+                                       "location string, fraud_reason string")
+
+
+def test_two_writers_keep_all_rows(spark, tmp_path):
+    """A second query, or a fresh checkpoint, starts at batch 0 again."""
+    from datetime import datetime
+
+    from tripwire.sinks.fraud_table import FraudTableWriter, read_fraud_table
+
+    path, t = str(tmp_path / "fraud"), datetime(2024, 1, 1, 12)
+    old, new = ("OLD", t, "A", 9000.0, "US", "R"), ("NEW", t, "A", 9000.0, "US", "R")
+    FraudTableWriter(path, query_id="q1")(_batch(spark, [old]), 0)
+    FraudTableWriter(path, query_id="q2")(_batch(spark, [old, new]), 0)
+    FraudTableWriter(path, query_id="q2")(_batch(spark, [old, new]), 0)         # replayed
+    FraudTableWriter(path, query_id="q1")(_batch(spark, [new]), 1)
+    assert sorted(r["user_id"] for r in read_fraud_table(spark, path).collect()) == ["NEW", "OLD"]
+
+
+def test_row_without_time_is_stored_once(spark, tmp_path):
+    from datetime import datetime
+
+    from tripwire.sinks.fraud_table import FraudTableWriter, read_fraud_table
+
+    path = str(tmp_path / "fraud")
+    undated = ("U", None, "A", 9000.0, "US", "R")
+    dated = ("U", datetime(2024, 1, 1), "A", 9000.0, "US", "R")
+    writer = FraudTableWriter(path, query_id="q")
+    for n, rows in enumerate(([undated], [undated, dated], [dated], [undated], [])):
+        writer(_batch(spark, rows), n)
+    assert read_fraud_table(spark, path).count() == 2
+
+
+def test_one_file_per_date_and_batch(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from tripwire.sinks.fraud_table import FraudTableWriter
+
+    rows = [(f"U{i}", datetime(2024, 1, 1) + timedelta(hours=i), "A", 9000.0, "US", "R") for i in range(96)]
+    FraudTableWriter(str(tmp_path / "fraud"), query_id="q")(_batch(spark, rows).repartition(8), 0)
+    assert len(list((tmp_path / "fraud").rglob("part-*.parquet"))) == 4
+
+
+def test_backfill_over_many_dates(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from tripwire.sinks.fraud_table import FraudTableWriter, read_fraud_table
+
+    rows = [(f"U{i}", datetime(2023, 1, 1) + timedelta(days=i), "A", 9000.0, "US", "R") for i in range(100)]
+    path = str(tmp_path / "fraud")
+    FraudTableWriter(path, query_id="q")(_batch(spark, rows), 0)
+    FraudTableWriter(path, query_id="q")(_batch(spark, rows + [("X", None, "A", 9000.0, "US", "R")]), 1)
+    assert read_fraud_table(spark, path).count() == 101
+
+
+def test_csv_doubles_survive(spark, tmp_path):
+    from tripwire.sinks.files import write_csv_report
+
+    values = [2.5e-13, 12407664.25, 1e300, 0.1, 0.1 + 0.2, 5.0, -0.015]
+    target = write_csv_report(spark.createDataFrame([(v,) for v in values], "x double"), str(tmp_path), "t", "s")
+    got = spark.read.option("header", True).csv(target)
+    assert sorted(float(r["x"]) for r in got.collect()) == sorted(values)
+    assert {"12407664.25", "5.0"} <= {r["x"] for r in got.collect()}
+
+
+def test_database_read_options(spark):
+    import pytest
+
+    from tripwire.sources.scans import fraud_jdbc_scan, jdbc_options
+
+    got = jdbc_options("jdbc:x://h/db", hours=6, as_of="2024-01-01 12:00:00", partitions=4, properties={"user": "u"})
+    assert got == {"url": "jdbc:x://h/db", "user": "u", "numPartitions": "4", "partitionColumn": "timestamp",
+                   "dbtable": "(SELECT * FROM fraud_transactions WHERE timestamp >= TIMESTAMP '2024-01-01 06:00:00') AS fraud",
+                   "lowerBound": "2024-01-01 06:00:00", "upperBound": "2024-01-01 12:00:00"}
+    assert jdbc_options("jdbc:x://h/db") == {"url": "jdbc:x://h/db", "dbtable": "fraud_transactions"}
+    with pytest.raises(Exception, match="(?i)driver"):
+        fraud_jdbc_scan(spark, "jdbc:x://h/db")

@@ -16,29 +16,31 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
-from tripwire.config import RECONCILIATION_LOOKBACK_HOURS, REPORT_LOOKBACK_HOURS
+from tripwire.config import (HIGH_VALUE_THRESHOLD, RECONCILIATION_LOOKBACK_HOURS, REPORT_LOOKBACK_HOURS,
+                             WATERMARK_DELAY)
 from tripwire.session import pin_session
+from tripwire.sources.scans import as_of_text
 
 
 def _session(app: str) -> SparkSession:
     return pin_session(SparkSession.builder.appName(app).getOrCreate())
 
 
-def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+def _now() -> str:
+    return datetime.now(timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
 
 
-def _as_of(text: str | None, events) -> datetime:
-    """The look-back reference time: now, a given ISO time, or the newest
-    event time of ``events`` (one aggregate value, for replaying history)."""
+def _as_of(text: str | None, events) -> str:
+    """The look-back reference time as ISO text in UTC: now, a given time, or the
+    newest event time of ``events`` (one aggregate value, fetched as text so that
+    no local zone takes part)."""
     if text is None:
         return _now()
     if text == "latest":
         from pyspark.sql import functions as F
 
-        latest = events.agg(F.max("timestamp")).first()[0]
-        return latest or _now()
-    return datetime.fromisoformat(text)
+        return events.agg(F.max("timestamp").cast("string")).first()[0] or _now()
+    return as_of_text(datetime.fromisoformat(text))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -49,17 +51,22 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--topic", default="transactions")
     s.add_argument("--source-dir", help="JSON payload files instead of a topic")
     s.add_argument("--output", required=True)
+    s.add_argument("--threshold", type=float, default=HIGH_VALUE_THRESHOLD)
+    s.add_argument("--watermark", default=WATERMARK_DELAY)
+    s.add_argument("--jdbc-url", help="also append fraud rows to a database")
     s.add_argument("--available-now", action="store_true", help="drain what is there, then stop")
     r = sub.add_parser("reconcile", help="batch layer: reconciliation report, table row, pattern table")
     r.add_argument("--output", required=True)
     r.add_argument("--reports", required=True)
     r.add_argument("--hours", type=int, default=RECONCILIATION_LOOKBACK_HOURS)
+    r.add_argument("--jdbc-url", help="read the fraud rows from a database instead of the stored table")
     r.add_argument("--as-of", default=None,
                    help="look-back reference time: ISO text, or 'latest' (newest event time); default now")
     p = sub.add_parser("report", help="analytics report tables")
     p.add_argument("--output", required=True)
     p.add_argument("--reports", required=True)
     p.add_argument("--hours", type=int, default=REPORT_LOOKBACK_HOURS)
+    p.add_argument("--jdbc-url", help="read the fraud rows from a database instead of the stored table")
     p.add_argument("--as-of", default=None,
                    help="look-back reference time: ISO text, or 'latest' (newest event time); default now")
     args = ap.parse_args(argv)
@@ -76,7 +83,8 @@ def main(argv: list[str] | None = None) -> int:
             tx = kafka_transactions(spark, args.servers, args.topic)
         else:
             ap.error("stream needs --servers or --source-dir")
-        queries = run_pipeline(spark, tx, base, available_now=args.available_now)
+        queries = run_pipeline(spark, tx, base, available_now=args.available_now, threshold=args.threshold,
+                               watermark=args.watermark, jdbc_url=args.jdbc_url)
         if args.available_now:
             for q in queries:
                 q.awaitTermination()
@@ -86,18 +94,23 @@ def main(argv: list[str] | None = None) -> int:
 
     from tripwire.plans.jobs import reconciliation_job, report_job
     from tripwire.sinks.fraud_table import read_fraud_table
-    from tripwire.sources.scans import validated_scan
+    from tripwire.sources.scans import fraud_jdbc_scan, validated_scan
 
     if args.cmd == "reconcile":
         spark = _session("tripwire-reconcile")
         validated = validated_scan(spark, f"{base}/validated")
         now = _as_of(args.as_of, validated)
-        out = reconciliation_job(spark, validated, read_fraud_table(spark, f"{base}/fraud"), args.reports,
+        fraud = (fraud_jdbc_scan(spark, args.jdbc_url, hours=args.hours, as_of=now) if args.jdbc_url
+                 else read_fraud_table(spark, f"{base}/fraud"))
+        out = reconciliation_job(spark, validated, fraud, args.reports,
                                  now, table_path=f"{base}/reconciliation_reports", hours=args.hours)
     else:
         spark = _session("tripwire-report")
         fraud = read_fraud_table(spark, f"{base}/fraud")
-        out = report_job(spark, fraud, args.reports, now=_as_of(args.as_of, fraud), hours=args.hours)
+        now = _as_of(args.as_of, fraud)
+        if args.jdbc_url:
+            fraud = fraud_jdbc_scan(spark, args.jdbc_url, hours=args.hours, as_of=now)
+        out = report_job(spark, fraud, args.reports, now=now, hours=args.hours)
     for name, path in out.items():
         print(f"{name}\t{path or '(no rows)'}")
     return 0

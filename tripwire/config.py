@@ -10,7 +10,8 @@ HIGH_VALUE_THRESHOLD = 5000.0          # strict ``amount > threshold``
 REASON_HIGH_VALUE = "HIGH_VALUE_TRANSACTION"
 REASON_TRAVEL = "IMPOSSIBLE_TRAVEL"
 WATERMARK_DELAY = "15 minutes"
-WINDOW_LENGTH = "10 minutes"
+WINDOW_MINUTES = 10                    # length of the sliding window
+WINDOW_LENGTH = f"{WINDOW_MINUTES} minutes"
 WINDOW_SLIDE = "1 minute"
 TRAVEL_GAP_SECONDS = 600               # "different countries within 10 minutes" (inclusive)
 

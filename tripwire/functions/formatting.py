@@ -1,7 +1,7 @@
 """Text formatting of report values (JVM-side string functions).
 
-* ``format_currency``: ``$`` + thousands separators + 2 decimals; NULL -> ``$0.00``
-* ``format_integer``:  truncate to an integer, thousands separators; NULL -> ``0``
+* ``format_currency``: ``$`` + thousands separators + 2 decimals; NULL or NaN -> ``$0.00``
+* ``format_integer``:  truncate to an integer, thousands separators; NULL or NaN -> ``0``
 * ``axis_currency``:   >= 1e6 ``$x.xM``, >= 1e3 ``$xK``, else ``$x``
 * ``format_report``:   the report-table cell rules, first rows only
 * ``run_id``:          timestamp -> ``yyyyMMdd_HHmmss`` file-name text
@@ -23,12 +23,17 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _number(c: Column | str) -> Column:
+    """As a double; NULL and NaN alike are missing."""
+    return F.nanvl(_c(c).cast("double"), F.lit(None).cast("double"))
+
+
 def format_currency(c: Column | str) -> Column:
-    return F.concat(F.lit("$"), F.format_number(F.coalesce(_c(c).cast("double"), F.lit(0.0)), 2))
+    return F.concat(F.lit("$"), F.format_number(F.coalesce(_number(c), F.lit(0.0)), 2))
 
 
 def format_integer(c: Column | str) -> Column:
-    return F.coalesce(F.format_number(_c(c).cast("double").cast("long"), 0), F.lit("0"))
+    return F.coalesce(F.format_number(_number(c).cast("long"), 0), F.lit("0"))
 
 
 def _plain(c: Column, decimals: int) -> Column:

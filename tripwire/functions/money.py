@@ -1,11 +1,12 @@
 """Money aggregation and rounding.
 
-Amounts are doubles on the wire.  Sums go through ``decimal(18,2)`` so they are
-exact and independent of row order (floating sums are not); averages are the
-exact sum divided by the count.  An amount outside the decimal's range (a
-garbage value of 1e16 or more) becomes NULL and is skipped instead of failing
-the job under ANSI mode.  Report rounding is half-even (``bround``), the
-rounding of the numeric library the report tables were made with.
+Amounts are doubles on the wire.  A sum adds the amounts that a decimal(28,8)
+holds without change (all ordinary money) as decimals, which is exact and
+independent of row order, and the others (finer or very large ones) as doubles:
+no row is rounded before it is added, and none is skipped.  NaN counts as a
+missing amount.  Averages divide by the number of rows that were summed.
+Report rounding is half-even (``bround``), the rounding of the numeric library
+the report tables were made with.
 """
 
 from __future__ import annotations
@@ -13,22 +14,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+EXACT = "decimal(28,8)"
 
 
-def money_sum(c: Column | str) -> Column:
+def present(c: Column | str) -> Column:
+    """The amount, NULL where it is NaN."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.try_cast(MONEY)).cast("double")
+    return F.when(~F.isnan(col), col)
+
+
+def money_sum(c: Column | str) -> Column:
+    col = present(c)
+    exact = col.try_cast(EXACT)
+    kept = F.coalesce(exact.cast("double") == col, F.lit(False))
+    decimals = F.sum(F.when(kept, exact)).cast("double")
+    doubles = F.sum(F.when(~kept, col))
+    return F.coalesce(decimals + doubles, decimals, doubles)
 
 
 def money_sum0(c: Column | str) -> Column:
-    """NULL-skipping sum that is 0.0 (not NULL) over no rows."""
+    """Sum that is 0.0 (not NULL) over no amounts."""
     return F.coalesce(money_sum(c), F.lit(0.0))
 
 
 def money_avg(c: Column | str) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return money_sum(col) / F.count(col)
+    return money_sum(c) / F.count(present(c))
 
 
 def round2(c: Column) -> Column:

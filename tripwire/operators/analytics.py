@@ -1,8 +1,8 @@
 """Report tables over any fraud DataFrame (usually a look-back slice).
 
 Semantics follow the report's data-frame library: group keys that are NULL
-form no group, counts/sums/means skip NULL amounts, rounding is half-even to
-two decimals, ``mode`` ties resolve to the smallest value.  Empty input gives
+form no group, counts/sums/means skip missing (NULL or NaN) amounts, rounding is
+half-even to two decimals, ``mode`` ties resolve to the smallest value.  Empty input gives
 zero rows everywhere (the report stops on empty input).
 """
 
@@ -12,17 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripwire.config import DENSITY_GRID_POINTS, HISTOGRAM_BINS, TOP_CATEGORIES
-from tripwire.functions.money import money_avg, money_sum, round2
+from tripwire.functions.money import money_avg, money_sum, present, round2
 
 
 def _grouped(fraud: DataFrame, key, with_max: bool = False, with_users: bool = False) -> DataFrame:
     aggs = [
-        F.count("amount").alias("fraud_count"),
+        F.count(present("amount")).alias("fraud_count"),
         round2(F.coalesce(money_sum("amount"), F.lit(0.0))).alias("total_amount"),
         round2(money_avg("amount")).alias("avg_amount"),
     ]
     if with_max:
-        aggs.append(round2(F.max("amount")).alias("max_amount"))
+        aggs.append(round2(F.max(present("amount"))).alias("max_amount"))
     if with_users:
         aggs.append(F.countDistinct("user_id").alias("unique_users"))
     keyed = fraud.withColumn("_key", key) if not isinstance(key, str) else fraud.withColumn("_key", F.col(key))
@@ -54,32 +54,41 @@ def by_hour(fraud: DataFrame) -> DataFrame:
             .orderBy("hour"))
 
 
+def _most_common(fraud: DataFrame, column: str, alias: str) -> DataFrame:
+    """One row: the most frequent value (ties: the smallest), NULL when none is set."""
+    counts = fraud.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.agg(F.min(F.struct((-F.col("_n")).alias("_n"), F.col(column).alias("_v")))["_v"].alias(alias))
+
+
 def summary(fraud: DataFrame, approx_median: bool = False) -> DataFrame:
     """One row of headline numbers (zero rows on empty input).
 
-    The median is exact and distributed (``quantiles.exact_median``: no task
-    buffers all distinct amounts); ``approx_median`` switches to the
-    ``percentile_approx`` sketch.  ``mode`` buffers one counter per distinct
-    category / reason (a small domain); ties resolve to the smallest value.
+    The median is exact and distributed (``quantiles.exact_median``);
+    ``approx_median`` switches to the ``percentile_approx`` sketch.  The most
+    common values come from grouped counts, so no task holds a map of all
+    values.  All parts are one-row tables.
     """
     from tripwire.operators.quantiles import exact_median
 
+    amount = present("amount")
     head = fraud.agg(
         F.count(F.lit(1)).alias("total_fraud_transactions"),
         round2(F.coalesce(money_sum("amount"), F.lit(0.0))).alias("total_fraud_amount"),
         round2(money_avg("amount")).alias("average_fraud_amount"),
-        F.max("amount").alias("max_fraud_amount"),
-        F.countDistinct("user_id").alias("unique_users_affected"),
-        F.mode("merchant_category", True).alias("most_common_category"),
-        F.mode("fraud_reason", True).alias("most_common_reason"),
-        *([F.percentile_approx("amount", 0.5).alias("_median")] if approx_median else []),
+        F.max(amount).alias("max_fraud_amount"),
+        *([F.percentile_approx(amount, 0.5).alias("_median")] if approx_median else []),
     ).filter(F.col("total_fraud_transactions") > 0)
-    if approx_median:
-        med = head
-    else:
-        # one row x one row; the median row is absent only when no amount is set
-        med = head.join(F.broadcast(exact_median(fraud, "amount", "_median")), how="left")
-    return med.select(
+    users = fraud.filter(F.col("user_id").isNotNull()).select("user_id").distinct() \
+        .agg(F.count(F.lit(1)).alias("unique_users_affected"))
+    parts = [users, _most_common(fraud, "merchant_category", "most_common_category"),
+             _most_common(fraud, "fraud_reason", "most_common_reason")]
+    out = head
+    for part in parts:
+        out = out.crossJoin(F.broadcast(part))
+    if not approx_median:
+        # the median row is absent only when no amount is set
+        out = out.join(F.broadcast(exact_median(fraud, amount, "_median")), how="left")
+    return out.select(
         "total_fraud_transactions", "total_fraud_amount", "average_fraud_amount",
         round2(F.col("_median")).alias("median_fraud_amount"),
         "max_fraud_amount", "unique_users_affected", "most_common_category", "most_common_reason")
@@ -113,9 +122,9 @@ def timeline_hourly(fraud: DataFrame) -> DataFrame:
 
 
 def _amount_range(fraud: DataFrame) -> DataFrame:
-    """One row: n, lo, hi of the non-NULL amounts, widened by 0.5 each way
+    """One row: n, lo, hi of the present amounts, widened by 0.5 each way
     when all amounts are equal (the histogram library's rule)."""
-    st = fraud.filter(F.col("amount").isNotNull()).agg(
+    st = fraud.filter(present("amount").isNotNull()).agg(
         F.count(F.lit(1)).alias("n"), F.min("amount").alias("_min"), F.max("amount").alias("_max"),
         F.stddev_samp("amount").alias("sd"))
     same = F.col("_min") == F.col("_max")
@@ -127,20 +136,28 @@ def _amount_range(fraud: DataFrame) -> DataFrame:
 
 def amount_histogram(fraud: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """``bins`` equal-width bins over [min, max]; the last bin is closed.
-    Every bin is returned, empty ones with count 0."""
+    Every bin is returned, empty ones with count 0.
+
+    A bin holds the amounts from its own edge up to the next one, by comparison
+    with the edges that are returned: the scaled position only says which
+    neighbouring edges to compare with."""
     rng = F.broadcast(_amount_range(fraud).select("lo", "hi"))
-    width = (F.col("hi") - F.col("lo")) / bins
-    idx = F.least(F.floor((F.col("amount") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins) + 1,
-                  F.lit(bins)).cast("int")
-    counts = (fraud.filter(F.col("amount").isNotNull())
+    lo, hi, amount = F.col("lo"), F.col("hi"), F.col("amount")
+    width = (hi - lo) / bins
+
+    def edge(i):
+        return F.when(i >= bins, hi).otherwise(lo + i * width)
+
+    guess = F.least(F.floor((amount - lo) / (hi - lo) * bins), F.lit(bins - 1))
+    idx = (guess - F.when((guess > 0) & (amount < edge(guess)), 1).otherwise(0)
+           + F.when((guess < bins - 1) & (amount >= edge(guess + 1)), 1).otherwise(0) + 1).cast("int")
+    counts = (fraud.filter(present("amount").isNotNull())
               .crossJoin(rng)
               .groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("fraud_count")))
     grid = (fraud.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
             .crossJoin(rng))
     return (grid.join(F.broadcast(counts), "bin", "left")
-            .select("bin",
-                    (F.col("lo") + (F.col("bin") - 1) * width).alias("bin_start"),
-                    (F.col("lo") + F.col("bin") * width).alias("bin_end"),
+            .select("bin", edge(F.col("bin") - 1).alias("bin_start"), edge(F.col("bin")).alias("bin_end"),
                     F.coalesce(F.col("fraud_count"), F.lit(0)).cast("long").alias("fraud_count"))
             .orderBy("bin"))
 
@@ -160,7 +177,7 @@ def amount_density(fraud: DataFrame, points: int = DENSITY_GRID_POINTS, bins: in
     grid = (fraud.sparkSession.range(points).select(F.col("id").cast("int").alias("point"))
             .crossJoin(params)
             .select("point", "n", "bw", "lo", "hi", (F.col("lo") + F.col("point") * step).alias("x")))
-    weights = (fraud.filter(F.col("amount").isNotNull())
+    weights = (fraud.filter(present("amount").isNotNull())
                .groupBy("amount").agg(F.count(F.lit(1)).alias("w")))
     z = (F.col("x") - F.col("amount")) / F.col("bw")
     dens = (weights.crossJoin(F.broadcast(grid))
@@ -169,8 +186,6 @@ def amount_density(fraud: DataFrame, points: int = DENSITY_GRID_POINTS, bins: in
     norm = F.col("n") * F.col("bw") * F.lit((2 * 3.141592653589793) ** 0.5)
     density = F.col("_k") / norm
     return (dens.select(
-        "point",
-        F.round(F.col("x"), 6).alias("amount"),
-        F.round(density, 9).alias("density"),
-        F.round(density * F.col("n") * (F.col("hi") - F.col("lo")) / bins, 6).alias("expected_count"))
+        "point", F.col("x").alias("amount"), density.alias("density"),
+        (density * F.col("n") * (F.col("hi") - F.col("lo")) / bins).alias("expected_count"))
         .orderBy("point"))

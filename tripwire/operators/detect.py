@@ -19,18 +19,16 @@ work on per-(user, minute) location sets, never on ten copies of each event.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwire.config import (HIGH_VALUE_THRESHOLD, MICROS_PER_SECOND, REASON_HIGH_VALUE,
-                             REASON_TRAVEL, TRAVEL_GAP_SECONDS)
-from tripwire.functions.timecols import MINUTE, micros, minute_of, ts_of
+                             REASON_TRAVEL, TRAVEL_GAP_SECONDS, WINDOW_MINUTES)
+from tripwire.functions.timecols import MINUTE, floor_to, micros, minute_of, ts_of
 from tripwire.operators.neighbours import with_neighbours
 from tripwire.operators.sizing import checked_broadcast
 from tripwire.schema import FRAUD_COLUMNS, TX_COLUMNS
 
-WINDOW_MINUTES = 10
-
 
 def high_value(tx: DataFrame, threshold: float = HIGH_VALUE_THRESHOLD) -> DataFrame:
     return (tx.filter(F.col("amount") > F.lit(threshold))
@@ -41,9 +39,13 @@ def high_value(tx: DataFrame, threshold: float = HIGH_VALUE_THRESHOLD) -> DataFr
 # Sliding-window detector
 # --------------------------------------------------------------------------
 
+def _dated(tx: DataFrame) -> DataFrame:
+    return tx.filter(F.col("timestamp").isNotNull()).withColumn("_minute", minute_of(F.col("timestamp")))
+
+
 def _timed(tx: DataFrame) -> DataFrame:
-    return (tx.filter(F.col("user_id").isNotNull() & F.col("timestamp").isNotNull())
-            .withColumn("_minute", minute_of(F.col("timestamp"))))
+    """Events that can travel: a flagged window is joined back on its user."""
+    return _dated(tx.filter(F.col("user_id").isNotNull()))
 
 
 def _window_locations(nbr: Column, ws: Column) -> Column:
@@ -76,7 +78,7 @@ def _minute_windows(tx: DataFrame, only_mixed: bool = False) -> DataFrame:
     non-empty window is reported exactly once).  ``only_mixed`` drops minutes
     whose whole +-9 minute neighbourhood has fewer than two locations (none of
     their windows can have two)."""
-    per_minute = (_timed(tx)
+    per_minute = (_dated(tx)
                   .groupBy("user_id", "_minute")
                   .agg(F.collect_set("location").alias("locs")))
     nb = with_neighbours(per_minute, "user_id", "_minute", _RADIUS,
@@ -117,7 +119,8 @@ def _flagged_minutes(tx: DataFrame) -> DataFrame:
 
 def window_location_count(tx: DataFrame, only_mixed: bool = False) -> DataFrame:
     """``user_id, window_start, window_end, location_count`` (exact distinct
-    count, NULL locations not counted) for every window that holds an event."""
+    count, NULL locations not counted) for every window that holds an event;
+    events without a user share the windows of the NULL user."""
     w = (_minute_windows(tx, only_mixed)
          .select("user_id", F.explode("reported").alias("w")))
     return w.select(
@@ -152,49 +155,54 @@ def impossible_travel(tx: DataFrame) -> DataFrame:
 # Exact pairwise detector
 # --------------------------------------------------------------------------
 
-def impossible_travel_exact(tx: DataFrame, gap_seconds: int = TRAVEL_GAP_SECONDS) -> DataFrame:
+def impossible_travel_exact(tx: DataFrame, gap_seconds: float = TRAVEL_GAP_SECONDS) -> DataFrame:
     """Events having another event of the same user, in a different (non-NULL)
     location, with ``|t - t'| <= gap``.  One row per qualifying event.
 
-    Works on per-(user, minute, location) first/last times: minutes fully
-    inside ``[t - gap, t + gap]`` decide by location alone, the two edge
-    minutes by the latest / earliest time of each other location.
+    Time is cut into slots (a minute; a tenth of a short gap).  Per (user, slot)
+    it keeps the lowest and highest location, and the latest and the earliest
+    time with the best time of any other location: slots that lie within the
+    gap for every event of a slot decide by location alone, the slots at the
+    edges by those times.  The work does not grow with the number of locations
+    a user has in a slot.
     """
-    gap = gap_seconds * MICROS_PER_SECOND
-    if gap % MINUTE:
-        raise ValueError("gap must be a whole number of minutes")
-    k = gap // MINUTE
-    ev = (_timed(tx).filter(F.col("location").isNotNull())
-          .withColumn("_us", micros(F.col("timestamp"))))
-    per_loc = (ev.groupBy("user_id", "_minute", "location")
+    gap = round(gap_seconds * MICROS_PER_SECOND)
+    slot = MINUTE if gap >= 2 * MINUTE else max(1, gap // 10)
+    inner = (gap - slot + 1) // slot * slot         # slots up to here lie within the gap
+    outer = -(-gap // slot) * slot
+    ev = (tx.filter(F.col("user_id").isNotNull() & F.col("timestamp").isNotNull() & F.col("location").isNotNull())
+          .withColumn("_us", micros(F.col("timestamp")))
+          .withColumn("_slot", floor_to(F.col("_us"), slot)))
+    per_loc = (ev.groupBy("user_id", "_slot", "location")
                .agg(F.min("_us").alias("tmin"), F.max("_us").alias("tmax")))
-    nb = with_neighbours(per_loc, "user_id", "_minute", gap,
-                         F.struct(F.col("_minute").alias("minute"), F.col("location").alias("loc"),
-                                  F.col("tmin"), F.col("tmax")),
-                         "_nbr")
-    m, loc, nbr = F.col("_minute"), F.col("location"), F.col("_nbr")
-
-    def other(e):
-        return e["loc"] != loc
-
-    interior = F.exists(nbr, lambda e: other(e) & (e["minute"] >= m - (k - 1) * MINUTE)
-                        & (e["minute"] <= m + (k - 1) * MINUTE))
-    last_before = F.array_max(F.transform(
-        F.filter(nbr, lambda e: other(e) & (e["minute"] == m - gap)), lambda e: e["tmax"]))
-    first_after = F.array_min(F.transform(
-        F.filter(nbr, lambda e: other(e) & (e["minute"] == m + gap)), lambda e: e["tmin"]))
+    by_slot = Window.partitionBy("user_id", "_slot")
+    ranked = (per_loc
+              .withColumn("_late", F.row_number().over(by_slot.orderBy(F.col("tmax").desc(), "location")))
+              .withColumn("_early", F.row_number().over(by_slot.orderBy("tmin", "location"))))
+
+    def best(rank: str, time: str, n: int) -> Column:
+        return F.max(F.when(F.col(rank) == n, F.struct(F.col(time).alias("t"), F.col("location").alias("loc"))))
+
+    per_slot = ranked.groupBy("user_id", "_slot").agg(
+        F.min("location").alias("lo"), F.max("location").alias("hi"),
+        F.array_compact(F.array(best("_late", "tmax", 1), best("_late", "tmax", 2))).alias("late"),
+        F.array_compact(F.array(best("_early", "tmin", 1), best("_early", "tmin", 2))).alias("early"))
+    nb = with_neighbours(per_slot, "user_id", "_slot", outer,
+                         F.struct(F.col("_slot").alias("slot"), "lo", "hi", "late", "early"), "_nbr")
+    m, nbr = F.col("_slot"), F.col("_nbr")
+    near = F.filter(nbr, lambda e: F.abs(e["slot"] - m) <= inner)
     flags = checked_broadcast(
-        nb.select("user_id", "_minute", "location",
-                  interior.alias("_inside"),
-                  last_before.alias("_last_before"),
-                  first_after.alias("_first_after"))
-        .filter(F.col("_inside") | F.col("_last_before").isNotNull()
-                | F.col("_first_after").isNotNull()))
-    us = F.col("_us")
-    return (ev.join(flags, ["user_id", "_minute", "location"])
-            .filter(F.col("_inside")
-                    | (us <= F.col("_last_before") + gap)
-                    | (us >= F.col("_first_after") - gap))
+        nb.select("user_id", "_slot",
+                  F.array_min(F.transform(near, lambda e: e["lo"])).alias("_lo"),
+                  F.array_max(F.transform(near, lambda e: e["hi"])).alias("_hi"),
+                  F.flatten(F.transform(F.filter(nbr, lambda e: e["slot"] < m - inner), lambda e: e["late"])).alias("_late"),
+                  F.flatten(F.transform(F.filter(nbr, lambda e: e["slot"] > m + inner), lambda e: e["early"])).alias("_early"))
+        .filter((F.col("_lo") < F.col("_hi")) | (F.size("_late") > 0) | (F.size("_early") > 0)))
+    us, loc = F.col("_us"), F.col("location")
+    return (ev.join(flags, ["user_id", "_slot"])
+            .filter((F.col("_lo") != loc) | (F.col("_hi") != loc)
+                    | F.exists("_late", lambda e: (e["loc"] != loc) & (us - e["t"] <= gap))
+                    | F.exists("_early", lambda e: (e["loc"] != loc) & (e["t"] - us <= gap)))
             .select(*TX_COLUMNS, F.lit(REASON_TRAVEL).alias("fraud_reason")))
 
 
@@ -223,12 +231,14 @@ def detect_all(tx: DataFrame, threshold: float = HIGH_VALUE_THRESHOLD, exact: bo
         return fraud_union(high_value(tx, threshold), impossible_travel_exact(tx))
     flagged = checked_broadcast(_flagged_minutes(tx))
     ev = tx.withColumn("_minute", minute_of(F.col("timestamp")))
-    reasons = F.concat(
-        F.when(F.col("amount") > F.lit(threshold), F.array(F.lit(REASON_HIGH_VALUE)))
-        .otherwise(F.array().cast("array<string>")),
-        F.array_repeat(F.lit(REASON_TRAVEL), F.coalesce(F.col("n_flagged"), F.lit(0)).cast("int")))
-    return (ev.join(flagged, ["user_id", "_minute"], "left")
-            .select(*TX_COLUMNS, F.explode(reasons).alias("fraud_reason")))
+    keyed = F.col("user_id").isNotNull() & F.col("_minute").isNotNull()
+    high = F.when(F.col("amount") > F.lit(threshold), F.array(F.lit(REASON_HIGH_VALUE))) \
+        .otherwise(F.array().cast("array<string>"))
+    reasons = F.concat(high, F.array_repeat(F.lit(REASON_TRAVEL), F.coalesce(F.col("n_flagged"), F.lit(0)).cast("int")))
+    # events without a user or time match no minute: they pass beside the join
+    return (ev.filter(keyed).join(flagged, ["user_id", "_minute"], "left")
+            .select(*TX_COLUMNS, F.explode(reasons).alias("fraud_reason"))
+            .unionByName(ev.filter(~keyed).select(*TX_COLUMNS, F.explode(high).alias("fraud_reason"))))
 
 
 def fraud_distinct(fraud: DataFrame) -> DataFrame:
@@ -236,9 +246,22 @@ def fraud_distinct(fraud: DataFrame) -> DataFrame:
     return fraud.select(*FRAUD_COLUMNS).dropDuplicates(FRAUD_COLUMNS)
 
 
+def validated_events(tx: DataFrame, threshold: float = HIGH_VALUE_THRESHOLD) -> DataFrame:
+    """Transactions that no detector flags, straight from the events: not above
+    the threshold and not in a flagged minute of their user.  Equal events share
+    user, minute and amount, so this is what ``validated_anti`` returns for the
+    detectors' own output, with one anti-join on (user, minute)."""
+    flagged = checked_broadcast(_flagged_minutes(tx).select("user_id", "_minute"))
+    low = tx.filter(~F.coalesce(F.col("amount") > F.lit(threshold), F.lit(False))) \
+        .withColumn("_minute", minute_of(F.col("timestamp")))
+    keyed = F.col("user_id").isNotNull() & F.col("_minute").isNotNull()
+    return (low.filter(keyed).join(flagged, ["user_id", "_minute"], "left_anti").select(*TX_COLUMNS)
+            .unionByName(low.filter(~keyed).select(*TX_COLUMNS)))
+
+
 def validated_anti(tx: DataFrame, fraud: DataFrame) -> DataFrame:
-    """Transactions that no detector flagged (NULL-safe match on the 5-tuple;
-    there is no transaction id).  The fraud side is reduced to distinct keys
+    """Transactions that are not in a stored fraud table (NULL-safe match on the
+    5-tuple; there is no transaction id).  The fraud side is reduced to distinct keys
     first: the copies one event gets per flagged window sit in the same map
     task, so the partial aggregation removes them before the shuffle."""
     keys = checked_broadcast(fraud.select(*[F.col(c).alias(f"_k_{c}") for c in TX_COLUMNS]).distinct())

@@ -42,17 +42,16 @@ def _combine(v: DataFrame, f: DataFrame) -> DataFrame:
     return both.select("*", total_n.alias("_total_n"), total_amt.alias("_total_amt"))
 
 
-def reconciliation(validated: DataFrame, fraud: DataFrame, as_of: AsOf = None,
-                   hours: int = RECONCILIATION_LOOKBACK_HOURS,
-                   report_time: Column | None = None) -> DataFrame:
-    """The reconciliation report row (CSV layout, values rounded to 2).
-
-    Faithful to the original formulas: validated rows cover all time, fraud
-    rows the look-back; ``total_amount`` is the validated amount only.
-    """
+def totals(validated: DataFrame, fraud: DataFrame, as_of: AsOf = None,
+           hours: int = RECONCILIATION_LOOKBACK_HOURS) -> DataFrame:
+    """One row with the totals that both reconciliation outputs are made of."""
     now = as_of_column(as_of, validated)
-    c = _combine(validated_totals(validated), fraud_totals(fraud, hours, now))
-    stamp = report_time if report_time is not None else F.current_timestamp()
+    return _combine(validated_totals(validated), fraud_totals(fraud, hours, now))
+
+
+def report_row(c: DataFrame, stamp: Column) -> DataFrame:
+    """The reconciliation report row (CSV layout, values rounded to 2).  Column
+    names and formulas are fixed."""
     return c.select(
         stamp.alias("report_timestamp"),
         F.col("_total_n").alias("total_transactions"),
@@ -65,14 +64,9 @@ def reconciliation(validated: DataFrame, fraud: DataFrame, as_of: AsOf = None,
     )
 
 
-def recon_table_row(validated: DataFrame, fraud: DataFrame, as_of: AsOf = None,
-                    hours: int = RECONCILIATION_LOOKBACK_HOURS,
-                    report_time: Column | None = None) -> DataFrame:
-    """The row appended to the reconciliation table (unrounded;
-    ``total_amount`` = validated + fraud amount)."""
-    now = as_of_column(as_of, validated)
-    c = _combine(validated_totals(validated), fraud_totals(fraud, hours, now))
-    stamp = report_time if report_time is not None else F.current_timestamp()
+def table_row(c: DataFrame, stamp: Column) -> DataFrame:
+    """The row of the reconciliation table (unrounded; ``total_amount`` =
+    validated + fraud amount)."""
     return c.select(
         stamp.alias("report_date"),
         F.col("_total_n").alias("total_transactions"),
@@ -82,6 +76,24 @@ def recon_table_row(validated: DataFrame, fraud: DataFrame, as_of: AsOf = None,
     )
 
 
+def _stamp(report_time: Column | None) -> Column:
+    return report_time if report_time is not None else F.current_timestamp()
+
+
+def reconciliation(validated: DataFrame, fraud: DataFrame, as_of: AsOf = None,
+                   hours: int = RECONCILIATION_LOOKBACK_HOURS,
+                   report_time: Column | None = None) -> DataFrame:
+    """Faithful to the original formulas: validated rows cover all time, fraud
+    rows the look-back; ``total_amount`` is the validated amount only."""
+    return report_row(totals(validated, fraud, as_of, hours), _stamp(report_time))
+
+
+def recon_table_row(validated: DataFrame, fraud: DataFrame, as_of: AsOf = None,
+                    hours: int = RECONCILIATION_LOOKBACK_HOURS,
+                    report_time: Column | None = None) -> DataFrame:
+    return table_row(totals(validated, fraud, as_of, hours), _stamp(report_time))
+
+
 def reconciliation_consistent(tx: DataFrame, fraud: DataFrame, as_of: AsOf = None,
                               hours: int = RECONCILIATION_LOOKBACK_HOURS,
                               report_time: Column | None = None) -> DataFrame:
@@ -97,18 +109,7 @@ def reconciliation_consistent(tx: DataFrame, fraud: DataFrame, as_of: AsOf = Non
     v = validated_totals(clean)
     f = fraud_events.agg(F.count(F.lit(1)).alias("fraud_count"),
                          money_sum0("amount").alias("fraud_amount"))
-    c = _combine(v, f)
-    stamp = report_time if report_time is not None else F.current_timestamp()
-    return c.select(
-        stamp.alias("report_timestamp"),
-        F.col("_total_n").alias("total_transactions"),
-        F.col("transaction_count").alias("validated_transactions"),
-        F.col("fraud_count").alias("fraud_transactions"),
-        round2(pct(F.col("fraud_count"), F.col("_total_n"))).alias("fraud_percentage"),
-        round2(F.col("total_amount")).alias("total_amount"),
-        round2(F.col("fraud_amount")).alias("fraud_amount"),
-        round2(pct(F.col("fraud_amount"), F.col("_total_amt"))).alias("fraud_amount_percentage"),
-    )
+    return report_row(_combine(v, f), _stamp(report_time))
 
 
 def fraud_patterns(fraud: DataFrame, hours: int = RECONCILIATION_LOOKBACK_HOURS,

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.config import REASON_HIGH_VALUE, REASON_TRAVEL
+from tripwire.config import REASON_HIGH_VALUE, REASON_TRAVEL, RECONCILIATION_LOOKBACK_HOURS, WINDOW_MINUTES
 from tripwire.functions.formatting import format_report
 from tripwire.operators import analytics as A
 from tripwire.operators import detect as D
@@ -20,7 +20,7 @@ from tripwire.operators import quality as Q
 from tripwire.operators import reconcile as R
 from tripwire.schema import TX_COLUMNS
 from tripwire.sources import event_time_parse, fraud_lookback, json_decode, json_encode, load_transactions
-from tripwire.sources.scans import as_of_column
+from tripwire.sources.scans import as_of_column, lookback_input
 
 REPORT_HOURS = 168          # look-back of the report keys (6 h / 24 h hold too few rows)
 
@@ -41,9 +41,16 @@ def _as_of(tx: DataFrame):
     return as_of_column(None, tx)
 
 
-def _report_input(spark: SparkSession, d: str) -> DataFrame:
+def _recent_fraud(tx: DataFrame, hours: int, now) -> DataFrame:
+    """Fraud rows that a look-back can hold: detection on the transactions that
+    decide about them (events of the look-back, and a window before)."""
+    return _fraud(lookback_input(tx, hours, now, WINDOW_MINUTES - 1))
+
+
+def _report_input(spark: SparkSession, d: str, newest_first: bool = False) -> DataFrame:
     tx = _tx(spark, d)
-    return fraud_lookback(_fraud(tx), REPORT_HOURS, as_of=_as_of(tx))
+    now = _as_of(tx)
+    return fraud_lookback(_recent_fraud(tx, REPORT_HOURS, now), REPORT_HOURS, as_of=now, newest_first=newest_first)
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
@@ -63,10 +70,20 @@ def _recon(fn) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
         tx = _tx(spark, d)
         now = _as_of(tx)
-        return fn(tx, _fraud(tx), as_of=now, report_time=now)
+        return fn(tx, _recent_fraud(tx, RECONCILIATION_LOOKBACK_HOURS, now), as_of=now, report_time=now)
     return run
 
 
+def _rounded(df: DataFrame, places: int, *names: str) -> DataFrame:
+    """Unrounded sums and averages cut to what any order of addition agrees on."""
+    return df.select(*[F.round(c, places).alias(c) if c in names else F.col(c) for c in df.columns])
+
+
+def _digits(df: DataFrame, *names: str) -> DataFrame:
+    """Nine significant digits."""
+    return df.select(*[F.format_string("%.8e", c).cast("double").alias(c) if c in names else F.col(c) for c in df.columns])
+
+
 def _payload_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return json_decode(json_encode(_tx(spark, d), as_binary=True))
 
@@ -93,24 +110,23 @@ def _validated_tree(spark: SparkSession, d: str) -> DataFrame:
 
     root = fresh_path(spark, "validated-tree")
     tx = _tx(spark, d)
-    (tx.withColumn("event_date", F.to_date("timestamp"))
+    # rows of a date together: few files per directory, large dates split
+    (tx.withColumn("event_date", F.to_date("timestamp")).hint("rebalance", "event_date")
      .write.partitionBy("event_date").parquet(root))
     return validated_scan(spark, root, written_by_stream=False)
 
 
-def _anti(spark: SparkSession, d: str) -> DataFrame:
-    tx = _tx(spark, d)
-    return D.validated_anti(tx, _fraud(tx))
-
-
 def _fraud_totals(spark: SparkSession, d: str) -> DataFrame:
     tx = _tx(spark, d)
-    return R.fraud_totals(_fraud(tx), as_of=_as_of(tx))
+    now = _as_of(tx)
+    return _rounded(R.fraud_totals(_recent_fraud(tx, RECONCILIATION_LOOKBACK_HOURS, now), as_of=now), 4, "fraud_amount")
 
 
 def _fraud_patterns(spark: SparkSession, d: str) -> DataFrame:
     tx = _tx(spark, d)
-    return R.fraud_patterns(_fraud(tx), as_of=_as_of(tx))
+    now = _as_of(tx)
+    return _rounded(R.fraud_patterns(_recent_fraud(tx, RECONCILIATION_LOOKBACK_HOURS, now), as_of=now), 4,
+                    "total_fraud_amount", "avg_fraud_amount")
 
 
 def _constraints(spark: SparkSession, d: str) -> DataFrame:
@@ -135,17 +151,17 @@ def batch_queries() -> dict[str, Query]:
         "fraud_union": lambda s, d: D.fraud_union(D.high_value(_tx(s, d)), D.impossible_travel(_tx(s, d))),
         "detect_all": lambda s, d: _fraud(_tx(s, d)),
         "fraud_distinct": _fraud_q(D.fraud_distinct),
-        "validated_anti": _anti,
+        "validated_anti": lambda s, d: D.validated_events(_tx(s, d)),
         "constraint_violations": _constraints,
         # batch layer
-        "validated_totals": lambda s, d: R.validated_totals(_tx(s, d)),
+        "validated_totals": lambda s, d: _rounded(R.validated_totals(_tx(s, d)), 4, "total_amount"),
         "fraud_totals": _fraud_totals,
         "fraud_patterns": _fraud_patterns,
         "reconciliation": _recon(R.reconciliation),
-        "recon_table_row": _recon(R.recon_table_row),
+        "recon_table_row": lambda s, d: _rounded(_recon(R.recon_table_row)(s, d), 4, "total_amount", "fraud_amount"),
         "reconciliation_consistent": _recon(R.reconciliation_consistent),
         # report layer
-        "fraud_lookback": lambda s, d: _report_input(s, d),
+        "fraud_lookback": lambda s, d: _report_input(s, d, newest_first=True),
         "by_category": _report(A.by_category),
         "by_reason": _report(A.by_reason),
         "by_location": _report(A.by_location),
@@ -155,7 +171,7 @@ def batch_queries() -> dict[str, Query]:
         "reason_share": _report(A.reason_share),
         "timeline_hourly": _report(A.timeline_hourly),
         "amount_histogram": _report(A.amount_histogram),
-        "amount_density": _report(A.amount_density),
+        "amount_density": _report(lambda f: _digits(A.amount_density(f), "amount", "density", "expected_count")),
         "format_report": _report(lambda f: format_report(A.by_category(f), "merchant_category")),
         # ad-hoc queries on the fraud table
         "adhoc_fraud_count": _fraud_q(lambda f: f.agg(F.count(F.lit(1)).alias("fraud_count"))),

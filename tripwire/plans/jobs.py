@@ -1,9 +1,10 @@
 """End-to-end batch jobs: the 6-hourly reconciliation and the analytics report.
 
-Each job is one Spark application step: inputs are read once, shared
-intermediates are checkpointed to the cluster's shared checkpoint directory
-(reliable, survives executor loss, cuts lineage), outputs are written as
-header CSV directories named with the run time.
+Each job is one Spark application step.  What several outputs share is computed
+once and checkpointed to the cluster's shared checkpoint directory (reliable,
+survives executor loss, cuts lineage): the totals of the reconciliation, the
+look-back slice of the report, and every table that is only written when it has
+rows.  Outputs are header CSV directories named with the run time.
 """
 
 from __future__ import annotations
@@ -19,30 +20,32 @@ from tripwire.operators import analytics as A
 from tripwire.operators import reconcile as R
 from tripwire.session import shared_dir
 from tripwire.sinks.files import append_reconciliation_row, write_csv_report
-from tripwire.sources.scans import as_of_column, fraud_lookback
+from tripwire.sources.scans import as_of_column, as_of_text, fraud_lookback
 
 
-def _stamp(now: datetime) -> str:
-    return now.strftime("%Y%m%d_%H%M%S")
+def _stamp(now: datetime | str) -> str:
+    return datetime.fromisoformat(as_of_text(now)).strftime("%Y%m%d_%H%M%S")
 
 
 def reconciliation_job(spark: SparkSession, validated: DataFrame, fraud: DataFrame, reports_dir: str,
-                       now: datetime, table_path: str | None = None,
+                       now: datetime | str, table_path: str | None = None,
                        hours: int = RECONCILIATION_LOOKBACK_HOURS) -> dict[str, str | None]:
     """Reconciliation CSV, reconciliation table row, fraud-pattern CSV (only
     when there are patterns)."""
-    stamp = F.lit(now).cast("timestamp")
-    report = R.reconciliation(validated, fraud, as_of=now, hours=hours, report_time=stamp)
+    stamp = F.lit(as_of_text(now)).cast("timestamp")
+    shared_dir(spark)
+    totals = R.totals(validated, fraud, as_of=now, hours=hours).checkpoint(eager=True)     # one row
+    report = R.report_row(totals, stamp)
     out = {"reconciliation": write_csv_report(report, reports_dir, "reconciliation", _stamp(now))}
     if table_path:
-        append_reconciliation_row(R.recon_table_row(validated, fraud, as_of=now, hours=hours,
-                                                    report_time=stamp), path=table_path)
+        append_reconciliation_row(R.table_row(totals, stamp), path=table_path)
     patterns = R.fraud_patterns(fraud, hours=hours, as_of=now)
     out["fraud_analysis"] = write_csv_report(patterns, reports_dir, "fraud_analysis", _stamp(now),
                                              skip_empty=True)
     return out
 
 
+# --- fixed values: report file stems ----------------------------------------
 REPORT_TABLES = {
     "fraud_by_category": (A.by_category, "merchant_category"),
     "fraud_by_reason": (A.by_reason, "fraud_reason"),
@@ -57,15 +60,16 @@ CHART_TABLES = {
     "amount_histogram": A.amount_histogram,
     "amount_density": A.amount_density,
 }
+# --- end of fixed values ----------------------------------------------------
 
 
-def report_job(spark: SparkSession, fraud: DataFrame, reports_dir: str, now: datetime | None = None,
+def report_job(spark: SparkSession, fraud: DataFrame, reports_dir: str, now: datetime | str | None = None,
                hours: int = REPORT_LOOKBACK_HOURS) -> dict[str, str | None]:
     """The analytics report: look-back slice checkpointed once, then every
     table written (grouped tables, formatted tables, chart data, summary)."""
     shared_dir(spark)   # the reliable checkpoint directory must be set
     as_of = as_of_column(now, fraud)
-    sliced = fraud_lookback(fraud, hours, as_of=as_of).checkpoint(eager=True)
+    sliced = fraud_lookback(fraud, hours, as_of=as_of, newest_first=False).checkpoint(eager=True)
     stamp = _stamp(now or datetime.now(timezone.utc))
     out: dict[str, str | None] = {}
     for name, (fn, key) in REPORT_TABLES.items():

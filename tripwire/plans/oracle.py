@@ -25,7 +25,7 @@ _HV = f"""hv AS (
 _WIN = """w AS (
   SELECT *, unnest(generate_series(date_trunc('minute', "timestamp") - INTERVAL 9 MINUTE,
                                    date_trunc('minute', "timestamp"), INTERVAL 1 MINUTE)) AS ws
-  FROM tx WHERE user_id IS NOT NULL AND "timestamp" IS NOT NULL),
+  FROM tx WHERE "timestamp" IS NOT NULL),
 fw AS (SELECT user_id, ws FROM w GROUP BY user_id, ws HAVING min(location) < max(location))"""
 _IT = f"""it AS (
   SELECT {_COLS}, '{REASON_TRAVEL}' AS fraud_reason FROM w JOIN fw USING (user_id, ws))"""
@@ -41,8 +41,9 @@ _F = _with(_TX, _HV, _WIN, _IT, _FRAUD)
 _LB_REPORT = f'lb AS (SELECT * FROM fraud WHERE "timestamp" >= {_ASOF} - INTERVAL {REPORT_HOURS} HOUR)'
 _R = _with(_TX, _HV, _WIN, _IT, _FRAUD, _LB_REPORT)
 
-_MSUM = "CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE)"
-_MAVG = f"({_MSUM} / COUNT(amount))"
+# compensated double sums and averages over the amounts as they are
+_MSUM = "fsum(amount)"
+_MAVG = "favg(amount)"
 _ISO = """CASE WHEN epoch_us("timestamp") % 1000000 = 0
             THEN strftime("timestamp", '%Y-%m-%dT%H:%M:%S')
             ELSE strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') END"""
@@ -122,14 +123,14 @@ WHERE lo < hi"""
     CASE WHEN length(location) > 10 THEN 'location LONGER THAN 10' END,
     CASE WHEN length(fraud_reason) > 255 THEN 'fraud_reason LONGER THAN 255' END], lambda x: x IS NOT NULL), ';')
   AS violation_list FROM fraud"""
-    q["validated_totals"] = _with(_TX) + f"SELECT count(*) AS transaction_count, coalesce({_MSUM}, 0.0) AS total_amount FROM tx"
-    q["fraud_totals"] = _with(_TX, _HV, _WIN, _IT, _FRAUD, _LB6) + f"SELECT count(*) AS fraud_count, coalesce({_MSUM}, 0.0) AS fraud_amount FROM f6"
+    q["validated_totals"] = _with(_TX) + f"SELECT count(*) AS transaction_count, round(coalesce({_MSUM}, 0.0), 4) AS total_amount FROM tx"
+    q["fraud_totals"] = _with(_TX, _HV, _WIN, _IT, _FRAUD, _LB6) + f"SELECT count(*) AS fraud_count, round(coalesce({_MSUM}, 0.0), 4) AS fraud_amount FROM f6"
     q["fraud_patterns"] = _with(_TX, _HV, _WIN, _IT, _FRAUD, _LB6) + f"""SELECT merchant_category, count(*) AS fraud_count,
-  {_MSUM} AS total_fraud_amount, {_MSUM} / count(amount) AS avg_fraud_amount, fraud_reason
+  round({_MSUM}, 4) AS total_fraud_amount, round({_MAVG}, 4) AS avg_fraud_amount, fraud_reason
 FROM f6 GROUP BY merchant_category, fraud_reason"""
     q["reconciliation"] = _with(_TX, _HV, _WIN, _IT, _FRAUD, _LB6, _recon_totals("tx", "f6")) + _RECON_SELECT
     q["recon_table_row"] = _with(_TX, _HV, _WIN, _IT, _FRAUD, _LB6, _recon_totals("tx", "f6")) + f"""SELECT {_ASOF} AS report_date,
-  tn AS total_transactions, ta AS total_amount, fraud_count, fraud_amount FROM c"""
+  tn AS total_transactions, round(ta, 4) AS total_amount, fraud_count, round(fraud_amount, 4) AS fraud_amount FROM c"""
     q["reconciliation_consistent"] = _with(
         _TX, _HV, _WIN, _IT, _FRAUD,
         f'tx6 AS (SELECT {_COLS} FROM tx WHERE "timestamp" >= {_ASOF} - INTERVAL 6 HOUR)',
@@ -166,12 +167,14 @@ FROM lb WHERE "timestamp" IS NOT NULL GROUP BY 1"""
                      CASE WHEN mn = mx THEN mx + 0.5 ELSE mx END AS hi, sd
   FROM (SELECT count(*) AS n, min(amount) AS mn, max(amount) AS mx, stddev_samp(amount) AS sd
         FROM lb WHERE amount IS NOT NULL) WHERE n > 0)"""
-    q["amount_histogram"] = _with(_TX, _HV, _WIN, _IT, _FRAUD, _LB_REPORT, _rng) + """, cnt AS (
-  SELECT CAST(least(floor((amount - lo) / (hi - lo) * 40) + 1, 40) AS INTEGER) AS bin, count(*) AS c
-  FROM lb CROSS JOIN rng WHERE amount IS NOT NULL GROUP BY 1)
-SELECT CAST(g.bin AS INTEGER) AS bin, lo + (g.bin - 1) * ((hi - lo) / 40) AS bin_start,
-       lo + g.bin * ((hi - lo) / 40) AS bin_end, coalesce(cnt.c, 0) AS fraud_count
-FROM (SELECT unnest(range(1, 41)) AS bin) g CROSS JOIN rng LEFT JOIN cnt ON cnt.bin = g.bin"""
+    # every amount is counted against the edges themselves
+    q["amount_histogram"] = _with(_TX, _HV, _WIN, _IT, _FRAUD, _LB_REPORT, _rng) + """, edges AS (
+  SELECT CAST(b AS INTEGER) AS bin, lo + (b - 1) * ((hi - lo) / 40) AS bin_start,
+         CASE WHEN b = 40 THEN hi ELSE lo + b * ((hi - lo) / 40) END AS bin_end
+  FROM (SELECT unnest(range(1, 41)) AS b) CROSS JOIN rng)
+SELECT bin, bin_start, bin_end, count(amount) AS fraud_count
+FROM edges LEFT JOIN lb ON amount >= bin_start AND (amount < bin_end OR (bin = 40 AND amount <= bin_end))
+GROUP BY ALL"""
     q["amount_density"] = _with(_TX, _HV, _WIN, _IT, _FRAUD, _LB_REPORT, _rng) + """, par AS (
   SELECT n, lo, hi, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw FROM rng WHERE sd > 0),
 grid AS (SELECT CAST(p AS INTEGER) AS point, lo + p * ((hi - lo) / 199) AS x, n, lo, hi, bw
@@ -179,8 +182,9 @@ grid AS (SELECT CAST(p AS INTEGER) AS point, lo + p * ((hi - lo) / 199) AS x, n,
 wts AS (SELECT amount, count(*) AS w FROM lb WHERE amount IS NOT NULL GROUP BY amount),
 k AS (SELECT point, x, n, lo, hi, bw, sum(w * exp(-0.5 * ((x - amount) / bw) * ((x - amount) / bw))) AS s
       FROM grid CROSS JOIN wts GROUP BY ALL)
-SELECT point, round(x, 6) AS amount, round(s / (n * bw * sqrt(2 * pi())), 9) AS density,
-       round(s / (n * bw * sqrt(2 * pi())) * n * (hi - lo) / 40, 6) AS expected_count FROM k"""
+SELECT point, CAST(format('{:.8e}', x) AS DOUBLE) AS amount,
+       CAST(format('{:.8e}', s / (n * bw * sqrt(2 * pi()))) AS DOUBLE) AS density,
+       CAST(format('{:.8e}', s / (n * bw * sqrt(2 * pi())) * n * (hi - lo) / 40) AS DOUBLE) AS expected_count FROM k"""
     q["format_report"] = _R + f"""SELECT merchant_category AS "Index",
   CASE WHEN fraud_count > 100 THEN format('{{:,}}', CAST(fraud_count AS BIGINT)) ELSE format('{{:.2f}}', CAST(fraud_count AS DOUBLE)) END AS fraud_count,
   '$' || format('{{:,.2f}}', coalesce(total_amount, 0.0)) AS total_amount,

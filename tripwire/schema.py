@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# --- fixed values: wire and table columns -------------------------------------
 TX_COLUMNS = ["user_id", "timestamp", "merchant_category", "amount", "location"]
 FRAUD_COLUMNS = TX_COLUMNS + ["fraud_reason"]
 
@@ -40,6 +41,8 @@ RECONCILIATION_ROW = T.StructType([
     T.StructField("fraud_amount", T.DoubleType(), False),
 ])
 
+# --- end of fixed values ----------------------------------------------------
+
 # The generator's event table the fixture view is built on.
 EVENTS = T.StructType([
     T.StructField("event_id", T.LongType(), True),

@@ -28,6 +28,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
@@ -59,6 +60,7 @@ def cluster_conf(input_bytes: int, executor_cores_total: int,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -78,8 +80,9 @@ def pin_session(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Root of the cluster-shared scratch area.
 
-    Read from the session's ``spark.checkpoint.dir``; only when the session has
-    none (local tests) is a local directory created and registered.
+    Read from the session's ``spark.checkpoint.dir``.  Only a ``local[...]``
+    session without one gets a temporary directory; on a cluster every machine
+    would write to a disk of its own, so that is an error.
     """
     try:
         sc = spark.sparkContext
@@ -90,8 +93,12 @@ def shared_dir(spark: SparkSession) -> str:
         return root
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a directory that all machines share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tripwire-ckpt-"))
         root = sc.getCheckpointDir()
+    elif not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 

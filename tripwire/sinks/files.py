@@ -6,13 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripwire.session import shared_dir
+
 
 def _plain_number(c: Column) -> Column:
-    """A double as plain decimal text (``12407664.25``, not ``1.240766425E7``);
-    values outside decimal(38,12) keep the default text."""
-    text = c.try_cast("decimal(38,12)").cast("string")
-    trimmed = F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", ".0")
-    return F.coalesce(trimmed, c.cast("string"))
+    """A double as plain decimal text (``12407664.25``, not ``1.240766425E7``)
+    where twelve decimals hold its value; else its shortest exact text."""
+    exact = c.try_cast("decimal(38,12)")
+    trimmed = F.regexp_replace(F.regexp_replace(exact.cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", ".0")
+    return F.coalesce(F.when(exact.cast("double") == c, trimmed), c.cast("string"))
 
 
 def _csv_ready(df: DataFrame) -> DataFrame:
@@ -25,8 +27,12 @@ def write_csv_report(df: DataFrame, directory: str, name: str, stamp: str,
                      skip_empty: bool = False) -> str | None:
     """A report table as a header CSV directory ``<directory>/<name>_<stamp>``.
     Small report tables are written as a single part file."""
-    if skip_empty and df.isEmpty():
-        return None
+    if skip_empty:
+        # computed once: the table decides and is written from here
+        shared_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+        if df.isEmpty():
+            return None
     target = f"{directory.rstrip('/')}/{name}_{stamp}"
     _csv_ready(df).coalesce(1).write.mode("overwrite").option("header", True).csv(target)
     return target

@@ -1,15 +1,18 @@
 """Fraud table writer for ``foreachBatch``.
 
-Layout: ``<table>/event_date=<d>/batch_id=<n>/``.  A batch is written with
-dynamic partition overwrite, so a batch replayed after a failure replaces the
-partitions of its earlier attempt instead of appending twice.  Rows are
-de-duplicated within the batch and against rows that earlier batches already
-wrote (the sliding-window detector re-emits an event for every window that
-closes later).  That lookup reads only the event dates present in the batch:
-the batch's distinct dates (a handful of values for a micro-batch) name the
-``event_date=`` directories that are listed and read; the rest of the table
-is never listed.  Errors propagate: the batch is not committed and is
-retried on restart.
+Layout: ``<table>/event_date=<d>/query_id=<q>/batch_id=<n>/``.  The query id is
+the one Spark keeps in the checkpoint, so a directory belongs to one batch of
+one query: a batch replayed after a failure replaces the directories of its
+earlier attempt (dynamic partition overwrite), and no other query, nor the same
+one with a fresh checkpoint, can overwrite them.
+
+Rows are de-duplicated within the batch and against what any other batch wrote
+(the sliding-window detector re-emits an event for every window that closes
+later).  That lookup is bounded by the batch's own time range: only its event
+dates are listed, and only rows between its first and last event time are read.
+Rows without an event time are kept under the NULL date and looked up there.
+A batch writes one file per date until a date's rows are large.  Errors
+propagate: the batch is not committed and is retried on restart.
 
 Optionally the new rows are also appended to a JDBC table, and rows that
 break the table's constraints (NOT NULL, maximum lengths) are written to a
@@ -19,20 +22,25 @@ quarantine directory with their violations instead of failing the batch.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
-from tripwire.operators.sizing import broadcast_row_limit
+from tripwire.operators.sizing import fits_broadcast
 from tripwire.schema import FRAUD_COLUMNS, FRAUD_TABLE
 
-# Stored layout: the fraud table columns plus the two partition columns.
+# Stored layout: the fraud table columns plus the partition columns.
 STORED = T.StructType(FRAUD_TABLE.fields + [
     T.StructField("event_date", T.DateType(), True),
+    T.StructField("query_id", T.StringType(), True),
     T.StructField("batch_id", T.LongType(), True),
 ])
+_NO_DATE = "event_date=__HIVE_DEFAULT_PARTITION__"
+# A batch over more dates than this (a backfill) looks up the whole table, pruned by date.
+_NAMED_DATES = 62
+OUTSIDE_A_QUERY = "none"
 
 
 def _missing(exc: Exception) -> bool:
@@ -50,22 +58,29 @@ def read_fraud_table(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], STORED)
 
 
-def _stored_rows_of_dates(spark: SparkSession, root: str, dates: list) -> DataFrame | None:
-    """Stored rows of the given event dates; only those date directories are
-    listed.  ``None`` when none of them exists yet.
-
-    The directories are read as literal paths; when some date has no
-    directory yet, a brace glob over the dates reads the ones that exist.
-    """
-    names = sorted({d.isoformat() for d in dates if d is not None})
-    if not names:
-        return None
-    reader = spark.read.schema(STORED).option("basePath", root)
-    literal = [f"{root}/event_date={n}" for n in names]
-    pattern = [f"{root}/event_date={{{','.join(names)}}}"]
-    for paths in (literal, pattern):
+def _stored_between(spark: SparkSession, root: str, first, last, undated: bool) -> DataFrame | None:
+    """Stored rows with event times from ``first`` to ``last`` (and, if asked,
+    without one).  ``None`` when nothing of the kind is stored."""
+    wanted = F.lit(False)
+    names = []
+    if first is not None:
+        wanted = F.col("timestamp").between(F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last)))
+        a, b = (timedelta(microseconds=t).days for t in (first, last))
+        if b - a < _NAMED_DATES:
+            names = [f"event_date={(date(1970, 1, 1) + timedelta(days=d)).isoformat()}" for d in range(a, b + 1)]
+    if undated:
+        wanted = wanted | F.col("timestamp").isNull()
+    if undated and (names or first is None):
+        names.append(_NO_DATE)
+    if names:
+        reader = spark.read.schema(STORED).option("basePath", root)
+        # literal paths; when some date has no directory yet, a glob over them
+        tries = [[f"{root}/{n}" for n in names], [f"{root}/{{{','.join(names)}}}"]]
+    else:
+        reader, tries = spark.read.schema(STORED), [[root]]
+    for paths in tries:
         try:
-            return reader.parquet(*paths)
+            return reader.parquet(*paths).filter(wanted)
         except Exception as exc:  # noqa: BLE001 - a date not written yet is not an error
             if not _missing(exc):
                 raise
@@ -79,9 +94,14 @@ class FraudTableWriter:
     jdbc_table: str = "fraud_transactions"
     jdbc_properties: dict = field(default_factory=dict)
     quarantine_path: str | None = None
+    query_id: str | None = None         # default: the running streaming query's
+
+    def _query_id(self, spark: SparkSession) -> str:
+        return (self.query_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or OUTSIDE_A_QUERY)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        query_id = self._query_id(spark)
         rows = (batch.select(*FRAUD_COLUMNS)
                 .dropDuplicates(FRAUD_COLUMNS)
                 .withColumn("event_date", F.to_date("timestamp"))
@@ -90,15 +110,18 @@ class FraudTableWriter:
         try:
             new = rows
             root = self.path.rstrip("/")
-            dates = [r[0] for r in rows.select("event_date").distinct().collect()]
-            stored = _stored_rows_of_dates(spark, root, dates)
+            # one row about the batch
+            first, last, undated, size = rows.agg(
+                F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp")),
+                F.count_if(F.col("timestamp").isNull()), F.count(F.lit(1))).first()
+            stored = _stored_between(spark, root, first, last, undated > 0) if size else None
             if stored is not None:
-                seen = (stored.filter(F.col("batch_id") < F.lit(batch_id))
-                        .select(*[F.col(c).alias(f"_s_{c}") for c in FRAUD_COLUMNS + ["event_date"]]))
-                cond = F.col("event_date") == F.col("_s_event_date")
+                others = (F.col("query_id") != query_id) | (F.col("batch_id") < F.lit(batch_id))
+                seen = stored.filter(others).select(*[F.col(c).alias(f"_s_{c}") for c in FRAUD_COLUMNS])
+                cond = F.lit(True)
                 for c in FRAUD_COLUMNS:
                     cond = cond & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
-                if rows.count() <= broadcast_row_limit(rows):
+                if fits_broadcast(rows):
                     # small batch: find the already-stored rows with the batch broadcast
                     # (stored rows are scanned, not shuffled), then drop them
                     dups = seen.join(F.broadcast(rows), cond, "left_semi")
@@ -106,6 +129,7 @@ class FraudTableWriter:
                 else:
                     new = rows.join(seen, cond, "left_anti")
             out = (new.withColumn("detected_at", F.current_timestamp())
+                   .withColumn("query_id", F.lit(query_id))
                    .withColumn("batch_id", F.lit(batch_id).cast("long")))
             if self.quarantine_path:
                 from tripwire.operators.quality import constraint_violations
@@ -113,15 +137,17 @@ class FraudTableWriter:
                 checked = constraint_violations(out).persist()
                 cached.append(checked)
                 (checked.filter(F.size("violations") > 0).write.mode("overwrite")
-                 .parquet(f"{self.quarantine_path.rstrip('/')}/batch_id={batch_id}"))
+                 .parquet(f"{self.quarantine_path.rstrip('/')}/query_id={query_id}/batch_id={batch_id}"))
                 out = checked.filter(F.size("violations") == 0).drop("violations")
             if self.jdbc_url:
                 out = out.persist()
                 cached.append(out)
-            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("event_date", "batch_id").parquet(self.path))
+            # rows of a date together (large dates are split again at run time)
+            (out.select(*STORED.names).hint("rebalance", "event_date")
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("event_date", "query_id", "batch_id").parquet(self.path))
             if self.jdbc_url:
-                (out.drop("event_date", "batch_id").write
+                (out.drop("event_date", "query_id", "batch_id").write
                  .jdbc(self.jdbc_url, self.jdbc_table, mode="append", properties=self.jdbc_properties))
         finally:
             for df in cached:

@@ -18,12 +18,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwire.config import REASON_TRAVEL, WATERMARK_DELAY, WINDOW_LENGTH, WINDOW_SLIDE
+from tripwire.config import (HIGH_VALUE_THRESHOLD, REASON_TRAVEL, WATERMARK_DELAY, WINDOW_LENGTH, WINDOW_MINUTES,
+                             WINDOW_SLIDE)
 from tripwire.operators.detect import fraud_union, high_value
 from tripwire.schema import FRAUD_COLUMNS
 
-WINDOW_MINUTES = 10
-
 stream_high_value = high_value
 
 
@@ -83,6 +82,7 @@ def stream_impossible_travel(tx: DataFrame, delay: str = WATERMARK_DELAY) -> Dat
                     "amount", "location", F.lit(REASON_TRAVEL).alias("fraud_reason")))
 
 
-def stream_fraud(tx: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
+def stream_fraud(tx: DataFrame, delay: str = WATERMARK_DELAY,
+                 threshold: float = HIGH_VALUE_THRESHOLD) -> DataFrame:
     """Both detectors in one append-mode stream (duplicates kept, as emitted)."""
-    return fraud_union(high_value(tx), stream_impossible_travel(tx, delay)).select(*FRAUD_COLUMNS)
+    return fraud_union(high_value(tx, threshold), stream_impossible_travel(tx, delay)).select(*FRAUD_COLUMNS)

@@ -13,6 +13,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tripwire.config import HIGH_VALUE_THRESHOLD, WATERMARK_DELAY
 from tripwire.session import fresh_path, parallelism
 from tripwire.sinks.fraud_table import FraudTableWriter
 
@@ -81,7 +82,9 @@ def run_available_now(df: DataFrame, spark: SparkSession, name: str) -> str:
     return out
 
 
-def run_pipeline(spark: SparkSession, tx: DataFrame, base: str, available_now: bool = False):
+def run_pipeline(spark: SparkSession, tx: DataFrame, base: str, available_now: bool = False,
+                 threshold: float = HIGH_VALUE_THRESHOLD, watermark: str = WATERMARK_DELAY,
+                 jdbc_url: str | None = None, jdbc_properties: dict | None = None):
     """The full speed layer: fraud stream -> fraud table, all transactions ->
     validated files (rows breaking the fraud table's constraints go to
     ``fraud_quarantine/``); both streams are also registered as ``fraud_view`` and
@@ -91,9 +94,10 @@ def run_pipeline(spark: SparkSession, tx: DataFrame, base: str, available_now: b
     from tripwire.streaming.detect import stream_fraud
 
     base = base.rstrip("/")
-    fraud = stream_fraud(tx)
+    fraud = stream_fraud(tx, watermark, threshold)
     register_views(fraud, tx)
-    writer = FraudTableWriter(f"{base}/fraud", quarantine_path=f"{base}/fraud_quarantine")
+    writer = FraudTableWriter(f"{base}/fraud", quarantine_path=f"{base}/fraud_quarantine",
+                              jdbc_url=jdbc_url, jdbc_properties=jdbc_properties or {})
     fraud_q = start_fraud_sink(fraud, f"{base}/fraud", f"{base}/checkpoints/fraud",
                                available_now=available_now, writer=writer)
     valid_q = start_validated_sink(tx, f"{base}/validated", f"{base}/checkpoints/validated",
