@@ -1,0 +1,77 @@
+"""The stages against plain versions, and the registry."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import numpy as np
+
+import __spark_entry__ as entry
+import corpus_pipeline as C
+from llm import secrets_scan as S
+from llm.simhash import fingerprint
+from tests.llm.test_mixing import plain_targets
+from tests.llm.test_simhash import plain_components
+
+EN = "the cat sat on the mat and the dog ran to the house of this man with number"
+
+
+def rows():
+    out = [(i, f"{EN} {i} " + " ".join(f"w{(i * 7 + j) % 91}" for j in range(60)), "en", f"s{i % 3}") for i in range(60)]
+    out += [(100 + i, out[i][1], "en", "s0") for i in range(20)]                # exact copies
+    out += [(200, None, "en", "s1"), (201, "", None, None), (202, "123 456 !!", "en", "s1"), (None, "the dog without an id", None, None)]
+    out += [(203, 'the house token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" of the man', "en", "s2"), (5, out[5][1], "en", "s2")]
+    return out
+
+
+def test_stages(spark, make_docs, as_tables):
+    given = rows()
+    docs = make_docs(given, extra=("_lang", "_shards"))
+    sf = as_tables(documents=docs)
+    assert [n for n, _ in C.STAGES] == ["language_id", "simhash_near_dedup", "secret_scan", "mixing", "packing"]
+    spoken = C.STAGES[0][1](spark, docs, sf)
+    kept = [r for r in given if r[1] and re.search("[a-z]", r[1])]
+    assert Counter((r.doc_id, r.text) for r in spoken.collect()) == Counter((r[0], r[1]) for r in kept)
+
+    single = C.STAGES[1][1](spark, spoken, sf)
+    known = [r for r in kept if r[0] is not None]
+    component = plain_components([r[0] for r in known], np.array([fingerprint(r[1]) for r in known], dtype=np.uint64))
+    expected = {i for i, c in component.items() if i == c}
+    found = [r.doc_id for r in single.collect()]
+    assert Counter(found) == Counter([*expected, None])
+
+    clean = C.STAGES[2][1](spark, single, sf)
+    assert clean.columns == docs.columns and clean.count() == single.count()
+    by_id = {r.doc_id: r for r in clean.collect()}
+    assert by_id[203].text == 'the house [assign]" of the man' and by_id[203].n_chars == len(by_id[203].text)
+    assert all(by_id[r.doc_id].text == r.text for r in single.collect() if r.doc_id != 203)
+    assert S.with_spans(clean).filter("size(base) > 0").count() == 0
+
+    mixed = C.STAGES[3][1](spark, clean, sf)
+    assert mixed.columns == docs.columns
+    sizes = Counter()
+    for r in clean.collect():
+        sizes[r.source] += len(r.text.split())
+    taken, copies = Counter(), Counter()
+    for r in mixed.collect():
+        taken[r.source] += len(r.text.split())
+        copies[r.doc_id] += 1
+    for source, target in plain_targets(dict(sizes)).items():
+        assert abs(taken[source] - target) <= 80
+    assert max(copies.values()) <= 2
+
+    packed = C.STAGES[4][1](spark, mixed, sf).toPandas()
+    assert Counter(packed[packed.piece == 0].doc_id.fillna(-1)) == Counter(-1 if k is None else k for k in copies.elements())
+    assert packed.groupby("sequence_id").length.sum().max() <= 1024
+    assert len(C.run(spark, sf).collect()) == len(packed)
+
+
+def test_empty_documents(spark, make_docs, as_tables):
+    assert C.run(spark, as_tables(documents=make_docs([]))).count() == 0
+
+
+def test_registry():
+    names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert entry.queries()["pipeline"] is C.run

@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from llm import quality as Q
+
+
+def test_logistic_finds_the_boundary():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(400, 3))
+    y = (x[:, 0] + 0.2 * x[:, 1] > 0).astype(float)
+    w = np.array(Q.fit_logistic(x, y, np.ones(400)))
+    assert (((x @ w[:-1] + w[-1]) > 0) == (y == 1)).mean() > 0.97
+
+
+def test_whole_text_counts():
+    model = Q.QualityModel(b"good words " * 200, b"bad noise " * 200, [1.0, 0.0, 0.0, 0.0])
+    scorer = model.scorer()
+    head = "good words " * 300
+    assert scorer.features(head + "bad noise " * 5000)[0] < scorer.features(head)[0]
+
+
+@pytest.mark.parametrize("labels,expected", [([], 0.5), ([(1, 1)], 1.0), ([(1, 0), (2, 0)], 0.0)])
+def test_one_class_or_none(spark, make_docs, labels, expected):
+    docs = make_docs([(1, "abc"), (2, None), (2, "")])
+    marked = spark.createDataFrame(labels, "doc_id long, quality int")
+    model = Q.train(docs, marked, F.lit(True))
+    assert [round(r.score, 6) for r in Q.score(docs, model).collect()] == [expected] * 3
+
+
+def test_odd_rows(spark, make_docs, as_tables):
+    good = [(i, f"a fine sentence about houses and gardens number {i}. " * 6) for i in range(40)]
+    bad = [(100 + i, f"BUY!! NOW!! {i} ### $$$ " * 12) for i in range(40)]
+    odd = [(200, None), (201, ""), (None, "a fine sentence about houses"), (202, "BUY!! NOW!! " * 20_000), (1, "again")]
+    docs = make_docs(good + bad + odd, extra=("score", "quality", "_key"))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)] + [(100 + i, 0, 0) for i in range(40)]
+                                   + [(1, 1, 0), (None, 0, 0), (2, None, 0), (3, 7, 0)],
+                                   "doc_id long, quality int, toxic int")
+    got = Q.op2_quality(spark, as_tables(documents=docs, labels=labels)).toPandas()
+    assert got.columns.tolist() == ["doc_id", "held_out", "score", "predicted"] and len(got) == 85
+    assert got.score.between(0, 1).all() and ((got.score >= 0.5) == (got.predicted == 1)).all()
+    held = got[got.held_out & (got.doc_id < 200)]
+    assert (held.predicted == (held.doc_id < 100)).mean() > 0.9
+    assert Q.score(make_docs([]), Q.QualityModel(b"", b"", [0.0] * 4)).count() == 0
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.1"
+    got = Q.op2_quality(spark, sf).join(
+        spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality"), "doc_id").toPandas()
+    held = got[got.held_out]
+    assert (held.predicted == held.quality).mean() > 0.97
