@@ -265,17 +265,20 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     """(key, n_links, component) of every row."""
     rows = vectors.select(F.col(key).alias("_key"), F.col(vector).alias("embedding"))
     takes_part = usable(F.col("embedding")) & F.col("_key").isNotNull()
+    # a node is a distinct vector; its number is fixed by being written
     distinct = saved(rows.filter(takes_part).groupBy("embedding")
-                     .agg(F.min("_key").cast("long").alias("node"), F.count(F.lit(1)).alias("n"))
-                     .select("node", "n", "embedding"), "vectors")
-    found = saved(links(distinct, threshold, blocks, cell_rows), "veclinks")
+                     .agg(F.min("_key").cast("long").alias("least"), F.count(F.lit(1)).alias("n"))
+                     .select(F.monotonically_increasing_id().alias("node"), "least", "n", "embedding"), "vectors")
+    found = saved(links(distinct.select("node", "n", "embedding"), threshold, blocks, cell_rows), "veclinks")
     counts = found.filter(F.col("links") > 0).groupBy("node").agg(F.sum("links").alias("linked"))
     classes = connected_components(found.filter(F.col("other").isNotNull())
                                    .select(F.col("node").alias("src"), F.col("other").alias("dst")))
-    about = (distinct.join(counts, "node", "left").join(classes, "node", "left")
+    named = (classes.join(distinct.select("node", "least"), "node")
+             .groupBy("component").agg(F.min("least").alias("first")))
+    about = (distinct.join(counts, "node", "left").join(classes, "node", "left").join(named, "component", "left")
              .select(F.col("embedding").alias("_vector"),
                      (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-                     F.coalesce("component", "node").alias("component")))
+                     F.coalesce("first", "least").alias("component")))
     return (rows.join(about, (F.col("embedding") == F.col("_vector")) & takes_part, "left")
             .select(F.col("_key").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce(F.col("component"), F.col("_key").cast("long")).alias("component")))

@@ -10,6 +10,7 @@ from llm.embedding_dedup import op1_embedding_dedup
 from llm.language_id import op9_language_id
 from llm.mixing import op7_mixing
 from llm.neighbours import op6_nearest
+from llm.oracles import llm_oracles
 from llm.packing import op3_packing
 from llm.pii import op4_pii
 from llm.quality import op2_quality
@@ -17,12 +18,11 @@ from llm.secrets_scan import op10_secrets
 from llm.simhash import op8_simhash
 from llm.url_filter import op5_urls
 
+__all__ = ["llm_oracles", "llm_queries"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_packing, op4_pii, op5_urls, op6_nearest, op7_mixing, op8_simhash, op9_language_id, op10_secrets)}
 
-
-def llm_oracles() -> dict[str, str]:
-    return {}

@@ -38,3 +38,15 @@ def as_tables(tmp_path):
             df.write.parquet(str(tmp_path / f"{name}.parquet"))
         return str(tmp_path)
     return write
+
+
+def rows_of_sql(spark, tables, name):
+    """Rows of a query's SQL over the tables of a directory, as sorted text."""
+    import duckdb
+
+    from llm.queries import llm_oracles
+
+    con = duckdb.connect()
+    for path in tables.glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    return sorted(map(repr, con.execute(llm_oracles()[name]).fetchall()))

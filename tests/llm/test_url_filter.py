@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from llm import url_filter as U
 from llm.simhash import Union
+from tests.llm.conftest import rows_of_sql
 
 
 def parts(url):
@@ -55,7 +56,7 @@ def test_links_of_a_page(spark):
     assert got == ["http://x.org/c", "http://h.org/z", "http://x.org/d/rel/x?y=1"]
 
 
-def test_verdicts_against_union_find(spark, as_tables):
+def test_verdicts_against_union_find(spark, as_tables, tmp_path):
     rng = random.Random(1)
     hosts = ["a.org", "b.org", "c.com", "evil.net", "ok.example.net", "www.example.com"]
     paths = ["/", "/en/1", "/de/2", "/fr/3", "/x?q=1"]
@@ -89,6 +90,7 @@ def test_verdicts_against_union_find(spark, as_tables):
     assert sorted(map(repr, ((r.page_id, *r[1:]) for r in got))) == sorted(
         repr((i, *expected(url))) for i, url, _ in rows)
     assert any(r.rule is None and r.verdict == "block" for r in got)
+    assert rows_of_sql(spark, tmp_path, "op5_urls") == sorted(map(repr, map(tuple, got)))
 
 
 def test_log_edges_and_allow_precedence(spark):

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from llm import embedding_dedup as E
 from llm import neighbours as N
 from llm.simhash import Union
+from tests.llm.conftest import rows_of_sql
 
 SCHEMA = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())),
                        T.StructField("label", T.IntegerType())])
@@ -55,10 +56,12 @@ def test_links_and_components(spark, blocks, cell_rows):
     assert got.component.tolist() == component
 
 
-def test_query_on_odd_vectors(spark, as_tables):
+def test_query_on_odd_vectors(spark, as_tables, tmp_path):
     x = sample(1, 80, 24, 10)
     vectors = frame(spark, x, ODD + [(5, x[7].tolist(), 0)]).withColumn("node", F.lit("x")).withColumn("component", F.lit("y"))
-    got = E.op1_embedding_dedup(spark, as_tables(embeddings=vectors)).toPandas()
+    query = E.op1_embedding_dedup(spark, as_tables(embeddings=vectors))
+    assert rows_of_sql(spark, tmp_path, "op1_embedding_dedup") == sorted(map(repr, map(tuple, query.collect())))
+    got = query.toPandas()
     assert got.columns.tolist()[:4] == ["vec_id", "n_links", "component_id", "kept"] and len(got) == len(x) + len(ODD) + 1
     odd = got[got.vec_id >= 9000].set_index("vec_id").sort_index()
     assert (odd.loc[9000:9005].n_links == 0).all() and odd.loc[9000:9005].kept.all()
