@@ -34,6 +34,7 @@ EM_ROUNDS = 3
 UNIFORM_SHARE = 0.01        # probability mass spread evenly over the vocabulary
 UNKNOWN = 1e-9              # probability of a character outside the vocabulary, the same for all languages
 TRAIN_WORD_CHARS = 64       # longer "words" are scored, but not learnt from
+LONG_WORD = 1000            # characters from which a word is evaluated on its own
 CACHED_WORDS = 600_000      # words a task remembers; others are evaluated again
 
 
@@ -127,6 +128,10 @@ class Lattice:
         for j, w in enumerate(words):
             by_length[len(w)].append(j)
         for length, group in by_length.items():
+            if length > LONG_WORD:
+                for j in group:
+                    out[j] = self._forward_long(words[j], table)
+                continue
             step = max(1, 60_000 // length)
             for at in range(0, len(group), step):
                 js = group[at:at + step]
@@ -155,6 +160,38 @@ class Lattice:
                 scale += np.log(low)
         return scale + np.log(recent[len(words[0])])
 
+    def _forward_long(self, word: str, table: np.ndarray) -> np.ndarray:
+        """The same for one long word (a text without white space): its pieces
+        are looked up for all ends at once."""
+        points, length = self._code_points([word], len(word))[0], len(word)
+        h, found = np.zeros(length + 1, dtype=np.uint64), []
+        for k in range(1, min(self.longest, length) + 1):
+            h = self._extend(h[1:], points[:length - k + 1])        # of the substrings ending at k .. length
+            rows = np.flatnonzero(self.maybe[self._slot(h)])
+            at = np.minimum(np.searchsorted(self.hashes, h[rows]), len(self.hashes) - 1)
+            hit = self.hashes[at] == h[rows]
+            rows, numbers = rows[hit], self.numbers[at[hit]]
+            if k == 1:
+                full = np.full(length, self.unknown)
+                full[rows] = numbers
+                rows, numbers = np.arange(length), full
+            found.append((rows + k, np.full(len(rows), k), numbers))
+        ends, sizes, numbers = (np.concatenate(f) for f in zip(*found))
+        order = np.argsort(ends, kind="stable")
+        sizes, numbers = sizes[order], numbers[order]
+        bounds = np.searchsorted(ends[order], np.arange(1, length + 2)).tolist()
+        ring = np.zeros((self.longest, table.shape[1]))             # alpha by end, modulo the longest piece
+        ring[0] = 1.0
+        scale = np.zeros(table.shape[1])
+        for i in range(1, length + 1):
+            a, b = bounds[i - 1], bounds[i]
+            now = (ring[(i - sizes[a:b]) % self.longest] * table[numbers[a:b]]).sum(axis=0)
+            ring[i % self.longest] = now
+            if i % 8 == 0:
+                ring /= now
+                scale += np.log(now)
+        return scale + np.log(ring[length % self.longest])
+
     def expected_counts(self, words: list[str], weights: np.ndarray, column: np.ndarray,
                         into: np.ndarray) -> None:
         """Adds the expected uses of each piece (forward-backward) for words of
