@@ -35,7 +35,7 @@ UNIFORM_SHARE = 0.01        # probability mass spread evenly over the vocabulary
 UNKNOWN = 1e-9              # probability of a character outside the vocabulary, the same for all languages
 TRAIN_WORD_CHARS = 64       # longer "words" are scored, but not learnt from
 LONG_WORD = 1000            # characters from which a word is evaluated on its own
-CACHED_WORDS = 600_000      # words a task remembers; others are evaluated again
+CACHED_WORDS = 200_000      # words a task remembers; others are evaluated again
 
 
 def default_vocabulary() -> str:
@@ -310,33 +310,32 @@ class TextScorer:
         self.known: dict[str, int] = {}
         self.values = np.empty((1024, len(model.langs)))
 
-    def _values_of(self, words: set[str]) -> dict[str, int]:
-        """Row of ``values`` for each word; beyond the memory's bound, rows that
-        only hold until the next call."""
+    def _rows_of(self, words: set[str]) -> dict[str, int]:
+        """Evaluates the words not yet known; returns the rows of ``values`` of
+        those beyond the memory's bound, which hold until the next call."""
         new = [w for w in words if w not in self.known]
-        if not new:
-            return self.known
         at = len(self.known)
-        while at + len(new) > len(self.values):
-            self.values = np.vstack([self.values, np.empty_like(self.values)])
-        self.values[at:at + len(new)] = self.lattice.log_probability([_seed(w) for w in new], self.table)
+        if at + len(new) > len(self.values):
+            grown = np.empty((at + len(new) + 4096, self.values.shape[1]))
+            grown[:at] = self.values[:at]
+            self.values = grown
+        if new:
+            self.values[at:at + len(new)] = self.lattice.log_probability([_seed(w) for w in new], self.table)
         keep = max(0, CACHED_WORDS - at)
         self.known.update(zip(new[:keep], range(at, at + keep)))
-        if len(new) <= keep:
-            return self.known
-        # kept words first, so that their rows stay in place
-        rows = dict(self.known)
-        rows.update(zip(new[keep:], range(at + keep, at + len(new))))
-        return rows
+        return dict(zip(new[keep:], range(at + keep, at + len(new))))
 
     def logs(self, texts: list[str]) -> np.ndarray:
         split = [words_of(t) for t in texts]
-        rows = self._values_of(set().union(*split))
-        find = rows.__getitem__
+        passing = self._rows_of(set().union(*split))
+        known = self.known.get
         out = np.zeros((len(texts), len(self.model.langs)))
         for j, words in enumerate(split):
             if words:
-                out[j] = self.values[np.fromiter(map(find, words), dtype=np.int64, count=len(words))].sum(axis=0)
+                rows = list(map(known, words))
+                if passing:
+                    rows = [passing[w] if r is None else r for r, w in zip(rows, words)]
+                out[j] = self.values[np.array(rows, dtype=np.int64)].sum(axis=0)
         return out
 
 

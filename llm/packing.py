@@ -31,7 +31,7 @@ from llm.common import saved, text_groups
 
 ROOM = 1024
 END_ID = 2
-CACHED_WORDS = 600_000       # words a worker remembers; others are encoded again
+CACHED_WORDS = 250_000       # words a worker remembers; others are encoded again
 SPECIAL = "<|endoftext|>"       # the vocabulary's one special token
 # A blank next to other white space on both sides (or at the end) is no safe place to split.
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
