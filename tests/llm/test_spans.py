@@ -96,6 +96,33 @@ def test_allow_rules_and_thresholds(spark, value, secret):
     assert spark.range(1).select(S.looks_secret(F.lit(value))).first()[0] is secret
 
 
+def random_strings(alphabet, length, n=400):
+    rng = random.Random(6)
+    return ["".join(rng.choice(alphabet) for _ in range(length)) for _ in range(n)]
+
+
+def share_found(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "v string").select(
+        F.avg(S.looks_secret(F.col("v")).cast("double"))).first()[0]
+
+
+LOWER, UPPER, NUMBERS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+
+
+@pytest.mark.parametrize("prefix,alphabet,length", [
+    ("", LOWER + NUMBERS, 20), ("", UPPER + NUMBERS, 20), ("", LOWER + UPPER + NUMBERS, 20), ("", LOWER + NUMBERS, 24),
+    ("", LOWER, 20), ("", LOWER + UPPER, 20), ("key-", LOWER + NUMBERS, 32), ("sk_live_", LOWER + NUMBERS, 24)])
+def test_random_strings_of_every_class_are_found(spark, prefix, alphabet, length):
+    assert share_found(spark, [prefix + v for v in random_strings(alphabet, length)]) >= 0.96
+
+
+def test_keys_with_separators_and_long_words(spark, make_docs):
+    texts = ["key-3ax6xnjp29jd6fds4gc373sgvjxteol0", "qzkwmvxjtrypbfhgndlc", "internationalizations are no secret",
+             "-" * 60 + " " + "=" * 30]
+    got = S.with_spans(make_docs(list(enumerate(texts)))).select("doc_id", as_text(F.col("spans"), S.KINDS).alias("s"))
+    assert {r.doc_id: r.s for r in got.collect()} == {0: "entropy:0:36", 1: "entropy:0:20", 2: "", 3: ""}
+
+
 def test_secret_query(spark, make_docs, as_tables):
     texts = ["see Zx9Kq2Lm8Np4Rt6Vw1Yb3Dc5 ok", 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"', None, "clean prose only"]
     docs = make_docs(list(enumerate(texts)) + [(1, texts[1])], extra=("base", "spans"))
