@@ -1,12 +1,12 @@
 """Secrets in texts: fixed rules, and sliding-window entropy of candidate strings.
 
-Candidates are runs of key-like characters.  Over every run, without its
-separators, a window slides one character at a time; the sum of c*log2(c) over the window's
+Candidates are runs of key-like characters.  Allowed parts of a run (words,
+placeholders, UUIDs, checksums and the like) and separators are taken out; over
+what is left a window slides one character at a time; the sum of c*log2(c) over the window's
 character counts is updated for the character that enters and the one that
 leaves, which gives the Shannon entropy of each window.  A run is reported when
 its highest window entropy reaches the threshold of its character class (what
-nearly all random strings of the class and length reach) and no
-allow rule knows it (placeholders, UUIDs, checksums and the like).
+nearly all random strings of the class and length reach).
 
 All of it is built-in column functions; only texts with a candidate pay for the
 windows.
@@ -47,16 +47,22 @@ CLASSES = [
     ("mixed letters", r"^[A-Za-z]+$", [2.91, 3.02, 3.12, 3.18, 3.28, 3.38, 3.46, 3.51, 3.58]),
     ("mixed", r"^[A-Za-z0-9]+$", [3.02, 3.08, 3.18, 3.27, 3.32, 3.45, 3.50, 3.57, 3.64]),
 ]
+# Known harmless parts: they are taken out of a run, and what is left of it is scored.
+PLACEHOLDERS = r"(?i)example|sample|dummy|placeholder|changeme|your|x{4,}+|test|lorem"
 ALLOWED = [
-    r"(?i)example|sample|dummy|placeholder|changeme|your|xxxx|test|lorem",
-    r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",      # UUID
-    r"(?i)0123456789|123456789|abcdefghij",                                     # counting
-    r"(.)\1{5}",                                                                # one character repeated
-    r"(?i)^(?:sha(?:1|256|384|512)|md5)[-_=]",                                  # named checksums
-    r"^[0-9+/_=-]+$",                                                           # digits and signs only
-    r"/[A-Za-z]+/",                                                             # paths
-    r"^(?:[A-Za-z]++|[0-9]{1,8}+)(?:[-_/](?:[A-Za-z]++|[0-9]{1,8}+))++$",             # words and numbers joined
+    r"(?i)(?<![0-9a-z])[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}(?![0-9a-z])",        # UUID
+    r"(?i)(?<![0-9a-z])(?:sha(?:1|256|384|512)|md5)[-_=][0-9a-f]++(?![0-9a-z])",                         # named checksums
+    r"(?<![0-9A-Za-z])(?i:md5[-_=](?-i:[0-9A-Za-z+/]{22}={2})|sha1[-_=](?-i:[0-9A-Za-z+/]{27}=)"
+    r"|sha256[-_=](?-i:[0-9A-Za-z+/_-]{43}=?+)|sha384[-_=](?-i:[0-9A-Za-z+/_-]{64})"
+    r"|sha512[-_=](?-i:[0-9A-Za-z+/_-]{86}(?:==)?+))(?![0-9A-Za-z])",
+    PLACEHOLDERS,
+    r"(?i)0?123456789|abcdefghij",                                                                       # counting
+    r"(.)\1{5,}+",                                                                                       # one character repeated
 ]
+# whole tokens of a run: words in one case, capitalised or joined by capitals, short numbers, words with a number
+WORD = (r"(?<![0-9A-Za-z])(?:[a-z]{1,19}+|[A-Z]{1,19}+|[A-Z]?[a-z]*+(?:[A-Z][a-z]{2,}+)++|[A-Z][a-z]++"
+        r"|[0-9]{1,8}+|(?:[a-z]{1,12}+|[A-Z][a-z]{0,11}+|[A-Z]{1,12}+)[0-9]{1,4}+)(?![0-9A-Za-z])")
+NUMBER = r"^[0-9]+$"
 
 
 def window_entropy(value: Column, width: int = WINDOW) -> Column:
@@ -92,19 +98,23 @@ def window_entropy(value: Column, width: int = WINDOW) -> Column:
 
 
 def looks_secret(value: Column) -> Column:
-    allowed = F.lit(False)
-    for rule in ALLOWED:
-        allowed = allowed | value.rlike(rule)
+    """What is left of a run without its allowed parts and separators reaches
+    its class's threshold.  Beside a placeholder a whole window must be left."""
 
     def judged(rest: Column) -> Column:
         least = F.lit(None).cast("double")
         for _, pattern, bits in reversed(CLASSES):
             by_length = F.get(F.array(*[F.lit(x) for x in bits]), F.least(F.length(rest), F.lit(WINDOW)) - SHORTEST)
             least = F.when(rest.rlike(pattern), by_length).otherwise(least)
-        return F.when(least.isNotNull(), window_entropy(rest) >= least).otherwise(F.lit(False))
-
-    rest = F.regexp_replace(value, SEPARATORS, "")
-    return F.when(~allowed, F.transform(F.array(rest), judged)[0]).otherwise(F.lit(False))
+        enough = F.length(rest) >= F.when(value.rlike(PLACEHOLDERS), WINDOW).otherwise(SHORTEST)
+        return F.when(enough & ~rest.rlike(NUMBER) & least.isNotNull(), window_entropy(rest) >= least) \
+            .otherwise(F.lit(False))
+
+    rest = value
+    for part in ALLOWED:
+        rest = F.regexp_replace(rest, part, "")
+    rest = F.regexp_replace(F.regexp_replace(rest, WORD, ""), SEPARATORS, "")
+    return F.transform(F.array(rest), judged)[0]
 
 
 def with_spans(docs: DataFrame, text: str = "text", base: str = "base", spans: str = "spans") -> DataFrame:

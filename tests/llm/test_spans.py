@@ -116,6 +116,27 @@ def test_random_strings_of_every_class_are_found(spark, prefix, alphabet, length
     assert share_found(spark, [prefix + v for v in random_strings(alphabet, length)]) >= 0.96
 
 
+@pytest.mark.parametrize("length", [40, 88, 200, 400])
+def test_long_base64_is_found_whatever_its_slashes_spell(spark, length):
+    values = random_strings(LOWER + UPPER + NUMBERS + "+/", length, 300)
+    holds = [v[:9] + "/ab/" + v[13:] for v in values]
+    assert share_found(spark, values) >= 0.99 and share_found(spark, holds) >= 0.99
+
+
+KEY = "Zx9Kq2Lm8Np4Rt6Vw1Yb3Dc5"
+
+
+@pytest.mark.parametrize("value,secret", [
+    ("/api/keys/" + KEY, True), ("test_" + KEY, True), ("your-key=" + KEY, True), (KEY + "123456789", True),
+    ("123e4567-e89b-12d3-a456-426614174000/" + KEY, True),
+    ("/usr/lib/python3/dist-packages/Numpy2/coreParts/v2", False), ("/wp-content/uploads/2023/05/IMG_20230512_143022", False),
+    ("/users/123e4567-e89b-12d3-a456-426614174000/files", False), ("section1_chapter2_para3_line4", False),
+    ("sha256-" + "47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU=", False), ("AbstractSingletonProxyFactoryBean", False),
+    ("1699999999999_1700000000000", False)])
+def test_allowed_parts_leave_the_rest_of_a_run(spark, value, secret):
+    assert spark.range(1).select(S.looks_secret(F.lit(value))).first()[0] is secret
+
+
 def test_keys_with_separators_and_long_words(spark, make_docs):
     texts = ["key-3ax6xnjp29jd6fds4gc373sgvjxteol0", "qzkwmvxjtrypbfhgndlc", "internationalizations are no secret",
              "-" * 60 + " " + "=" * 30]
