@@ -2,13 +2,18 @@
 
 Base rules give spans of four kinds.  Beside them, high-recall generators
 propose overlapping candidates (spelled-out addresses, groups of digits, address
-forms).  A candidate is described by its format and its context in small
-integers; boosted trees learn from all documents which descriptions belong to
-spans that a base rule confirms.  The training table has one weighted row per
-distinct description, so its size does not follow the corpus.  A threshold per
-kind is calibrated on the documents that the trees did not see: the lowest score
-at which the candidates above it are confirmed often enough.  Candidates above
-the threshold that touch no base span are added.
+forms).  A candidate is described by its context and by its format as it is with
+obfuscation undone (``[at]``, ``dot``, brackets, a leading plus), in small
+integers.  A base rule that confirms a candidate makes it a positive example;
+counter-evidence (a word like "order" before it, a currency after it, a failed
+check) makes an unconfirmed one negative.  The other candidates are unlabelled:
+they are no examples, but are scored.  The trees see neither the evidence nor
+what tells confirmed forms from obfuscated ones.  The training table has one
+weighted row per distinct description, so its size does not follow the corpus.
+A threshold per kind is calibrated on the documents that the trees did not see:
+the lowest score at which the labelled candidates above it are confirmed often
+enough.  Candidates above the threshold without counter-evidence that touch no
+base span are added.
 
 All of it is DataFrame operations and the trees of Spark's own library; scores
 are computed once per distinct description and joined.
@@ -56,8 +61,9 @@ AGAINST = r"(?i)(?:isbn|issn|doi|version|\bv|chapter|section|page|no\.|nr\.|orde
 CONTEXT_CHARS = 24
 PRECISION = 0.97            # share of confirmed candidates that a threshold must keep
 TREES, DEPTH = 10, 3
-FEATURES = ["kind_no", "digits", "length", "groups", "separators", "plus", "brackets", "same", "spelled",
-            "cue", "against", "money", "line"]
+EVIDENCE = ["against", "money", "failed"]          # makes negative examples; not for the trees
+LEARNT = ["kind_no", "digits", "length", "groups", "separators", "same", "cue", "line"]
+FEATURES = [*LEARNT, *EVIDENCE]
 
 
 def _digits(value: Column) -> Column:
@@ -84,9 +90,32 @@ def base_spans(text: Column) -> Column:
     return ordered(F.concat(email, ip, card, phone))
 
 
+def _plain(value: Column, kind: Column) -> Column:
+    """A candidate with obfuscation undone; a telephone number without its
+    country code or leading zero."""
+    for sign, rule in (("@", r"(?i)\x20?[\[({]at[\])}]\x20?|\x20at\x20|\x20?@\x20?"),
+                       (".", r"(?i)\x20?[\[({]dot[\])}]\x20?|\x20dot\x20|\[\.\]|\x20\.\x20|\x20\.|\.\x20")):
+        value = F.regexp_replace(value, rule, sign)
+    national = F.regexp_replace(F.regexp_replace(value, r"[()]", ""),
+                                r"^(?:(?:\+|00)(?:[0-9]{1,3}[\x20.-]++)?+)?+0?+", "")
+    return F.when(kind == 3, national).otherwise(value)
+
+
+def _failed(value: Column, kind: Column, digits: Column, plain: Column, cue: Column) -> Column:
+    """What the kind's own check says against a candidate."""
+    spelled_at_only = value.rlike(r"(?i)\x20at\x20") & ~value.rlike(r"(?i)[\[({\x20]dot[\])}\x20]")
+    email = (spelled_at_only & ~cue) | ~plain.rlike(r"\.[A-Za-z]{2,24}$")
+    date = r"(?<![0-9])(?:(?:19|20)[0-9]{2}[ .-](?:0?[1-9]|1[0-2])[ .-](?:0?[1-9]|[12][0-9]|3[01])" \
+           r"|(?:0?[1-9]|[12][0-9]|3[01])[ .-](?:0?[1-9]|1[0-2])[ .-](?:19|20)[0-9]{2})(?![0-9])"
+    bare = value.rlike(r"^[1-9][0-9]*$") & ~cue            # a number like any other
+    phone = ~F.length(digits).between(*PHONE_DIGITS) | value.rlike(date) | bare
+    card = F.when(F.length(digits).between(*CARD_DIGITS), ~luhn(digits)).otherwise(F.lit(True))
+    return (F.when(kind == 0, email).when(kind == 1, ~plain.rlike(IP_VALID)).when(kind == 2, card).otherwise(phone))
+
+
 def _described(text: Column, span: Column) -> Column:
     """A candidate's place and its format and context as small integers."""
-    value, digits = span["value"], _digits(span["value"])
+    value, digits, plain = span["value"], _digits(span["value"]), _plain(span["value"], span["kind_no"])
     before = F.substring(text, F.greatest(span["start"] - CONTEXT_CHARS, F.lit(0)) + 1,
                          F.least(span["start"], F.lit(CONTEXT_CHARS)))
     after = F.substring(text, span["end"] + 1, CONTEXT_CHARS)
@@ -96,17 +125,20 @@ def _described(text: Column, span: Column) -> Column:
     flag = lambda c: c.cast("int")
     return F.struct(
         span["start"].alias("start"), span["end"].alias("end"), span["kind_no"].alias("kind_no"),
-        F.least(F.length(digits), F.lit(20)).alias("digits"),
-        F.least(F.floor(F.length(value) / 4).cast("int"), F.lit(10)).alias("length"),
-        F.least(F.size(F.split(value, r"[^0-9A-Za-z]+")), F.lit(8)).alias("groups"),
-        F.least(F.length(F.regexp_replace(value, r"[0-9A-Za-z]", "")), F.lit(8)).alias("separators"),
-        flag(value.startswith("+") | value.startswith("00")).alias("plus"),
-        flag(value.rlike(r"[(\[{]")).alias("brackets"),
-        flag(digits.rlike(r"^(.)\1+$")).alias("same"),
-        flag(value.rlike(r"(?i)\bat\b|\bdot\b")).alias("spelled"),
-        flag(cue).alias("cue"), flag(before.rlike(AGAINST)).alias("against"),
+        F.least(F.length(_digits(plain)), F.lit(20)).alias("digits"),
+        F.least(F.floor(F.length(plain) / 4).cast("int"), F.lit(10)).alias("length"),
+        F.least(F.size(F.split(plain, r"[^0-9A-Za-z]+")), F.lit(8)).alias("groups"),
+        F.least(F.length(F.regexp_replace(plain, r"[0-9A-Za-z]", "")), F.lit(8)).alias("separators"),
+        flag(digits.rlike(r"^(.)\1+$")).alias("same"), flag(cue).alias("cue"),
+        flag(before.rlike(r"(?:^|\n)\s*$")).alias("line"),
+        flag(before.rlike(AGAINST)).alias("against"),
         flag(after.rlike(r"^\s*(?:%|€|\$|EUR|USD|kg|km)")).alias("money"),
-        flag(before.rlike(r"(?:^|\n)\s*$")).alias("line"))
+        flag(_failed(value, span["kind_no"], digits, plain, cue)).alias("failed"))
+
+
+def _opposed() -> Column:
+    """Counter-evidence on a row with FEATURES."""
+    return (F.col("against") + F.col("money") + F.col("failed")) > 0
 
 
 def candidates(text: Column) -> Column:
@@ -123,22 +155,25 @@ def accepted_descriptions(table: DataFrame) -> DataFrame:
     descriptions (FEATURES) whose score reaches their kind's threshold."""
     counted = saved(
         table.groupBy(*FEATURES, "half", "confirmed").agg(F.count(F.lit(1)).cast("double").alias("weight"))
-        .withColumn("label", F.col("confirmed").cast("double")).repartition(4), "descriptions")
-    learnt = counted.filter(F.col("half") == 0)
-    classes = learnt.groupBy("label").count().count()
-    if classes < 2:
+        .withColumn("label", F.when(F.col("confirmed"), 1.0).when(_opposed(), 0.0)).repartition(4), "descriptions")
+    learnt = counted.filter((F.col("half") == 0) & F.col("label").isNotNull())
+    labels = {r[0] for r in learnt.select("label").distinct().collect()}
+    if 1.0 not in labels:
         return counted.select(*FEATURES).limit(0)
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    together = VectorAssembler(inputCols=FEATURES, outputCol="vector")
-    trees = GBTClassifier(featuresCol="vector", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH,
-                          seed=4, checkpointInterval=-1).fit(together.transform(learnt))
-    scored = saved(trees.transform(together.transform(counted))
-                   .select(*FEATURES, "half", "label", "weight",
-                           F.round(vector_to_array("probability")[1], 6).alias("score")), "descscores")
-    by_score = scored.filter(F.col("half") == 1).groupBy("kind_no", "score").agg(
+    if 0.0 in labels:
+        from pyspark.ml.classification import GBTClassifier
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.functions import vector_to_array
+
+        together = VectorAssembler(inputCols=LEARNT, outputCol="vector")
+        trees = GBTClassifier(featuresCol="vector", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH,
+                              seed=4, checkpointInterval=-1).fit(together.transform(learnt))
+        rated = trees.transform(together.transform(counted)).withColumn(
+            "score", F.round(vector_to_array("probability")[1], 6))
+    else:       # nothing speaks against any candidate
+        rated = counted.withColumn("score", F.lit(1.0))
+    scored = saved(rated.select(*FEATURES, "half", "label", "weight", "score"), "descscores")
+    by_score = scored.filter((F.col("half") == 1) & F.col("label").isNotNull()).groupBy("kind_no", "score").agg(
         F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("label")).alias("good"))
     down = Window.partitionBy("kind_no").orderBy(F.col("score").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -164,7 +199,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             .select("_row", "base", F.col("_half").alias("half"), F.explode("_candidates").alias("c"))
             .select("_row", "half", "c.*", _confirmed(F.col("c"), F.col("base")).alias("confirmed")))
     accepted = accepted_descriptions(each)
-    added = (each.filter(~F.col("confirmed")).join(accepted, FEATURES, "left_semi")
+    added = (each.filter(~F.col("confirmed") & ~_opposed()).join(accepted, FEATURES, "left_semi")
              .groupBy("_row").agg(F.collect_set(F.struct(
                  "start", "end", "kind_no", F.lit(None).cast("string").alias("value"))).alias("_added")))
     extra = F.coalesce(F.col("_added"), none())

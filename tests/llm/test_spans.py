@@ -197,3 +197,29 @@ def test_trees_add_likely_candidates(spark):
     columns = [*P.FEATURES, "half", "confirmed"]
     got = P.accepted_descriptions(spark.createDataFrame(data, columns)).collect()
     assert [r.cue for r in got] == [1]
+
+
+def test_obfuscated_forms_are_added(spark, make_docs):
+    """Forms that no base rule fits, described like confirmed ones, in every half."""
+    rows, planted = [], {}
+    for i in range(80):
+        rows += [(4 * i, f"please write mail me{i}@mail.example.com today"), (4 * i + 1, f"call our phone +1 (2{i % 10}4) 555-78{i % 10}0 now"),
+                 (4 * i + 2, f"the server host 10.{i}.7.{i + 9} is up"),
+                 (4 * i + 3, f"see order 98765432{i % 10}1 and page 1234567 or host 300.{i}.7.999 of 2024-01-15 10:30")]
+    for n, (text, span, kind) in enumerate([
+            ("please write mail anna at mail dot example dot com today", "anna at mail dot example dot com", "email"),
+            ("please write mail anna[at]mail[dot]example.com today", "anna[at]mail[dot]example.com", "email"),
+            ("the server host 10[.]2[.]7[.]11 is up", "10[.]2[.]7[.]11", "ip"),
+            ("call our phone (214) 555-7810 now", "(214) 555-7810", "phone")]):
+        for half in range(4):
+            at = text.index(span)
+            planted[1000 + 10 * n + half] = f"{kind}:{at}:{at + len(span)}"
+            rows.append((1000 + 10 * n + half, text))
+    rows += [(2000, "look at example.com on 2024-01-15 10:30 for 1234567890"), (2001, "the server host 300.2.7.999 is up")]
+    found = P.find(make_docs(rows)).select("doc_id", as_text(F.col("base"), P.KINDS).alias("b"),
+                                           as_text(F.col("spans"), P.KINDS).alias("s")).collect()
+    for r in found:
+        if r.doc_id in planted:
+            assert (r.b, r.s) == ("", planted[r.doc_id]), r.doc_id
+        else:
+            assert r.s == r.b, r.doc_id
