@@ -33,7 +33,7 @@ ROWS_PER_LANG = 500         # rows each language is learnt from (expected number
 EM_ROUNDS = 3
 UNIFORM_SHARE = 0.01        # probability mass spread evenly over the vocabulary
 UNKNOWN = 1e-9              # probability of a character outside the vocabulary, the same for all languages
-TRAIN_WORD_CHARS = 64       # longer "words" are scored, but not learnt from
+TRAIN_WORD_CHARS = 64       # longer "words" (of languages without blanks) are learnt from in pieces of this length
 LONG_WORD = 1000            # characters from which a word is evaluated on its own
 CACHED_WORDS = 200_000      # words a task remembers; others are evaluated again
 
@@ -233,6 +233,14 @@ def _seed(word: str) -> str:
     return "▁" + word
 
 
+def _segments(word: Column) -> Column:
+    """A word as array of (word, head): itself, or a long one's consecutive
+    parts, of which only the first begins as a word does."""
+    parts = F.regexp_extract_all(word, F.lit(f"(?s).{{1,{TRAIN_WORD_CHARS}}}+"), F.lit(0))
+    return F.when(F.length(word) <= TRAIN_WORD_CHARS, F.array(F.struct(word.alias("word"), F.lit(True).alias("head")))) \
+        .otherwise(F.transform(parts, lambda p, i: F.struct(p.alias("word"), (i == 0).alias("head"))))
+
+
 def train(docs: DataFrame, learn_from: Column, text_col: str = "text", lang_col: str = "lang",
           key_col: str = "doc_id", vocabulary: str | None = None, rows_per_lang: int = ROWS_PER_LANG,
           rounds: int = EM_ROUNDS) -> LanguageModel:
@@ -257,8 +265,9 @@ def train(docs: DataFrame, learn_from: Column, text_col: str = "text", lang_col:
     words = saved(
         sample.select(number.cast("int").alias("lang_no"),
                       F.explode(F.split(F.trim(F.lower(text_col)), r"\s+")).alias("word"))
-        .filter((F.length("word") > 0) & (F.length("word") <= TRAIN_WORD_CHARS))
-        .groupBy("lang_no", "word").agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.length("word") > 0).select("lang_no", F.explode(_segments(F.col("word"))).alias("s"))
+        .select("lang_no", "s.word", "s.head")
+        .groupBy("lang_no", "word", "head").agg(F.count(F.lit(1)).alias("n"))
         .repartition(parallelism(docs.sparkSession), "word"), "langwords")
     uniform = np.full((len(pieces), len(langs)), 1.0 / len(pieces))
     model = LanguageModel(path, langs, uniform, np.full(len(langs), 1.0 / len(langs)))
@@ -284,13 +293,14 @@ def _expectation(shared):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             groups = defaultdict(list)
-            for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang_no", "word", "n"))):
+            for lang, word, head, n in zip(*(batch.column(c).to_pylist() for c in ("lang_no", "word", "head", "n"))):
+                word = _seed(word) if head else word
                 groups[lang, len(word)].append((word, n))
             for (lang, _), rows in sorted(groups.items()):
                 into = sums.setdefault(lang, np.zeros(len(table)))
                 for at in range(0, len(rows), 4096):
                     part = rows[at:at + 4096]
-                    lattice.expected_counts([_seed(w) for w, _ in part],
+                    lattice.expected_counts([w for w, _ in part],
                                             np.array([n for _, n in part], dtype=float),
                                             np.ascontiguousarray(table[:, lang]), into)
         for lang, into in sums.items():

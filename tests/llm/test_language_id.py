@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm import language_id as L
 
@@ -103,3 +104,19 @@ def test_held_out_accuracy(spark, table):
         spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").toPandas()
     held = got[got.held_out]
     assert (held.lang == held.lang_pred).mean() > 0.99
+
+
+def test_languages_without_blanks(spark, make_docs):
+    """Whole texts as single words: their languages are learnt all the same."""
+    rng = np.random.default_rng(4)
+    signs = {"aa": list("人大中一日国本生年月"), "bb": list("のにはをたがでてとし"), "cc": ["ab ", "ba ", "abba "]}
+    rows = [(i, "".join(rng.choice(signs[lang], size=int(rng.integers(70, 300)))) + ", 1", lang)
+            for i, lang in enumerate(["cc", "aa", "bb"] * 40)]
+    learnt, asked = [r for r in rows if r[0] < 90], [r for r in rows if r[0] >= 90]
+    model = L.train(make_docs(learnt), F.lit(True))
+    told = {r.doc_id: r.lang_pred for r in L.identify(make_docs(asked), model).collect()}
+    assert told == {i: lang for i, _, lang in asked}
+    long = "".join(rng.choice(signs["aa"], size=150))
+    parts = spark.createDataFrame([(long,), ("short",)], "w string").select(L._segments(F.col("w")).alias("s")).collect()
+    assert [[(p.word, p.head) for p in r.s] for r in parts] == [
+        [(long[:64], True), (long[64:128], False), (long[128:], False)], [("short", True)]]
