@@ -11,7 +11,7 @@ passed on; a NULL text has no language and goes in the first stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.common import free_name, load, saved
@@ -19,7 +19,7 @@ from llm.language_id import UNDETERMINED, identify, learnable, train
 from llm.mixing import Mix
 from llm.packing import pack
 from llm.secrets_scan import redact
-from llm.simhash import near_duplicates
+from llm.simhash import fingerprint_classes, fingerprints
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,23 +31,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: the one of the smallest id.  Rows
-    without an id cannot be told apart and stay.
-
-    Only the ids that go take part in a join with the texts."""
-    classes = near_duplicates(docs.select("doc_id", "text"))
-    gone = (classes.filter(F.col("doc_id") != F.col("component")).select(F.col("doc_id").alias("_gone")).distinct())
-    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    # an id of several rows: the same document again, or one whose first row stays
-    repeated = left.groupBy("doc_id").count().filter((F.col("count") > 1) & F.col("doc_id").isNotNull()) \
-        .select(F.col("doc_id").alias("_many"))
-    single = left.join(repeated, F.col("doc_id") == F.col("_many"), "left_anti")
-    many = left.join(repeated, F.col("doc_id") == F.col("_many"), "left_semi")
-    place = free_name(docs, "_place")
-    first = (many.withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy(
-        F.col("text").asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in docs.columns if c not in ("doc_id", "text")])))
-        .filter(F.col(place) == 1).drop(place))
-    return single.unionByName(first).select(*docs.columns)
+    """One row of each SimHash group: the one of the smallest id, of the smallest
+    row number among those.  Rows of one id whose texts are unlike are of
+    different groups.  Rows without an id cannot be told apart and stay.
+
+    Only the numbers of the rows that go take part in a join with the texts."""
+    row = free_name(docs, "_row")
+    numbered = saved(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    codes = saved(fingerprints(numbered, keep=(row,)), "fingerprints")
+    _, groups = fingerprint_classes(codes, ("doc_id", row))
+    kept = groups.select(F.col("first")[row].alias(row))
+    gone = codes.filter(F.col("doc_id").isNotNull()).select(row).join(kept, row, "left_anti")
+    return numbered.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,16 +64,17 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
-                 name: str = "fp") -> DataFrame:
-    """(key, fingerprint as a signed long) of every row."""
-    out = T.StructType([docs.schema[key], T.StructField(name, T.LongType())])
+                 name: str = "fp", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, ``keep``, fingerprint as a signed long) of every row."""
+    out = T.StructType([*[docs.schema[c] for c in (key, *keep)], T.StructField(name, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_groups(batches, text):
             codes = np.array([fingerprint(t, words) for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(key), pa.array(codes)], names=[key, name])
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in (key, *keep)], pa.array(codes)],
+                                             names=[key, *keep, name])
 
-    return docs.select(key, text).mapInArrow(run, out)
+    return docs.select(key, *keep, text).mapInArrow(run, out)
 
 
 # --------------------------------------------------------------------------
@@ -265,15 +266,30 @@ def near_groups(codes: DataFrame, bits: int = MAX_BITS, leaf_rows: int = LEAF_RO
     return connected_components(edges)
 
 
+def fingerprint_classes(codes: DataFrame, order: tuple[str, ...], bits: int = MAX_BITS,
+                        leaf_rows: int = LEAF_ROWS) -> tuple[DataFrame, DataFrame]:
+    """``codes``: rows with ``fp`` and the columns ``order``, a key first ->
+    (fp, group) of every fingerprint of rows with a key, and (group, first): the
+    smallest ``order`` in each group, as a struct.
+
+    Fingerprints are numbered on their own, so that those with the same smallest
+    key stay apart."""
+    distinct = saved(codes.filter(F.col(order[0]).isNotNull()).groupBy("fp").agg(F.min(F.struct(*order)).alias("first"))
+                     .withColumn("node", F.monotonically_increasing_id()), "codes")
+    groups = near_groups(distinct.select("fp", "node"), bits, leaf_rows)
+    members = distinct.join(groups, "node", "left").select(
+        "fp", "first", F.coalesce("component", "node").alias("group"))
+    return members.select("fp", "group"), members.groupBy("group").agg(F.min("first").alias("first"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
                     bits: int = MAX_BITS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """(key, fp, component) per row: ``component`` is the smallest key reachable
     through fingerprints at most ``bits`` bits apart."""
     codes = saved(fingerprints(docs, key, text, words), "fingerprints")
-    distinct = saved(codes.filter(F.col(key).isNotNull()).groupBy("fp").agg(F.min(key).alias("node")), "codes")
-    groups = near_groups(distinct, bits, leaf_rows)
-    classes = (distinct.join(groups, "node", "left")
-               .select(F.col("fp").alias("_code"), F.coalesce("component", "node").alias("component")))
+    members, groups = fingerprint_classes(codes, (key,), bits, leaf_rows)
+    classes = (members.join(groups, "group")
+               .select(F.col("fp").alias("_code"), F.col("first")[key].alias("component")))
     return (codes.join(classes, (F.col("fp") == F.col("_code")) & F.col(key).isNotNull(), "left")
             .select(key, "fp", "component"))
 

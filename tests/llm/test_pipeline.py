@@ -75,3 +75,15 @@ def test_registry():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
     assert entry.queries()["pipeline"] is C.run
+
+
+def test_unlike_texts_of_one_id_all_stay(spark, make_docs):
+    import random
+
+    rng = random.Random(9)
+    texts = [" ".join(str(rng.randrange(10**6)) for _ in range(60)) for _ in range(6)]
+    # texts[0] has a smaller neighbour, the other texts of its id have none
+    rows = [(1, texts[0]), (5, texts[0])] + [(5, t) for t in texts[1:]] + [(5, texts[1]), (None, texts[0]), (None, texts[0])]
+    got = C.near_duplicate(spark, make_docs(rows), "").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted(
+        [(1, texts[0])] + [(5, t) for t in texts[1:]] + [(0, texts[0])] * 2)

@@ -75,3 +75,14 @@ def test_query_result_and_empty_table(spark, make_docs, as_tables):
     assert got[5] == got[3] and got[5][1] == 3 and got[9][1] == 9
     assert got[5][0] == f"{plain_fingerprint('a b c d e'):016x}"
     assert S.near_duplicates(make_docs([])).count() == 0
+
+
+def test_unlike_texts_of_one_id_stay_apart(spark, make_docs):
+    rng = np.random.default_rng(8)
+    text = lambda: " ".join(f"w{x}" for x in rng.integers(0, 10**6, 60))
+    a, b = text(), text()
+    # both fingerprints have 1 as their smallest id; no link connects them
+    docs = make_docs([(1, a), (1, b), (2, a), (3, b), (4, text())])
+    fps = S.fingerprint_classes(S.fingerprints(docs), ("doc_id",))
+    assert fps[0].select("group").distinct().count() == 3 and fps[1].count() == 3
+    assert sorted(r.component for r in S.near_duplicates(docs).collect()) == [1, 1, 1, 1, 4]
