@@ -14,12 +14,14 @@ A shard then takes the next blocks of every source, so that draws are disjoint,
 and shuffles its own rows.
 
 Only tables with a row per source, block or shard are gathered in windows; a
-document meets its block in a join with that small table, and text is never
-shuffled.  All steps are DataFrame operations.
+document meets its block in a join with that small table.  Repeated rows are
+numbered among themselves, so that each is drawn on its own; their numbers meet
+the texts in one join by row, and nothing else shuffles text.  All steps are
+DataFrame operations.
 
 Definitions for odd input: a NULL text has size 0 (and is drawn like any other,
 taking no words); a NULL source is a source of its own, after all others;
-repeated rows are documents of their own that share their fate; an empty table
+repeated rows are documents of their own, drawn independently; an empty table
 gives no rows.
 """
 
@@ -130,8 +132,12 @@ class Mix:
                  weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES,
                  block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = SEED):
         self.key, self.text, self.source, self.seed = key, text, source, seed
-        own = saved(docs.select(F.col(source).alias("source"), size_of(F.col(text)).alias("size"),
-                                self._draw_key().alias("h")), "sizes")
+        self.row = free_name(docs, "_row")
+        self.numbered = saved(docs.withColumn(self.row, F.monotonically_increasing_id()), "mixrows")
+        own = saved(self._told_apart(self.numbered.select(
+            F.col(source).alias("source"), size_of(F.col(text)).alias("size"), self._draw_key().alias("key"),
+            F.col(self.row).alias("row"))).withColumn("h", self._draw_hash()), "sizes")
+        self.repeats = saved(own.filter(F.col("copy") > 0).select("row", "copy"), "copies")
         totals = own.groupBy("source").agg(F.sum("size").alias("source_size"))
         passes = F.when(F.col("source_size") > 0, F.least(
             F.floor(F.col("target") / F.col("source_size")), F.lit(most))).otherwise(F.lit(0)).cast("long")
@@ -163,6 +169,23 @@ class Mix:
     def _draw_key(self) -> Column:
         return F.xxhash64(F.lit(self.seed), F.col(self.key), F.col(self.text))
 
+    @staticmethod
+    def _told_apart(rows: DataFrame) -> DataFrame:
+        """Rows with ``copy``, their number (from 0) among those of their ``key``:
+        counted within a partition of the written rows, from where the
+        partitions before it stopped."""
+        parts = rows.withColumn("part", F.shiftright("row", 33))        # as monotonically_increasing_id numbers them
+        here = F.row_number().over(Window.partitionBy("key", "part").orderBy("row")) - 1
+        upto = _running(["key"], ["part"], "n")
+        before = (parts.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
+                  .withColumn("before", upto - F.col("n")).filter(F.col("before") > 0).select("key", "part", "before"))
+        return (parts.withColumn("here", here).join(before, ["key", "part"], "left")
+                .withColumn("copy", F.col("here") + F.coalesce("before", F.lit(0))).drop("part", "here", "before"))
+
+    @staticmethod
+    def _draw_hash() -> Column:
+        return F.when(F.col("copy") > 0, F.xxhash64("key", "copy")).otherwise(F.col("key"))
+
     def _with_block(self, rows: DataFrame, source: str) -> DataFrame:
         about = self.sources.select(F.col("source").alias("_source"), "place", "n_blocks", "source_size", "target")
         return (rows.join(about, F.col(source).eqNullSafe(F.col("_source")))
@@ -209,11 +232,15 @@ class Mix:
         return self.blocks.select("place", "block", "rank")
 
     def draws(self, docs: DataFrame) -> DataFrame:
-        """Every row with ``_size``, ``_source_size``, ``_target`` and ``_shards``
-        (a shard for each time the mix takes it)."""
+        """Every row of ``docs``, the table of the plan, with ``_size``, ``_source_size``,
+        ``_target`` and ``_shards`` (a shard for each time the mix takes it)."""
         names = {n: free_name(docs, f"_{n}") for n in ("size", "source_size", "target", "shards")}
-        rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(self.source).alias("source"),
-                           size_of(F.col(self.text)).alias("size"), self._draw_key().alias("h"))
+        copies = self.repeats.select(F.col("row").alias("_of"), "copy")
+        rows = (self.numbered.select(F.struct(*docs.columns).alias("row"), F.col(self.source).alias("source"),
+                                     size_of(F.col(self.text)).alias("size"), self._draw_key().alias("key"),
+                                     F.col(self.row).alias("_number"))
+                .join(copies, F.col("_number") == F.col("_of"), "left")
+                .withColumn("copy", F.coalesce("copy", F.lit(0).cast("long"))).withColumn("h", self._draw_hash()))
         met = (self._with_block(rows, "source").withColumn("_order", F.xxhash64(F.lit(self.seed + 1), "h"))
                .join(self.plan, ["place", "block"]))
         inside = F.coalesce(F.col("_order") <= F.col("cut"), F.lit(False)) | F.coalesce(

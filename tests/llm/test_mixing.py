@@ -103,3 +103,19 @@ def test_empty_table(spark, make_docs):
     assert M.Mix(docs).draws(docs).count() == 0 and M.Mix(docs).rows(docs).count() == 0
     blank = make_docs([(1, None, None, "a"), (2, "", None, None)])
     assert {r._size for r in M.Mix(blank).draws(blank).collect()} == {0}
+
+
+def test_repeated_rows_are_drawn_on_their_own(spark, make_docs):
+    """A row that makes up a source does not go in or stay out as one."""
+    docs = make_docs([(1, "a b c d", None, "s")] * 400 + [(i, "a b c d", None, "s") for i in range(2, 202)]
+                     + [(1000 + i, "w x y z", None, "t") for i in range(300)]).repartition(5)
+    mix = M.Mix(docs, block_words=200, shard_words=1500, weights=(1.0, 5.0), share=0.7)
+    assert mix.blocks.filter("place = 0").agg(F.max("words")).first()[0] < 600
+    drawn = mix.draws(docs).withColumn("_n", F.size("_shards"))
+    got = drawn.groupBy("source").agg(F.sum(F.col("_n") * F.col("_size")).alias("taken"), F.first("_target").alias("target")).collect()
+    for r in got:
+        assert abs(r.taken - r.target) <= 2, r
+    assert drawn.filter("doc_id = 1").select("_n").distinct().count() == 2
+    numbers = [(r.copy, r.h) for r in mix._told_apart(mix.numbered.select(
+        mix._draw_key().alias("key"), F.col(mix.row).alias("row"))).withColumn("h", mix._draw_hash()).filter("copy >= 0").collect()]
+    assert len({h for _, h in numbers}) == 900 and sorted(c for c, _ in numbers if c) == list(range(1, 400))
