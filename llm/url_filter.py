@@ -9,7 +9,8 @@ explicit allow keeps the URL it fits, whatever its aliases say.
 
 Links are read from the page: ``<link rel=canonical href=...>`` and
 ``<meta http-equiv=refresh content="...url=...">``; relative ones are resolved
-against the page.  URLs are compared without scheme and fragment.
+against the page, after character references are decoded.  URLs are compared
+without scheme and fragment, their dot segments removed.
 
 Definitions for odd input: a NULL URL, or one without ``://``, has empty host
 and path, no rule and no links, and is allowed; NULL html has no links;
@@ -49,10 +50,24 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(_rest(url), r"^[^/?#]*+([^?#]*+)", 1)
 
 
+def _without_dots(path: Column) -> Column:
+    """A path whose segments ``.`` and ``..`` are resolved."""
+
+    def walk(acc: Column, segment: Column) -> Column:
+        return (F.when(segment == ".", acc)
+                .when(segment == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+                .otherwise(F.concat(acc, F.array(segment))))
+
+    # a last segment of dots leaves its slash
+    segments = F.split(F.regexp_replace(F.regexp_replace(path, r"^/", ""), r"(?<=^|/)(\.\.?)$", "$1/"), "/", -1)
+    plain = F.aggregate(segments, F.array().cast("array<string>"), walk)
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.concat(F.lit("/"), F.array_join(plain, "/"))).otherwise(path)
+
+
 def node_of(url: Column) -> Column:
-    """A URL as it is compared with others: host, path and query."""
+    """A URL as it is compared with others: host, path without dot segments, and query."""
     query = F.regexp_extract(_rest(url), r"^[^?#]*+(\?[^#]*+)?", 1)
-    return F.concat(host_of(url), path_of(url), query)
+    return F.concat(host_of(url), _without_dots(path_of(url)), query)
 
 
 def rule_for(host: Column, path: Column, rules: list[tuple[str, str]] | None = None) -> Column:
@@ -73,10 +88,37 @@ def verdict_of(rule: Column, rules: list[tuple[str, str]] | None = None) -> Colu
     return out
 
 
+_NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "num": "#", "percnt": "%",
+          "equals": "=", "quest": "?", "sol": "/", "colon": ":", "semi": ";", "comma": ",", "period": ".", "plus": "+",
+          "lowbar": "_", "commat": "@", "dollar": "$", "excl": "!", "ast": "*", "lpar": "(", "rpar": ")", "Tab": "\t",
+          "NewLine": "\n"}
+_BARE = ["amp", "AMP", "lt", "LT", "gt", "GT", "quot", "QUOT"]      # known without a semicolon, too
+_REFERENCE = (r"&(?:#0*+[0-9]{1,7}+;?+|#[xX]0*+[0-9A-Fa-f]{1,6}+;?+|(?:" + "|".join([*_NAMED, *_BARE[1::2]]) + r");|(?:"
+              + "|".join(_BARE) + r")(?![;=0-9A-Za-z]))")
+
+
+def decoded(value: Column) -> Column:
+    """An attribute's value with its character references decoded, each once."""
+
+    def character(reference: Column) -> Column:
+        name = F.regexp_replace(reference, r"[&;]", "")
+        number = F.when(name.rlike(r"^#[xX]"), F.conv(F.substring(name, 3, 10), 16, 10)) \
+            .when(name.startswith("#"), F.substring(name, 2, 10)).try_cast("int")
+        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        out = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+        for known, sign in [*_NAMED.items(), *[(b.upper(), _NAMED[b]) for b in _BARE[::2]]]:
+            out = F.when(name == known, F.lit(sign)).otherwise(out)
+        return F.coalesce(out, reference)
+
+    pieces = F.zip_with(F.split(value, _REFERENCE, -1), F.regexp_extract_all(value, F.lit(_REFERENCE), F.lit(0)),
+                        lambda gap, ref: F.concat(gap, F.coalesce(character(ref), F.lit(""))))
+    return F.when(value.contains("&"), F.array_join(pieces, "")).otherwise(value)
+
+
 def _attribute(tag: Column, name: str) -> Column:
     found = [F.regexp_extract(tag, rf"(?is)\b{name}\s*+=\s*+{value}", 1)
              for value in (r'"([^"]*+)"', r"'([^']*+)'", r"""([^\s"'>]++)""")]
-    return F.trim(F.coalesce(*[F.when(f != "", f) for f in found], F.lit("")))
+    return F.trim(decoded(F.coalesce(*[F.when(f != "", f) for f in found], F.lit(""))))
 
 
 def _resolved(target: Column, host: Column, path: Column) -> Column:

@@ -100,3 +100,30 @@ def test_log_edges_and_allow_precedence(spark):
     got = {r.page_id: r._verdict for r in U.judge(pages, log).select("page_id", "_verdict").collect()}
     assert got == {1: "block", 2: "allow", 3: "allow"}
     assert U.judge(pages.limit(0)).count() == 0
+
+
+def test_character_references_and_dot_segments(spark):
+    import html as plain_html
+    from urllib.parse import urljoin, urlsplit
+
+    values = ["?page=2&amp;ref=x", "?page=2&#38;ref=x", "?a=1&#x26;b=&#252;&#x1F600;", "/a&sol;b&quot;&apos;&AMP;", "?a=1&b=2&copy=3",
+              "?x=&amp;lt;&amp;#38;&#38;amp;", "?a&amp=1&ampx&amp", "&#0;&#xD800;&bogus;"]
+    got = spark.createDataFrame([(v,) for v in values], "v string").select("v", U.decoded(F.col("v")).alias("d")).collect()
+    for r in got[:-1]:
+        if "copy" not in r.v and "&ampx" not in r.v:
+            assert r.d == plain_html.unescape(r.v)
+    assert got[4].d == values[4] and got[6].d == "?a&amp=1&ampx&" and got[7].d == values[7]
+    links = ["../c", "./c", "../../../c", "x/./../y/", "..", ".", "/a/../b/./c?q=../z", "a/..b/.c/...", "/.."]
+    rows = spark.createDataFrame([(f"<link rel=canonical href='{v}'>",) for v in links], "h string").select(
+        F.transform(U.link_targets(F.col("h"), F.lit("h.org"), F.lit("/d/e/f")), U.node_of)[0].alias("n")).collect()
+    for v, r in zip(links, rows):
+        to = urlsplit(urljoin("http://h.org/d/e/f", v))
+        assert r.n == "h.org" + to.path + ("?" + to.query if to.query else ""), v
+
+
+def test_verdicts_reach_aliases_by_references_and_dots(spark):
+    pages = spark.createDataFrame([
+        (1, "http://a.org/x?page=2&ref=x", None), (2, "http://evil.net/b", '<link rel="canonical" href="http://a.org/x?page=2&amp;ref=x">'),
+        (3, "http://b.org/p/q", None), (4, "http://evil.net/c", "<link rel=canonical href='http://b.org/p/z/../q'>")],
+        "page_id int, url string, html string")
+    assert {r.page_id: r._verdict for r in U.judge(pages).collect()} == dict.fromkeys([1, 2, 3, 4], "block")
