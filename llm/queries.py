@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from llm.embedding_dedup import op1_embedding_dedup
 from llm.language_id import op9_language_id
+from llm.manifest import op11_manifest
 from llm.mixing import op7_mixing
 from llm.neighbours import op6_nearest
 from llm.oracles import llm_oracles
@@ -24,5 +25,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_packing, op4_pii, op5_urls, op6_nearest, op7_mixing, op8_simhash, op9_language_id, op10_secrets)}
+    return {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_packing, op4_pii, op5_urls, op6_nearest, op7_mixing, op8_simhash, op9_language_id, op10_secrets,
+                                   op11_manifest)}
 
