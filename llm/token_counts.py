@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from llm.common import load, text_groups
 
 LIMIT = 4096                 # tokens; longer documents are marked
-CACHED_WORDS = 250_000       # pre-tokens a worker remembers
+CACHED_WORDS = 500_000       # pre-tokens a worker remembers
 SLICE_CHARS = 1_000_000      # a text is split into pre-tokens in slices of about this length
 PART_CHARS = 500_000         # symbols merged at once
 BLANK = "▁"             # how the vocabulary writes a blank
@@ -91,16 +91,20 @@ class Merges:
 
     @staticmethod
     def _blank_run(pieces: dict[str, int], score: dict[str, float]) -> int:
-        """The longest piece of blanks, when runs of blanks are cut into such
-        pieces from the left after all other merges: blanks alone share the
-        lowest score.  0 when that is not so."""
-        runs = [p for p in pieces if len(p) > 1 and set(p) == {BLANK}]
-        longest = max(map(len, runs), default=0)
+        """The length of the longest piece of blanks, when a long run of blanks
+        is cut into such pieces from the left: blanks alone share the lowest
+        score, so they merge last and from the left, and the longest piece is
+        done before a blank behind it is touched.  0 when that is not so."""
+        runs = {len(p) for p in pieces if len(p) > 1 and set(p) == {BLANK}}
         last = min(score.values())
-        regular = (sorted(map(len, runs)) == list(range(2, longest + 1)) and all(score[r] == last for r in runs)
-                   and all(score[p] > last or p in runs for p in pieces if len(p) > 1)
-                   and not any(BLANK * 2 in p and p not in runs for p in pieces))
-        return longest if regular else 0
+        if not runs or any((score[p] == last) != (set(p) == {BLANK}) or (BLANK * 2 in p and set(p) != {BLANK})
+                           for p in pieces if len(p) > 1):
+            return 0
+        longest, now = max(runs), [1] * 3 * max(runs)
+        while now[0] < longest:
+            i = next(i for i, (a, b) in enumerate(zip(now, now[1:])) if a + b in runs)
+            now[i:i + 2] = [now[i] + now[i + 1]]
+        return longest if set(now[1:]) == {1} else 0
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (``_NEVER`` if none) and result of merging ``left`` with ``right``."""
@@ -217,7 +221,7 @@ class Merges:
                 blanks = len(word) - len(word.lstrip(BLANK))
                 whole = (blanks - run - 1) // run          # pieces of blanks only, cut off in front
                 short, extra[word] = word[whole * run:], whole
-            for part in self._parts(short):
+            for part in self._parts(short) if len(short) > PART_CHARS else (short,):
                 batch.append(part)
                 places.append(word)
                 chars += len(part)

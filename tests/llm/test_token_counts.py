@@ -58,6 +58,11 @@ def test_blank_runs(blanks, tail):
     assert COUNT(["q" + " " * blanks + tail]) == expected(["q" + " " * blanks + tail])
 
 
+def test_long_runs_take_no_time():
+    assert COUNT.blank_run == 16
+    assert COUNT([" " * 1_000_000 + "x"])[0] == expected([" " * 3200 + "x"])[0] + (1_000_000 - 3200) // 16
+
+
 def test_slices_parts_and_memory(monkeypatch):
     rng = random.Random(5)
     words = ["".join(rng.choices("etaoinshrdlu1X日", k=rng.randint(1, 12))) for _ in range(300)]
