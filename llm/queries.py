@@ -17,6 +17,7 @@ from llm.pii import op4_pii
 from llm.quality import op2_quality
 from llm.secrets_scan import op10_secrets
 from llm.simhash import op8_simhash
+from llm.token_alignment import op13_alignment
 from llm.token_counts import op12_token_counts
 from llm.url_filter import op5_urls
 
@@ -27,5 +28,5 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_packing, op4_pii, op5_urls, op6_nearest, op7_mixing, op8_simhash, op9_language_id, op10_secrets,
-                                   op11_manifest, op12_token_counts)}
+                                   op11_manifest, op12_token_counts, op13_alignment)}
 
