@@ -1,0 +1,182 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from llm import token_alignment as K
+
+A = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+A.encode_special_tokens = True
+B = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+TOOL = K.aligner(None, None, None)
+
+
+def byte_letters():
+    """The byte-level alphabet: printable bytes stand for themselves, others for U+0100 and on."""
+    plain = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+LETTERS = byte_letters()
+
+
+def tokens_of(text):
+    a = [(i, bytes(LETTERS[c] for c in A.id_to_token(i))) for i in A.encode(" " + text, add_special_tokens=False).ids]
+    b = [(i, bytes([int(p[3:5], 16)]) if B.is_byte(i) else p.replace("▁", " ").encode())
+         for i, p in ((i, B.id_to_piece(i)) for i in B.encode(text))]
+    return a, b
+
+
+def spans(tokens):
+    out, at = [], 0
+    for _, raw in tokens:
+        out.append((at, at + len(raw)))
+        at += len(raw)
+    return out
+
+
+def brute(text, kind="end"):
+    """(n_a, n_b, groups, links as id pairs), or None."""
+    if not text:
+        return None
+    a, b = tokens_of(text)
+    whole = (" " + text).encode()
+    if b"".join(r for _, r in a) != whole or b"".join(r for _, r in b) != whole:
+        return None
+    sa, sb = spans(a), spans(b)
+    cuts = sorted({e for _, e in sa} & {e for _, e in sb})
+    group = lambda e: next(i for i, c in enumerate(cuts) if e <= c)
+    ga, gb = [group(e) for _, e in sa], [group(e) for _, e in sb]
+    groups = ";".join(",".join(str(t[0]) for t, g in zip(a, ga) if g == i) + "|" + ",".join(str(t[0]) for t, g in zip(b, gb) if g == i)
+                      for i in range(len(cuts)))
+    test = {"end": lambda i, j: sa[i][1] == sb[j][1], "group": lambda i, j: ga[i] == gb[j],
+            "overlap": lambda i, j: sa[i][0] < sb[j][1] and sb[j][0] < sa[i][1]}[kind]
+    links = [(a[i][0], b[j][0]) for i in range(len(a)) for j in range(len(b)) if test(i, j)]
+    return len(a), len(b), len(cuts), groups, links
+
+
+def units(texts, kind):
+    rows = []
+    for found in TOOL.units([" " + t for t in texts], kind):
+        if found is None:
+            rows.append(None)
+            continue
+        n_a, n_b, n_groups, n_links, groups, (a, b, times) = found
+        links = Counter({(x, y): n for x, y, n in zip(a.tolist(), b.tolist(), times.tolist())})
+        assert sum(links.values()) == n_links
+        rows.append((n_a, n_b, n_groups, groups, links))
+    return rows
+
+
+@pytest.mark.parametrize("kind", K.LINKS)
+@given(texts=st.lists(st.text(alphabet="aben tionr's\n\t.1é日<|endoftext|>▁\x00😀", min_size=1, max_size=30), min_size=1, max_size=4))
+@settings(max_examples=120, deadline=None)
+def test_equals_brute_force(kind, texts):
+    want = [brute(t, kind) for t in texts]
+    assert units(texts, kind) == [w and (*w[:4], Counter(w[4])) for w in want]
+
+
+@given(st.text(min_size=1, max_size=50))
+@settings(max_examples=200, deadline=None)
+def test_any_text(text):
+    want = brute(text)
+    assert units([text], "end") == [want and (*want[:4], Counter(want[4]))]
+
+
+def test_vocabulary_bytes():
+    """The rank file's ids and bytes are those of the tokenizer file."""
+    for name, i in A.get_vocab().items():
+        if i < len(TOOL.a.lengths):
+            s = TOOL.a.starts[i]
+            assert TOOL.a.flat[s:s + TOOL.a.lengths[i]].tobytes() == bytes(LETTERS[c] for c in name)
+    assert len(TOOL.a.lengths) == 50_256 and len(TOOL.b.lengths) == 32_000 and max(len(TOOL.a.lengths), len(TOOL.b.lengths)) < 1 << 20
+    assert TOOL.pair_bound() < 400_000
+
+
+@given(st.integers(1, 6), st.integers(1, 6), st.integers(1, 6), st.randoms(use_true_random=False))
+@settings(max_examples=200, deadline=None)
+def test_csr_product(n, m, k, rng):
+    def dense(r, c):
+        return np.array([[rng.choice([0, 0, 1, 2]) for _ in range(c)] for _ in range(r)])
+
+    def csr(x):
+        rows, columns = np.nonzero(x)
+        return K.Csr(np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(x)))]), columns, x[rows, columns], x.shape[1])
+
+    def back(c):
+        x = np.zeros((len(c.starts) - 1, c.width), dtype=int)
+        np.add.at(x, (c.rows(), c.columns), c.values)
+        return x
+
+    x, y = dense(n, m), dense(m, k)
+    assert (back(csr(x).times(csr(y))) == x @ y).all() and (back(csr(x).transposed()) == x.T).all()
+
+
+@given(st.text(alphabet="ab  \n'1日", min_size=1, max_size=60), st.integers(1, 20))
+@settings(max_examples=200, deadline=None)
+def test_slices(text, size):
+    parts = list(K.slices(text, size))
+    assert "".join(parts) == " " + text
+    whole, cut = brute(text), [brute(p[1:]) if p[1:] else None for p in parts]
+    if whole:
+        assert all(cut) and ";".join(c[3] for c in cut) == whole[3]
+
+
+ROWS = [(1, "The quick brown fox, isn't it?"), (2, None), (3, ""), (4, "x"), (4, "x"), (None, "no id 日本 <|endoftext|>"),
+        (5, "bad ▁ text"), (6, "hello world " * 900), *[(10 + i, f"some words here {i}, " * (i % 5 + 1)) for i in range(30)]]
+
+
+def test_query(spark, make_docs, as_tables, monkeypatch):
+    docs = make_docs(ROWS, extra=("n_a", "a", "b", "times", "count")).repartition(3)
+    got = K.op13_alignment(spark, as_tables(documents=docs))
+    found = {t: brute(t) for _, t in ROWS if t}
+    count = Counter(p for _, t in ROWS if t and found[t] for p in found[t][4])
+    most = {}
+    for (_, b), n in count.items():
+        most[b] = max(n, most.get(b, 0))
+    want = []
+    for i, t in ROWS:
+        w = found.get(t)
+        if not w:
+            want.append((i, 0, 0, 0, 0, 0, 0, ""))
+            continue
+        want.append((i, *w[:3], len(w[4]), sum(count[p] == most[p[1]] for p in w[4]), sum(count[p] for p in w[4]),
+                     hashlib.sha256(w[3].encode()).hexdigest()))
+    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    assert got.columns == names
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    assert K.scored(K.align(make_docs([]))).count() == 0
+
+
+def test_long_texts_by_slices(monkeypatch):
+    text = "some words, isn't it?  日本\n\n next <|endoftext|> " * 300
+    want = brute(text[:4000])
+    monkeypatch.setattr(K, "SLICE_CHARS", 40)
+    row = K._Row(True)
+    parts = list(K.slices(text[:4000]))
+    assert len(parts) > 64
+    for part in parts:
+        for unit in TOOL.units([part], "end"):
+            row.add(unit)
+    *numbers, digest, (a, b, times), groups = row.result()
+    assert numbers == [*want[:3], len(want[4])] and groups == want[3] and digest == hashlib.sha256(want[3].encode()).hexdigest()
+    assert Counter(dict(zip(zip(a.tolist(), b.tolist()), times.tolist()))) == Counter(want[4])
+
+
+def test_groups_and_kinds(spark, make_docs):
+    docs = make_docs(ROWS[:4])
+    for kind in K.LINKS:
+        row = K.align(docs, links=kind, with_groups=True).filter("doc_id = 1").first()
+        want = brute(ROWS[0][1], kind)
+        assert row.groups == want[3] and row.n_links == len(want[4]) == sum(row.times)
+    with pytest.raises(ValueError):
+        K.align(docs, links="none")
