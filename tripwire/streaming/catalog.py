@@ -17,6 +17,7 @@ from tripwire.session import fresh_path
 from tripwire.sources import json_encode, load_transactions, validated_scan
 from tripwire.sinks.fraud_table import read_fraud_table
 from tripwire.streaming import detect as SD
+from tripwire.streaming import stateful as ST
 from tripwire.streaming.ingest import event_transactions, payload_transactions
 from tripwire.streaming.run import run_available_now, start_fraud_sink, start_validated_sink, state_partitions
 
@@ -32,10 +33,10 @@ def write_payload_files(spark: SparkSession, d: str) -> str:
     return out
 
 
-def _drain(build) -> callable:
+def _drain(build, processor: bool = False) -> callable:
     def run(spark: SparkSession, d: str) -> DataFrame:
         stream = build(event_transactions(spark, _events_path(d)))
-        return spark.read.parquet(run_available_now(stream, spark, "stream"))
+        return spark.read.parquet(run_available_now(stream, spark, "stream", processor))
     return run
 
 
@@ -67,6 +68,8 @@ def stream_queries():
         "stream_high_value": _drain(SD.stream_high_value),
         "stream_window_location_count": _drain(SD.stream_window_location_count),
         "stream_impossible_travel": _drain(SD.stream_impossible_travel),
+        "stream_travel_stateful": _drain(ST.stream_travel_stateful, processor=True),
+        "stream_travel_exact": _drain(ST.stream_travel_exact, processor=True),
         "stream_fraud_union": _drain(SD.stream_fraud),
         "stream_fraud_sink": _fraud_sink,
     }
@@ -83,6 +86,8 @@ def stream_oracles():
         "stream_high_value": q["high_value"],
         "stream_window_location_count": closed["window_location_count"],
         "stream_impossible_travel": closed["impossible_travel"],
+        "stream_travel_stateful": closed["impossible_travel"],
+        "stream_travel_exact": q["impossible_travel_exact"],
         "stream_fraud_union": closed["fraud_union"],
         "stream_fraud_sink": closed["fraud_distinct"],
     }

@@ -8,7 +8,7 @@ Checkpoints and outputs live below the shared scratch area unless given.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -17,6 +17,8 @@ from tripwire.config import HIGH_VALUE_THRESHOLD, WATERMARK_DELAY
 from tripwire.session import fresh_path, parallelism
 from tripwire.sinks.fraud_table import FraudTableWriter
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def _trigger(writer, available_now: bool, processing_time: str | None):
     if available_now:
@@ -57,6 +59,19 @@ def state_partitions(spark: SparkSession, n: int | None = None):
         spark.conf.set(key, before)
 
 
+@contextmanager
+def processor_state(spark: SparkSession):
+    """Starts a query with a state processor: they need the RocksDB store, which
+    is fixed into the query's checkpoint, too."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def late_rows_dropped(query: StreamingQuery) -> int:
     """Rows the stateful operators dropped as later than the watermark, over
     the query's retained progress reports."""
@@ -70,11 +85,12 @@ def rows_processed(query: StreamingQuery) -> int:
     return sum(p.get("numInputRows", 0) for p in query.recentProgress)
 
 
-def run_available_now(df: DataFrame, spark: SparkSession, name: str) -> str:
+def run_available_now(df: DataFrame, spark: SparkSession, name: str, processor: bool = False) -> str:
     """Drain ``df`` into a fresh Parquet directory (fresh checkpoint, state
-    partitions sized to the cluster); returns its path."""
+    partitions sized to the cluster); returns its path.  ``processor``: ``df``
+    holds a state processor."""
     out, ckpt = fresh_path(spark, name), fresh_path(spark, f"{name}-checkpoint")
-    with state_partitions(spark):
+    with state_partitions(spark), processor_state(spark) if processor else nullcontext():
         q = (df.writeStream.format("parquet").option("path", out)
              .option("checkpointLocation", ckpt).outputMode("append")
              .trigger(availableNow=True).start())
