@@ -14,7 +14,8 @@ Rows without an event time are kept under the NULL date and looked up there.
 A batch writes one file per date until a date's rows are large.  Errors
 propagate: the batch is not committed and is retried on restart.
 
-Optionally the new rows are also appended to a JDBC table, and rows that
+Optionally the new rows are also appended to a database table, each batch once
+(``ledger.LedgerAppend``), and rows that
 break the table's constraints (NOT NULL, maximum lengths) are written to a
 quarantine directory with their violations instead of failing the batch.
 """
@@ -30,6 +31,8 @@ from pyspark.sql import types as T
 
 from tripwire.operators.sizing import fits_broadcast
 from tripwire.schema import FRAUD_COLUMNS, FRAUD_TABLE
+from tripwire.sinks.compaction import compact, live_rows
+from tripwire.sinks.ledger import LedgerAppend
 
 # Stored layout: the fraud table columns plus the partition columns.
 STORED = T.StructType(FRAUD_TABLE.fields + [
@@ -50,6 +53,9 @@ def _missing(exc: Exception) -> bool:
 
 def read_fraud_table(spark: SparkSession, path: str) -> DataFrame:
     """The stored fraud rows (zero rows when nothing was written yet)."""
+    live = live_rows(spark, path, STORED)
+    if live is not None:
+        return live
     try:
         return spark.read.schema(STORED).parquet(path)
     except Exception as exc:  # noqa: BLE001 - only a missing table is tolerated
@@ -72,6 +78,9 @@ def _stored_between(spark: SparkSession, root: str, first, last, undated: bool)
         wanted = wanted | F.col("timestamp").isNull()
     if undated and (names or first is None):
         names.append(_NO_DATE)
+    live = live_rows(spark, root, STORED, names or None)
+    if live is not None:
+        return live.filter(wanted)
     if names:
         reader = spark.read.schema(STORED).option("basePath", root)
         # literal paths; when some date has no directory yet, a glob over them
@@ -93,6 +102,7 @@ class FraudTableWriter:
     jdbc_url: str | None = None
     jdbc_table: str = "fraud_transactions"
     jdbc_properties: dict = field(default_factory=dict)
+    database: LedgerAppend | None = None      # default: made of the JDBC settings
     quarantine_path: str | None = None
     query_id: str | None = None         # default: the running streaming query's
 
@@ -147,8 +157,13 @@ class FraudTableWriter:
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("event_date", "query_id", "batch_id").parquet(self.path))
             if self.jdbc_url:
-                (out.drop("event_date", "query_id", "batch_id").write
-                 .jdbc(self.jdbc_url, self.jdbc_table, mode="append", properties=self.jdbc_properties))
+                append = self.database or LedgerAppend(self.jdbc_url, self.jdbc_table, self.jdbc_properties)
+                append(out.drop("event_date", "query_id", "batch_id"), query_id, batch_id)
         finally:
             for df in cached:
                 df.unpersist()
+
+
+def compact_fraud_table(spark: SparkSession, path: str, before: date) -> list[str]:
+    """One file per date before ``before`` (``compaction.compact``)."""
+    return compact(spark, path, before, STORED)

@@ -12,13 +12,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripwire.schema import FRAUD_COLUMNS
+from tripwire.schema import FRAUD_COLUMNS, TX_COLUMNS
 from tripwire.session import fresh_path
 from tripwire.sources import json_encode, load_transactions, validated_scan
 from tripwire.sinks.fraud_table import read_fraud_table
 from tripwire.streaming import detect as SD
 from tripwire.streaming import stateful as ST
 from tripwire.streaming.ingest import event_transactions, payload_transactions
+from tripwire.streaming.speed_layer import read_rows, start_speed_layer
 from tripwire.streaming.run import run_available_now, start_fraud_sink, start_validated_sink, state_partitions
 
 
@@ -61,6 +62,17 @@ def _fraud_sink(spark: SparkSession, d: str) -> DataFrame:
     return read_fraud_table(spark, table).select(*FRAUD_COLUMNS)
 
 
+def _speed_layer(table: str) -> callable:
+    """One query feeding all sinks; ``table``: the one that is read back."""
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        base = fresh_path(spark, "speed-layer")
+        start_speed_layer(event_transactions(spark, _events_path(d)), base, available_now=True).awaitTermination()
+        if table == "fraud":
+            return read_fraud_table(spark, f"{base}/fraud").select(*FRAUD_COLUMNS)
+        return read_rows(spark, base, table).select(*TX_COLUMNS)
+    return run
+
+
 def stream_queries():
     return {
         "stream_ingest": _ingest,
@@ -72,6 +84,8 @@ def stream_queries():
         "stream_travel_exact": _drain(ST.stream_travel_exact, processor=True),
         "stream_fraud_union": _drain(SD.stream_fraud),
         "stream_fraud_sink": _fraud_sink,
+        "stream_speed_layer_fraud": _speed_layer("fraud"),
+        "stream_speed_layer_validated": _speed_layer("validated"),
     }
 
 
@@ -90,4 +104,6 @@ def stream_oracles():
         "stream_travel_exact": q["impossible_travel_exact"],
         "stream_fraud_union": closed["fraud_union"],
         "stream_fraud_sink": closed["fraud_distinct"],
+        "stream_speed_layer_fraud": closed["fraud_distinct"],
+        "stream_speed_layer_validated": q["event_time_parse"],
     }
