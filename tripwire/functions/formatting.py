@@ -33,7 +33,11 @@ def format_currency(c: Column | str) -> Column:
 
 
 def format_integer(c: Column | str) -> Column:
-    return F.coalesce(F.format_number(_number(c).cast("long"), 0), F.lit("0"))
+    """Beyond the long range the number is whole already; beyond 38 digits, and
+    for infinity, its own text stands."""
+    x = _number(c)
+    return F.coalesce(F.format_number(x.try_cast("long"), 0), F.format_number(x.try_cast("decimal(38,0)"), 0),
+                      x.cast("string"), F.lit("0"))
 
 
 def _plain(c: Column, decimals: int) -> Column:

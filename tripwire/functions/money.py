@@ -23,13 +23,25 @@ def present(c: Column | str) -> Column:
     return F.when(~F.isnan(col), col)
 
 
-def money_sum(c: Column | str) -> Column:
+def money_parts(c: Column | str) -> tuple[Column, Column]:
+    """The two sums a total is made of: of amounts held as decimals, and of the others."""
     col = present(c)
     exact = col.try_cast(EXACT)
     kept = F.coalesce(exact.cast("double") == col, F.lit(False))
-    decimals = F.sum(F.when(kept, exact)).cast("double")
-    doubles = F.sum(F.when(~kept, col))
-    return F.coalesce(decimals + doubles, decimals, doubles)
+    return F.sum(F.when(kept, exact)), F.sum(F.when(~kept, col))
+
+
+def _total(decimals: Column, doubles: Column) -> Column:
+    return F.coalesce(decimals.cast("double") + doubles, decimals.cast("double"), doubles)
+
+
+def money_sum(c: Column | str) -> Column:
+    return _total(*money_parts(c))
+
+
+def money_merged(exact: Column, rest: Column) -> Column:
+    """The total of stored ``money_parts``."""
+    return _total(F.sum(exact), F.sum(rest))
 
 
 def money_sum0(c: Column | str) -> Column:

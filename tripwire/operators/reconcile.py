@@ -42,11 +42,13 @@ def _combine(v: DataFrame, f: DataFrame) -> DataFrame:
     return both.select("*", total_n.alias("_total_n"), total_amt.alias("_total_amt"))
 
 
-def totals(validated: DataFrame, fraud: DataFrame, as_of: AsOf = None,
-           hours: int = RECONCILIATION_LOOKBACK_HOURS) -> DataFrame:
-    """One row with the totals that both reconciliation outputs are made of."""
+def totals(validated: DataFrame | None, fraud: DataFrame, as_of: AsOf = None,
+           hours: int = RECONCILIATION_LOOKBACK_HOURS, summed: DataFrame | None = None) -> DataFrame:
+    """One row with the totals that both reconciliation outputs are made of.
+    ``summed``: the validated totals where they are known already (then the
+    validated rows are not read; ``as_of`` must be given)."""
     now = as_of_column(as_of, validated)
-    return _combine(validated_totals(validated), fraud_totals(fraud, hours, now))
+    return _combine(summed if summed is not None else validated_totals(validated), fraud_totals(fraud, hours, now))
 
 
 def report_row(c: DataFrame, stamp: Column) -> DataFrame:

@@ -27,18 +27,19 @@ def _stamp(now: datetime | str) -> str:
     return datetime.fromisoformat(as_of_text(now)).strftime("%Y%m%d_%H%M%S")
 
 
-def reconciliation_job(spark: SparkSession, validated: DataFrame, fraud: DataFrame, reports_dir: str,
+def reconciliation_job(spark: SparkSession, validated: DataFrame | None, fraud: DataFrame, reports_dir: str,
                        now: datetime | str, table_path: str | None = None,
-                       hours: int = RECONCILIATION_LOOKBACK_HOURS) -> dict[str, str | None]:
-    """Reconciliation CSV, reconciliation table row, fraud-pattern CSV (only
-    when there are patterns)."""
+                       hours: int = RECONCILIATION_LOOKBACK_HOURS, summed: DataFrame | None = None) -> dict[str, str | None]:
+    """Reconciliation CSV, reconciliation table row (one per run, also when the run
+    is repeated), fraud-pattern CSV (only when there are patterns).  ``summed``:
+    validated totals from increments (``operators.increments``) instead of a scan."""
     stamp = F.lit(as_of_text(now)).cast("timestamp")
     shared_dir(spark)
-    totals = R.totals(validated, fraud, as_of=now, hours=hours).checkpoint(eager=True)     # one row
+    totals = R.totals(validated, fraud, as_of=now, hours=hours, summed=summed).checkpoint(eager=True)     # one row
     report = R.report_row(totals, stamp)
     out = {"reconciliation": write_csv_report(report, reports_dir, "reconciliation", _stamp(now))}
     if table_path:
-        append_reconciliation_row(R.table_row(totals, stamp), path=table_path)
+        append_reconciliation_row(R.table_row(totals, stamp), path=table_path, run=_stamp(now))
     patterns = R.fraud_patterns(fraud, hours=hours, as_of=now)
     out["fraud_analysis"] = write_csv_report(patterns, reports_dir, "fraud_analysis", _stamp(now),
                                              skip_empty=True)

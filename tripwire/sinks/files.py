@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripwire.session import shared_dir
+from tripwire.sinks.ledger import LedgerAppend
 
 
 def _plain_number(c: Column) -> Column:
@@ -39,12 +40,24 @@ def write_csv_report(df: DataFrame, directory: str, name: str, stamp: str,
 
 
 def append_reconciliation_row(row: DataFrame, path: str | None = None, table: str | None = None,
-                              jdbc_url: str | None = None, properties: dict | None = None) -> None:
+                              jdbc_url: str | None = None, properties: dict | None = None,
+                              run: str | None = None, database: LedgerAppend | None = None) -> None:
     """Append the one-row reconciliation record to a Parquet path, a catalog
-    table or a JDBC table."""
-    if path:
+    table or a JDBC table.  ``run`` names the report (its time): repeating a run
+    replaces its row under the path (``run=<run>``), skips a catalog table that has
+    its ``report_date``, and is appended to a database once (``ledger``)."""
+    if path and run:
+        row.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run}")
+    elif path:
         row.write.mode("append").parquet(path)
     if table:
+        spark = row.sparkSession
+        if run and spark.catalog.tableExists(table):
+            shared_dir(spark)
+            row = row.join(spark.table(table).select("report_date"), "report_date", "left_anti").checkpoint(eager=True)
         row.write.mode("append").saveAsTable(table)
-    if jdbc_url:
+    if jdbc_url and run:
+        append = database or LedgerAppend(jdbc_url, "reconciliation_reports", properties or {})
+        append(row, f"reconciliation-{run}", 0)
+    elif jdbc_url:
         row.write.jdbc(jdbc_url, "reconciliation_reports", mode="append", properties=properties or {})

@@ -11,15 +11,17 @@ end at least the watermark delay before the latest event.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripwire.schema import FRAUD_COLUMNS, TX_COLUMNS
 from tripwire.session import fresh_path
 from tripwire.sources import json_encode, load_transactions, validated_scan
-from tripwire.sinks.fraud_table import read_fraud_table
+from tripwire.operators.increments import advance, merged_totals, partial_sums
+from tripwire.sinks.fraud_table import FraudTableWriter, read_fraud_table
 from tripwire.streaming import detect as SD
 from tripwire.streaming import stateful as ST
 from tripwire.streaming.ingest import event_transactions, payload_transactions
-from tripwire.streaming.speed_layer import read_rows, start_speed_layer
+from tripwire.streaming.speed_layer import SpeedLayer, read_rows, start_speed_layer
 from tripwire.streaming.run import run_available_now, start_fraud_sink, start_validated_sink, state_partitions
 
 
@@ -73,6 +75,18 @@ def _speed_layer(table: str) -> callable:
     return run
 
 
+def _incremental_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs of the speed layer's batches, summed in two increments."""
+    base = fresh_path(spark, "increments")
+    tx = load_transactions(spark, d)
+    half = F.when(F.pmod(F.unix_date(F.to_date("timestamp")), F.lit(2)) == 0, 0).otherwise(1)
+    for n in range(2):
+        SpeedLayer(base, query_id="q", writer=FraudTableWriter(f"{base}/fraud", query_id="q"))(tx.filter(half == n), n)
+        advance(spark, base, f"{base}/sums")
+    totals = merged_totals(partial_sums(spark, f"{base}/sums"))
+    return totals.withColumn("total_amount", F.round("total_amount", 4))
+
+
 def stream_queries():
     return {
         "stream_ingest": _ingest,
@@ -85,6 +99,7 @@ def stream_queries():
         "stream_fraud_union": _drain(SD.stream_fraud),
         "stream_fraud_sink": _fraud_sink,
         "stream_speed_layer_fraud": _speed_layer("fraud"),
+        "validated_totals_incremental": _incremental_totals,
         "stream_speed_layer_validated": _speed_layer("validated"),
     }
 
@@ -105,5 +120,6 @@ def stream_oracles():
         "stream_fraud_union": closed["fraud_union"],
         "stream_fraud_sink": closed["fraud_distinct"],
         "stream_speed_layer_fraud": closed["fraud_distinct"],
+        "validated_totals_incremental": q["validated_totals"],
         "stream_speed_layer_validated": q["event_time_parse"],
     }
