@@ -126,3 +126,24 @@ def test_identical_vectors(spark):
     got = N.nearest(frame(spark, x), F.col("vec_id") % 20 == 0).toPandas()
     assert got[got.query_id == 0].sort_values("rank").vec_id.tolist() == list(range(1, 21))
     assert got[got.query_id == 20].sort_values("rank").vec_id.tolist() == list(range(0, 20))
+
+
+def test_recall_of_unequal_norms_at_size(spark):
+    """Beams are widened until the measured recall is reached, and it is the true one."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(5000, 64))
+    x *= (rng.uniform(0.3, 3, size=5000) / np.linalg.norm(x, axis=1))[:, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = N.nearest(df, F.col("vec_id") % 20 == 0, beam=24).toPandas().groupby("query_id").vec_id.apply(set)
+    queries = np.arange(0, 5000, 20)
+    scores = x[queries] @ x.T
+    scores[np.arange(len(queries)), queries] = -np.inf
+    want = np.argsort(-scores, axis=1)[:, :20]
+    assert np.mean([len(got[q] & set(w.tolist())) / 20 for q, w in zip(queries.tolist(), want)]) >= 0.92
+
+
+def test_search_that_does_not_end_fails(spark):
+    x = np.random.default_rng(3).normal(size=(400, 16))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError, match="open nodes"):
+        N.nearest(df, F.col("vec_id") % 20 == 0, beam=40, search_rounds=0)
