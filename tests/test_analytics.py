@@ -152,3 +152,31 @@ def test_density_of_large_amounts(spark):
     assert all(r["density"] > 0 for r in rows)
     step = rows[1]["amount"] - rows[0]["amount"]
     assert 0.9 < sum(r["density"] for r in rows) * step < 1.0
+
+
+@pytest.mark.parametrize("spread,copies", [("normal", 1), ("lognormal", 1), ("outlier", 3), ("two", 50)])
+def test_binned_density_keeps_its_bound(spark, spread, copies):
+    import random
+    import statistics
+
+    rng = random.Random(3)
+    values = {"normal": [rng.gauss(100, 15) for _ in range(800)],
+              "lognormal": [rng.lognormvariate(4, 1.5) for _ in range(800)],
+              "outlier": [rng.gauss(10, 1) for _ in range(300)] + [1e7],
+              "two": [1.0, 2.0]}[spread] * copies
+    t = datetime(2024, 1, 1)
+    df = _fraud(spark, [("U", t, "A", v, "US", "R") for v in values] + [("U", t, "A", None, "US", "R")])
+    exact, binned = A.amount_density(df).collect(), A.amount_density_binned(df).collect()
+    assert [r.point for r in binned] == [r.point for r in exact] and len(binned) == 200
+    bandwidth = statistics.stdev(values) * len(values) ** -0.2
+    worst = max(abs(a.density - b.density) for a, b in zip(exact, binned, strict=True))
+    assert worst <= A.density_error(bandwidth) * (1 + 1e-6)
+    # fewer cells: a larger bound, kept as well
+    coarse = A.amount_density_binned(df, cells_per_bandwidth=4, reach=5.0).collect()
+    assert max(abs(a.density - b.density) for a, b in zip(exact, coarse, strict=True)) <= A.density_error(bandwidth, 4, 5.0)
+
+
+def test_binned_density_of_nothing_or_one_value(spark):
+    t = datetime(2024, 1, 1)
+    assert A.amount_density_binned(_fraud(spark, [])).count() == 0
+    assert A.amount_density_binned(_fraud(spark, [("U", t, "A", 5.0, "US", "R")] * 3)).count() == 0

@@ -8,6 +8,8 @@ zero rows everywhere (the report stops on empty input).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -189,3 +191,50 @@ def amount_density(fraud: DataFrame, points: int = DENSITY_GRID_POINTS, bins: in
         "point", F.col("x").alias("amount"), density.alias("density"),
         (density * F.col("n") * (F.col("hi") - F.col("lo")) / bins).alias("expected_count"))
         .orderBy("point"))
+
+
+def amount_density_binned(fraud: DataFrame, points: int = DENSITY_GRID_POINTS, bins: int = HISTOGRAM_BINS,
+                          cells_per_bandwidth: int = 32, reach: float = 8.0) -> DataFrame:
+    """``amount_density`` by linear binning: the work does not follow the number
+    of distinct amounts.
+
+    Cells of ``1 / cells_per_bandwidth`` bandwidths divide the range; an amount
+    gives its weight to the two ends of its cell, by nearness, which is the kernel
+    interpolated linearly between them.  A cell end counts at the points within ``reach``
+    bandwidths, so at most ``points * (2 * reach * cells_per_bandwidth + 2)`` pairs
+    are formed.  The density differs from the exact one by at most
+    ``density_error(bandwidth, cells_per_bandwidth, reach)``.
+    """
+    rng = _amount_range(fraud).filter(F.col("sd") > 0)
+    bw = F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
+    params = F.broadcast(rng.select("n", "lo", "hi", bw.alias("bw"), ((F.col("hi") - F.col("lo")) / (points - 1)).alias("step")))
+    position = (F.col("amount") - F.col("lo")) / F.col("bw") * cells_per_bandwidth
+    cells = (fraud.filter(present("amount").isNotNull()).select("amount").crossJoin(params)
+             .select(F.floor(position).alias("cell"), (position - F.floor(position)).alias("_up"))
+             .groupBy("cell").agg(F.count(F.lit(1)).alias("_c"), F.sum("_up").alias("_up")))
+    ends = (cells.select(F.explode(F.array(
+                F.struct(F.col("cell").alias("cell"), (F.col("_c") - F.col("_up")).alias("w")),
+                F.struct((F.col("cell") + 1).alias("cell"), F.col("_up").alias("w")))).alias("e"))
+            .groupBy(F.col("e.cell").alias("cell")).agg(F.sum("e.w").alias("w")))
+    offset = F.col("cell") * F.col("bw") / cells_per_bandwidth
+    first = F.greatest(F.ceil((offset - F.col("bw") * reach) / F.col("step")), F.lit(0))
+    last = F.least(F.floor((offset + F.col("bw") * reach) / F.col("step")), F.lit(points - 1))
+    z = (F.col("point") * F.col("step") - F.col("offset")) / F.col("bw")
+    near = (ends.crossJoin(params)
+            .select("w", "bw", "step", offset.alias("offset"),
+                    F.explode(F.when(first <= last, F.sequence(first, last))).alias("point"))
+            .groupBy(F.col("point").cast("int").alias("point")).agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("_k")))
+    grid = fraud.sparkSession.range(points).select(F.col("id").cast("int").alias("point")).crossJoin(params)
+    density = F.coalesce(F.col("_k"), F.lit(0.0)) / (F.col("n") * F.col("bw") * F.lit((2 * 3.141592653589793) ** 0.5))
+    return (grid.join(F.broadcast(near), "point", "left")
+            .select("point", (F.col("lo") + F.col("point") * F.col("step")).alias("amount"), density.alias("density"),
+                    (density * F.col("n") * (F.col("hi") - F.col("lo")) / bins).alias("expected_count"))
+            .orderBy("point"))
+
+
+def density_error(bandwidth: float, cells_per_bandwidth: int = 32, reach: float = 8.0) -> float:
+    """The bound of ``amount_density_binned``: linear interpolation (an eighth of
+    the squared step times the greatest curvature of the kernel, its peak) and
+    the kernel left out beyond the reach."""
+    peak = 1.0 / (bandwidth * (2 * 3.141592653589793) ** 0.5)
+    return peak * (1.0 / (8 * cells_per_bandwidth ** 2) + math.exp(-reach * reach / 2))

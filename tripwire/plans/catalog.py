@@ -18,6 +18,7 @@ from tripwire.operators import analytics as A
 from tripwire.operators import detect as D
 from tripwire.operators import quality as Q
 from tripwire.operators import reconcile as R
+from tripwire.operators import sketches as S
 from tripwire.schema import TX_COLUMNS
 from tripwire.sources import event_time_parse, fraud_lookback, json_decode, json_encode, load_transactions
 from tripwire.sources.scans import as_of_column, lookback_input
@@ -134,6 +135,25 @@ def _constraints(spark: SparkSession, d: str) -> DataFrame:
     return checked.select("*", F.array_join("violations", ";").alias("violation_list")).drop("violations")
 
 
+def _merged_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Headline numbers from the stored sketches of every date, beside whether the
+    sketched ones keep their bounds against the exact ones."""
+    from tripwire.session import fresh_path
+
+    root = fresh_path(spark, "sketches")
+    fraud = S.dated(_fraud(_tx(spark, d))).persist()
+    try:
+        S.store_sketches(fraud, root)
+        users = fraud.agg(F.countDistinct("user_id")).first()[0]
+    finally:
+        fraud.unpersist()
+    merged = S.merged_summary(spark, root)
+    near = F.abs(F.col("unique_users_affected") - users) <= F.lit(users * 3 * S.USERS_ERROR + 1)
+    return _rounded(merged, 2, "total_fraud_amount", "average_fraud_amount").select(
+        "total_fraud_transactions", "total_fraud_amount", "average_fraud_amount", "max_fraud_amount",
+        "most_common_category", "most_common_reason", near.alias("users_within_bound"))
+
+
 def batch_queries() -> dict[str, Query]:
     all_cols = TX_COLUMNS + ["fraud_reason"]
     return {
@@ -172,6 +192,9 @@ def batch_queries() -> dict[str, Query]:
         "timeline_hourly": _report(A.timeline_hourly),
         "amount_histogram": _report(A.amount_histogram),
         "amount_density": _report(lambda f: _digits(A.amount_density(f), "amount", "density", "expected_count")),
+        "amount_density_binned": _report(
+            lambda f: _digits(A.amount_density_binned(f), "amount", "density", "expected_count")),
+        "summary_merged": _merged_summary,
         "format_report": _report(lambda f: format_report(A.by_category(f), "merchant_category")),
         # ad-hoc queries on the fraud table
         "adhoc_fraud_count": _fraud_q(lambda f: f.agg(F.count(F.lit(1)).alias("fraud_count"))),

@@ -185,6 +185,28 @@ k AS (SELECT point, x, n, lo, hi, bw, sum(w * exp(-0.5 * ((x - amount) / bw) * (
 SELECT point, CAST(format('{:.8e}', x) AS DOUBLE) AS amount,
        CAST(format('{:.8e}', s / (n * bw * sqrt(2 * pi()))) AS DOUBLE) AS density,
        CAST(format('{:.8e}', s / (n * bw * sqrt(2 * pi())) * n * (hi - lo) / 40) AS DOUBLE) AS expected_count FROM k"""
+    q["amount_density_binned"] = _with(_TX, _HV, _WIN, _IT, _FRAUD, _LB_REPORT, _rng) + """, par AS (
+  SELECT n, lo, hi, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw FROM rng WHERE sd > 0),
+pos AS (SELECT (amount - lo) / bw * 32 AS p FROM lb CROSS JOIN par WHERE amount IS NOT NULL),
+wts AS (SELECT c, sum(w) AS w FROM (
+  SELECT floor(p) AS c, 1 - (p - floor(p)) AS w FROM pos UNION ALL SELECT floor(p) + 1, p - floor(p) FROM pos) GROUP BY c),
+grid AS (SELECT CAST(p AS INTEGER) AS point, p * ((hi - lo) / 199) AS x, n, lo, hi, bw
+         FROM (SELECT unnest(range(0, 200)) AS p) CROSS JOIN par),
+k AS (SELECT point, x, n, lo, hi, bw,
+             coalesce(sum(CASE WHEN abs(x - c * bw / 32) <= 8 * bw THEN w * exp(-0.5 * ((x - c * bw / 32) / bw) * ((x - c * bw / 32) / bw)) END), 0) AS s
+      FROM grid CROSS JOIN wts GROUP BY ALL)
+SELECT point, CAST(format('{:.8e}', lo + x) AS DOUBLE) AS amount,
+       CAST(format('{:.8e}', s / (n * bw * sqrt(2 * pi()))) AS DOUBLE) AS density,
+       CAST(format('{:.8e}', s / (n * bw * sqrt(2 * pi())) * n * (hi - lo) / 40) AS DOUBLE) AS expected_count FROM k"""
+    q["summary_merged"] = _F + f"""SELECT count(*) AS total_fraud_transactions,
+  round(coalesce({_MSUM}, 0.0), 2) AS total_fraud_amount, round({_MAVG}, 2) AS average_fraud_amount,
+  max(amount) AS max_fraud_amount,
+  (SELECT merchant_category FROM fraud WHERE merchant_category IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+    AS most_common_category,
+  (SELECT fraud_reason FROM fraud WHERE fraud_reason IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+    AS most_common_reason,
+  true AS users_within_bound
+FROM fraud HAVING count(*) > 0"""
     q["format_report"] = _R + f"""SELECT merchant_category AS "Index",
   CASE WHEN fraud_count > 100 THEN format('{{:,}}', CAST(fraud_count AS BIGINT)) ELSE format('{{:.2f}}', CAST(fraud_count AS DOUBLE)) END AS fraud_count,
   '$' || format('{{:,.2f}}', coalesce(total_amount, 0.0)) AS total_amount,
