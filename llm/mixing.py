@@ -9,7 +9,7 @@ near as the block allows).  The blocks to draw are exact quotas per source.
 The output is a number of shards.  A binary tree over the shards splits the
 quotas: at each node the left half gets its capacity in blocks by drawing
 without replacement from what the node holds of every source (the multivariate
-hypergeometric distribution, by selection sampling), the right half the rest.
+hypergeometric distribution, source by source), the right half the rest.
 A shard then takes the next blocks of every source, so that draws are disjoint,
 and shuffles its own rows.
 
@@ -75,24 +75,67 @@ def targets(totals: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: floa
                     .alias("target")))
 
 
+def _hypergeometric(held: Column, good: Column, room: Column, chance: Column) -> Column:
+    """How many of ``good`` among ``held`` blocks come when ``room`` of them are
+    drawn without replacement: the value at ``chance`` (0 to 1) of that
+    distribution, counted off from its mode outwards.  The weights follow from
+    each other by their ratios, so no factorial is needed; beyond twelve standard
+    deviations (and 40 blocks) they are zero in double precision.  The steps
+    grow with the square root of the blocks."""
+
+    def drawn(p: Column) -> Column:
+        n, k, m, mode = p["held"], p["good"], p["room"], p["mode"]
+        off = n - k - m
+        spread = F.sqrt(m * k / n * (1 - k / n) * (n - m) / F.greatest(n - 1, F.lit(1.0)))
+        steps = F.least(F.greatest(F.least(k, m) - mode, mode - F.greatest(F.lit(0.0), -off)),
+                        F.ceil(spread * 12) + 40).cast("int")
+        walk = F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>"))
+
+        def up(weight: Column, j: Column) -> Column:
+            x = mode + j        # the value reached
+            return weight * (k - x + 1) * (m - x + 1) / (x * (off + x))
+
+        def down(weight: Column, j: Column) -> Column:
+            x = mode - j
+            return weight * (x + 1) * (off + x + 1) / ((k - x) * (m - x))
+
+        def add(acc: Column, j: Column) -> Column:
+            over, under = up(acc["up"], j), down(acc["down"], j)
+            return F.struct(over.alias("up"), under.alias("down"), (acc["t"] + over + under).alias("t"))
+
+        def pick(acc: Column, j: Column) -> Column:
+            over, under = up(acc["up"], j), down(acc["down"], j)
+            got = F.when(acc["got"].isNotNull(), acc["got"]).when(acc["t"] < over, mode + j) \
+                .when(acc["t"] < over + under, mode - j)
+            return F.struct(over.alias("up"), under.alias("down"), (acc["t"] - over - under).alias("t"), got.alias("got"))
+
+        one = F.lit(1.0)
+        total = F.aggregate(walk, F.struct(one.alias("up"), one.alias("down"), one.alias("t")), add, lambda acc: acc["t"])
+
+        def picked(t: Column) -> Column:
+            start = F.struct(one.alias("up"), one.alias("down"), (t - 1).alias("t"), F.when(t < 1, mode).alias("got"))
+            return F.aggregate(walk, start, pick, lambda acc: F.coalesce(acc["got"], mode))
+
+        return F.transform(F.array(total * p["chance"]), picked)[0].cast("long")
+
+    mode = F.floor((room + 1.0) * (good + 1.0) / (held + 2.0)).cast("double")
+    given = F.struct(held.cast("double").alias("held"), good.cast("double").alias("good"), room.cast("double").alias("room"),
+                     F.least(F.greatest(mode, (room - held + good).cast("double")), good.cast("double"), room.cast("double"))
+                     .alias("mode"), chance.alias("chance"))
+    return F.when((good > 0) & (room > 0), F.transform(F.array(given), drawn)[0]).otherwise(F.lit(0).cast("long"))
+
+
 def _split(quotas: Column, capacity: Column, node: Column, seed: int) -> Column:
     """How many of each source's blocks go left: ``capacity`` of the node's
-    blocks drawn without replacement, one block after the other."""
+    blocks drawn without replacement, one source after the other."""
     held = F.aggregate(quotas, F.lit(0).cast("long"), lambda a, q: a + q["n"])
 
     def one_source(acc: Column, q: Column) -> Column:
-        def one_block(s: Column, i: Column) -> Column:
-            chance = F.pmod(F.xxhash64(F.lit(seed), node, q["place"], i), F.lit(1 << 53)) / F.lit(float(1 << 53))
-            goes = (chance * s["held"] < s["room"]).cast("long")
-            return F.struct((s["held"] - 1).alias("held"), (s["room"] - goes).alias("room"),
-                            (s["left"] + goes).alias("left"))
-
-        start = F.struct(acc["held"].alias("held"), acc["room"].alias("room"), F.lit(0).cast("long").alias("left"))
-        drawn = F.when(q["n"] > 0, F.aggregate(F.sequence(F.lit(1).cast("long"), q["n"]), start, one_block)) \
-            .otherwise(start)
-        return F.transform(F.array(drawn), lambda d: F.struct(
-            d["held"].alias("held"), d["room"].alias("room"),
-            F.concat(acc["out"], F.array(F.struct(q["place"].alias("place"), d["left"].alias("n")))).alias("out")))[0]
+        chance = F.pmod(F.xxhash64(F.lit(seed), node, q["place"]), F.lit(1 << 53)) / F.lit(float(1 << 53))
+        left = _hypergeometric(acc["held"], q["n"], acc["room"], chance)
+        return F.transform(F.array(left), lambda x: F.struct(
+            (acc["held"] - q["n"]).alias("held"), (acc["room"] - x).alias("room"),
+            F.concat(acc["out"], F.array(F.struct(q["place"].alias("place"), x.alias("n")))).alias("out")))[0]
 
     empty = F.array().cast("array<struct<place:int,n:bigint>>")
     return F.aggregate(quotas, F.struct(held.alias("held"), capacity.alias("room"), empty.alias("out")),
@@ -167,7 +210,8 @@ class Mix:
         self.plan = saved(self._draws(units).join(cuts, ["place", "block"], "left"), "mixplan")
 
     def _draw_key(self) -> Column:
-        return F.xxhash64(F.lit(self.seed), F.col(self.key), F.col(self.text))
+        # with the source, so that equal rows of two sources are numbered apart
+        return F.xxhash64(F.lit(self.seed), F.col(self.key), F.col(self.text), F.col(self.source))
 
     @staticmethod
     def _told_apart(rows: DataFrame) -> DataFrame:

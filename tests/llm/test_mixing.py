@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -53,6 +54,40 @@ def test_tree_draws_like_the_distribution(spark):
     assert len(set(left)) > 2 and abs(sum(left) / len(left) - 2.0) < 0.5
 
 
+@pytest.mark.parametrize("held,good,room", [(16, 12, 8), (40, 3, 37), (9, 9, 4), (60, 30, 30), (500, 7, 250), (30, 1, 1)])
+def test_draws_follow_the_hypergeometric_distribution(spark, held, good, room):
+    n = 6000
+    chance = (F.col("id") + 0.5) / n        # evenly spread, so that the counts are the distribution's own
+    drawn = spark.range(n).select(M._hypergeometric(F.lit(held), F.lit(good), F.lit(room), chance).alias("x"))
+    got = {r.x: r["count"] / n for r in drawn.groupBy("x").count().collect()}
+    for x in range(held + 1):
+        expected = math.comb(good, x) * math.comb(held - good, room - x) / math.comb(held, room) if x <= min(good, room) else 0.0
+        assert got.get(x, 0.0) == pytest.approx(expected, abs=1.01 / n), x
+
+
+def test_a_hundred_million_blocks(spark):
+    quotas = {0: 70_000_000, 1: 29_999_999, 2: 1, 3: 0}
+    got = M.shard_quotas(spark.createDataFrame(list(quotas.items()), "place int, n long"), 8).collect()
+    by_source, by_shard = Counter(), Counter()
+    for r in got:
+        by_source[r.place] += r.n
+        by_shard[r.shard] += r.n
+    assert {p: by_source[p] for p in quotas} == quotas and max(by_shard.values()) - min(by_shard.values()) <= 3
+    # a shard's share of the first source is within six standard deviations
+    assert all(abs(r.n - 8_750_000) < 6 * 1600 for r in got if r.place == 0)
+
+
+def test_equal_rows_of_two_sources(spark, make_docs):
+    rows = [(i % 5, "the same few words " * 20, "en", "ab"[i % 2]) for i in range(40)]
+    taken = []
+    for parts in (1, 3):
+        docs = make_docs(rows).repartition(parts, "source", "doc_id")
+        drawn = M.Mix(docs, block_words=60).draws(docs)
+        taken.append(sorted((r.source, r.doc_id, r.n) for r in drawn.select(
+            "source", "doc_id", (F.col("_size") * F.size("_shards")).alias("n")).collect()))
+    assert taken[0] == taken[1]
+
+
 def documents(n=400):
     rng = random.Random(2)
     rows = [(i, "word " * rng.randint(0, 30), "en", rng.choice(["a", "b", "c", "hot", "hot", None])) for i in range(n)]
