@@ -1,12 +1,14 @@
 """Secrets in texts: fixed rules, and sliding-window entropy of candidate strings.
 
 Candidates are runs of key-like characters.  Allowed parts of a run (words,
-placeholders, UUIDs, checksums and the like) and separators are taken out; over
-what is left a window slides one character at a time; the sum of c*log2(c) over the window's
-character counts is updated for the character that enters and the one that
-leaves, which gives the Shannon entropy of each window.  A run is reported when
-its highest window entropy reaches the threshold of its character class (what
-nearly all random strings of the class and length reach).
+placeholders, UUIDs, checksums and the like) cut it into stretches, each scored on
+its own: the pieces between separators, and a longer stretch as it stands in the
+text with its separators (base64 holds some).  A window slides over a stretch one
+character at a time; its character counts, and the sum of c*log2(c) over them, are
+updated for the character that enters and the one that leaves, which gives the
+Shannon entropy of each window.  A run is reported when the highest window entropy
+of a stretch reaches the threshold of its character class (what nearly all
+random strings of the class and length reach).
 
 All of it is built-in column functions; only texts with a candidate pay for the
 windows.
@@ -38,6 +40,7 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 SEPARATORS = r"[+/_=-]+"
 WINDOW = 20
 SHORTEST = 12
+SHORTEST_JOINED = 18        # of a stretch that holds separators
 # class, pattern of the run without separators (the first that fits), and the least entropy in bits of its best
 # window, for windows of SHORTEST .. WINDOW characters: what 99 of 100 uniformly random strings of the class reach
 CLASSES = [
@@ -47,7 +50,7 @@ CLASSES = [
     ("mixed letters", r"^[A-Za-z]+$", [2.91, 3.02, 3.12, 3.18, 3.28, 3.38, 3.46, 3.51, 3.58]),
     ("mixed", r"^[A-Za-z0-9]+$", [3.02, 3.08, 3.18, 3.27, 3.32, 3.45, 3.50, 3.57, 3.64]),
 ]
-# Known harmless parts: they are taken out of a run, and what is left of it is scored.
+# Known harmless parts: they cut a run, and each stretch that is left is scored.
 PLACEHOLDERS = r"(?i)example|sample|dummy|placeholder|changeme|your|x{4,}+|test|lorem"
 ALLOWED = [
     r"(?i)(?<![0-9a-z])[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}(?![0-9a-z])",        # UUID
@@ -73,48 +76,65 @@ def window_entropy(value: Column, width: int = WINDOW) -> Column:
         return F.when(count > 1, count * F.log2(F.greatest(count, F.lit(1)).cast("double"))).otherwise(F.lit(0.0))
 
     def slide(chars: Column) -> Column:
-        n = F.least(F.lit(width), F.size(chars))
+        return F.transform(F.array(F.array_distinct(chars)), lambda signs: counted(
+            F.transform(chars, lambda c: F.array_position(signs, c).cast("int") - 1), F.size(signs)))[0]
+
+    def counted(places: Column, n_signs: Column) -> Column:
+        n = F.least(F.lit(width), F.size(places))
 
         def walk(acc: Column, i: Column) -> Column:
-            # the window before this step holds the characters i-width .. i-1 (from 1)
-            held = F.slice(chars, F.greatest(i - width, F.lit(1)), F.least(i - 1, F.lit(width)))
-            coming, going = F.get(chars, i - 1), F.get(chars, i - width - 1)
-            leaving = F.size(F.filter(held, lambda c: c == going))
-            present = F.size(F.filter(held, lambda c: c == coming))
+            coming, going = F.get(places, i - 1), F.get(places, i - width - 1)
             full = i > width
+            leaving, present = F.get(acc["counts"], going), F.get(acc["counts"], coming)
             out = F.when(full, part(leaving - 1) - part(leaving)).otherwise(F.lit(0.0))
             present = F.when(full & (coming == going), present - 1).otherwise(present)
             total = acc["total"] + out + part(present + 1) - part(present)
+            counts = F.transform(acc["counts"], lambda c, k: c + (k == coming).cast("int")
+                                 - F.coalesce((k == going) & full, F.lit(False)).cast("int"))
             return F.struct(total.alias("total"),
-                            F.when(i >= n, F.least(acc["lowest"], total)).otherwise(acc["lowest"]).alias("lowest"))
+                            F.when(i >= n, F.least(acc["lowest"], total)).otherwise(acc["lowest"]).alias("lowest"),
+                            counts.alias("counts"))
 
         return F.aggregate(
-            F.sequence(F.lit(1), F.size(chars)),
-            F.struct(F.lit(0.0).alias("total"), F.lit(float("inf")).alias("lowest")), walk,
+            F.sequence(F.lit(1), F.size(places)),
+            F.struct(F.lit(0.0).alias("total"), F.lit(float("inf")).alias("lowest"),
+                     F.array_repeat(F.lit(0), n_signs).alias("counts")), walk,
             lambda acc: F.log2(n.cast("double")) - acc["lowest"] / n)
 
     # through a one-element array, so that the string is taken apart once
     return F.transform(F.array(F.split(value, "")), slide)[0]
 
 
+def stretches(value: Column) -> Column:
+    """What allowed parts leave of a run, as an array: the pieces between
+    separators, and longer stretches with the separators they hold."""
+    left = value
+    for part in [*ALLOWED, WORD]:
+        left = F.regexp_replace(left, part, " ")
+
+    def both(text: Column) -> Column:
+        pieces = F.filter(F.split(text, r"[ +/_=-]+"), lambda t: F.length(t) >= SHORTEST)
+        whole = F.transform(F.split(text, " +"), lambda t: F.regexp_replace(t, r"^[+/_=-]+|[+/_=-]+$", ""))
+        return F.concat(pieces, F.filter(whole, lambda t: (F.length(t) >= SHORTEST_JOINED) & t.rlike(SEPARATORS)))
+
+    return F.transform(F.array(left), both)[0]
+
+
 def looks_secret(value: Column) -> Column:
-    """What is left of a run without its allowed parts and separators reaches
-    its class's threshold.  Beside a placeholder a whole window must be left."""
+    """A stretch of a run reaches its class's threshold.  Beside a placeholder
+    a whole window must be left."""
+    needed = F.when(value.rlike(PLACEHOLDERS), WINDOW).otherwise(SHORTEST)
 
     def judged(rest: Column) -> Column:
+        letters = F.regexp_replace(rest, SEPARATORS, "")
         least = F.lit(None).cast("double")
         for _, pattern, bits in reversed(CLASSES):
             by_length = F.get(F.array(*[F.lit(x) for x in bits]), F.least(F.length(rest), F.lit(WINDOW)) - SHORTEST)
-            least = F.when(rest.rlike(pattern), by_length).otherwise(least)
-        enough = F.length(rest) >= F.when(value.rlike(PLACEHOLDERS), WINDOW).otherwise(SHORTEST)
-        return F.when(enough & ~rest.rlike(NUMBER) & least.isNotNull(), window_entropy(rest) >= least) \
-            .otherwise(F.lit(False))
-
-    rest = value
-    for part in ALLOWED:
-        rest = F.regexp_replace(rest, part, "")
-    rest = F.regexp_replace(F.regexp_replace(rest, WORD, ""), SEPARATORS, "")
-    return F.transform(F.array(rest), judged)[0]
+            least = F.when(letters.rlike(pattern), by_length).otherwise(least)
+        return F.when((F.length(rest) >= needed) & ~letters.rlike(NUMBER) & least.isNotNull(),
+                      window_entropy(rest) >= least).otherwise(F.lit(False))
+
+    return F.exists(stretches(value), judged)
 
 
 def with_spans(docs: DataFrame, text: str = "text", base: str = "base", spans: str = "spans") -> DataFrame:

@@ -137,6 +137,23 @@ def test_allowed_parts_leave_the_rest_of_a_run(spark, value, secret):
     assert spark.range(1).select(S.looks_secret(F.lit(value))).first()[0] is secret
 
 
+@pytest.mark.parametrize("value", [
+    "deployment-7d9f8b6c5d-x2x4z", "arn/aws/iam/user9k/AbCdEfGh12", "my-app-6b8d7f9c4-abcde", "build/out/x86_64/lib32/v2a1"])
+def test_parts_of_names_are_not_glued(spark, value):
+    assert spark.range(1).select(S.looks_secret(F.lit(value))).first()[0] is False
+
+
+@pytest.mark.parametrize("extra,length", [("+/", 20), ("-_", 20), ("+/", 24), ("-_", 32)])
+def test_short_strings_with_separators_are_found(spark, extra, length):
+    assert share_found(spark, random_strings(LOWER + UPPER + NUMBERS + extra, length)) >= 0.95
+
+
+def test_stretches_are_in_the_text(spark):
+    values = ["/api/keys/" + KEY, "deployment-7d9f8b6c5d-x2x4z", "a-" + KEY + "/Qx7+Lp2-word-" + KEY[::-1], "x" * 30]
+    for v, found in spark.createDataFrame([(v,) for v in values], "v string").select("v", S.stretches(F.col("v"))).collect():
+        assert all(f in v for f in found)
+
+
 def test_keys_with_separators_and_long_words(spark, make_docs):
     texts = ["key-3ax6xnjp29jd6fds4gc373sgvjxteol0", "qzkwmvxjtrypbfhgndlc", "internationalizations are no secret",
              "-" * 60 + " " + "=" * 30]
