@@ -65,6 +65,8 @@ ALLOWED = [
 # whole tokens of a run: words in one case, capitalised or joined by capitals, short numbers, words with a number
 WORD = (r"(?<![0-9A-Za-z])(?:[a-z]{1,19}+|[A-Z]{1,19}+|[A-Z]?[a-z]*+(?:[A-Z][a-z]{2,}+)++|[A-Z][a-z]++"
         r"|[0-9]{1,8}+|(?:[a-z]{1,12}+|[A-Z][a-z]{0,11}+|[A-Z]{1,12}+)[0-9]{1,4}+)(?![0-9A-Za-z])")
+# names and paths hold no plus: in a run with one, only longer words cut the stretch that is read with its separators
+LONG_WORD = WORD.replace("(?<![0-9A-Za-z])", "(?<![0-9A-Za-z])(?=[0-9A-Za-z]{5})", 1)
 NUMBER = r"^[0-9]+$"
 
 
@@ -109,12 +111,14 @@ def stretches(value: Column) -> Column:
     """What allowed parts leave of a run, as an array: the pieces between
     separators, and longer stretches with the separators they hold."""
     left = value
-    for part in [*ALLOWED, WORD]:
+    for part in ALLOWED:
         left = F.regexp_replace(left, part, " ")
 
     def both(text: Column) -> Column:
-        pieces = F.filter(F.split(text, r"[ +/_=-]+"), lambda t: F.length(t) >= SHORTEST)
-        whole = F.transform(F.split(text, " +"), lambda t: F.regexp_replace(t, r"^[+/_=-]+|[+/_=-]+$", ""))
+        cut = F.regexp_replace(text, WORD, " ")
+        pieces = F.filter(F.split(cut, r"[ +/_=-]+"), lambda t: F.length(t) >= SHORTEST)
+        standing = F.when(text.contains("+"), F.regexp_replace(text, LONG_WORD, " ")).otherwise(cut)
+        whole = F.transform(F.split(standing, " +"), lambda t: F.regexp_replace(t, r"^[+/_=-]+|[+/_=-]+$", ""))
         return F.concat(pieces, F.filter(whole, lambda t: (F.length(t) >= SHORTEST_JOINED) & t.rlike(SEPARATORS)))
 
     return F.transform(F.array(left), both)[0]
