@@ -3,17 +3,22 @@
 One zstandard dictionary is built from good, one from bad labelled text.  A
 text is compressed in blocks under both (whole text, so that the dictionary
 keeps its say in long ones); the normalised difference of the two sizes says
-which class it resembles.  A logistic curve, fitted on labelled rows that the
-dictionaries were not built from, turns that difference and the text's own
-compressibility (its size without a dictionary) into a calibrated score.
+which class it resembles.  A logistic curve of that difference, fitted on
+labelled rows that the dictionaries were not built from, makes it a calibrated
+score.
 
-The model is fitted on a bounded sample: about ``rows_per_class`` labelled rows
-of each class, chosen by a hash of the key.
+The model is fitted on a bounded sample: of each class at most
+``rows_per_class`` labelled keys, those first by a hash of the key, with one
+text each and at most ``SAMPLE_CHARS`` characters of it (a longer text gives
+that many in pieces spread evenly over the whole of it).  Scores always read
+whole texts.
 
 Definitions for odd input: a NULL text counts as empty, and an empty text gets
-the score of a zero difference; labels other than 0 and 1 are ignored; several
-labels of a key count each; with labels of one class only, or none, the score
-is that class (0.5 without any); repeated rows are scored each on its own.
+the score of a zero difference; labels other than 0 and 1 are ignored; equal
+labels of a key count once, different ones both; of a repeated key's texts one
+is learnt from, chosen by a hash of the text; with labels of one class only,
+or none, the score is that class (0.5 without any); repeated rows are scored
+each on its own.
 """
 
 from __future__ import annotations
@@ -28,12 +33,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import hash_share, remainder, text_groups
+from llm.common import remainder, text_groups
 
 ROWS_PER_CLASS = 1500
 DICTIONARY_BYTES = 112_640
 BLOCK_BYTES = 512
 LEVEL = 3
+SAMPLE_CHARS = 65_536
+_SAMPLE_PIECES = 64
 
 
 def blocks(text: str | None) -> list[bytes]:
@@ -54,7 +61,7 @@ def build_dictionary(texts: list[str]) -> bytes:
 class QualityModel:
     good: bytes
     bad: bytes
-    weights: list[float]        # of the features, then the constant
+    weights: list[float]        # of the difference, then the constant
 
     def scorer(self) -> Scorer:
         return Scorer(self)
@@ -66,22 +73,20 @@ class Scorer:
             own = {"dict_data": zstandard.ZstdCompressionDict(raw)} if raw else {}
             return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False, **own)
 
-        self.good, self.bad, self.plain = compressor(model.good), compressor(model.bad), compressor(None)
-        self.weights = np.array(model.weights)
+        self.good, self.bad = compressor(model.good), compressor(model.bad)
+        self.slope, self.constant = model.weights
 
-    def features(self, text: str | None) -> tuple[float, float, float]:
-        good = bad = plain = size = 0
+    def difference(self, text: str | None) -> float:
+        """Above zero: smaller under the good dictionary."""
+        good = bad = 0
         for b in blocks(text):
             good += len(self.good.compress(b))
             bad += len(self.bad.compress(b))
-            plain += len(self.plain.compress(b))
-            size += len(b)
-        ratio = min(1.0, plain / size) if size else 1.0
-        return (bad - good) / max(bad, good, 1), ratio, ratio * ratio
+        return (bad - good) / max(bad, good, 1)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        x = np.array([self.features(t) for t in texts]).reshape(len(texts), 3)
-        return 1.0 / (1.0 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -40, 40)))
+        x = np.array([self.difference(t) for t in texts], dtype=np.float64)
+        return 1.0 / (1.0 + np.exp(-np.clip(x * self.slope + self.constant, -40, 40)))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 40) -> list[float]:
@@ -101,30 +106,54 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int =
     return [*own.tolist(), float(w[-1] - own @ mean)]
 
 
+def sampled_text(text: Column, limit: int = SAMPLE_CHARS) -> Column:
+    """At most ``limit`` characters: the text, or pieces spread evenly over it."""
+    size = F.length(text)
+    piece = limit // _SAMPLE_PIECES
+    # the last piece ends with the text
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(_SAMPLE_PIECES - 1)),
+                         lambda i: F.substr(text, F.floor((size - piece).cast("long") * i / (_SAMPLE_PIECES - 1)).cast("int") + 1,
+                                            F.lit(piece)))
+    return F.when(size <= limit, text).otherwise(F.array_join(pieces, ""))
+
+
+def training_rows(docs: DataFrame, marked: DataFrame, key: str, text: str, rows_per_class: int) -> DataFrame:
+    """(_key, _label, _text, _half) of at most ``2 * rows_per_class`` rows.
+    ``marked``: distinct (_key, _label)."""
+    first = [marked.filter(F.col("_label") == c).orderBy(F.xxhash64("_key", F.lit(2)), "_key").limit(rows_per_class)
+             for c in (0, 1)]
+    # at most 2 x rows_per_class rows of two small columns
+    keys = F.broadcast(first[0].unionByName(first[1]))
+    texts = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text")).join(
+        F.broadcast(keys.select("_key").distinct()), "_key", "left_semi")
+    # a key's rows shrink to one where they are read
+    one = (texts.select("_key", F.xxhash64("_text").alias("_at"), sampled_text(F.col("_text")).alias("_text"))
+           .groupBy("_key").agg(F.min(F.struct("_at", "_text")).alias("_row")))
+    return (one.join(keys, "_key")
+            .select("_key", "_label", F.col("_row._text").alias("_text"),
+                    F.pmod(F.xxhash64("_key", F.lit(22)), F.lit(2)).alias("_half")))
+
+
 def train(docs: DataFrame, labels: DataFrame, learn_from: Column, key: str = "doc_id", text: str = "text",
           label: str = "quality", rows_per_class: int = ROWS_PER_CLASS) -> QualityModel:
     """Dictionaries from one half of the sample, the logistic curve from the other."""
     marked = (labels.filter(learn_from & F.col(key).isNotNull() & F.col(label).isin(0, 1))
-              .select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")))
+              .select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")).distinct())
     counts = {r[0]: r[1] for r in marked.groupBy("_label").count().collect()}
     if len(counts) < 2:
-        return QualityModel(b"", b"", [0.0, 0.0, 0.0, {(): 0.0, (0,): -40.0, (1,): 40.0}[tuple(counts)]])
-    share = F.when(F.col("_label") == 1, F.lit(min(1.0, rows_per_class / counts[1]))) \
-        .otherwise(F.lit(min(1.0, rows_per_class / counts[0])))
-    # at most about 2 x rows_per_class rows of two small columns
-    sample = marked.filter(hash_share(F.col("_key"), share, 2))
-    rows = (docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-            .join(F.broadcast(sample), "_key")
-            .select("_key", "_text", "_label", F.pmod(F.xxhash64("_key", F.lit(22)), F.lit(2)).alias("_half"))
-            .orderBy("_key", "_label", F.xxhash64("_text")).toPandas())
+        return QualityModel(b"", b"", [0.0, {(): 0.0, (0,): -40.0, (1,): 40.0}[tuple(counts)]])
+    rows = (training_rows(docs, marked, key, text, rows_per_class)
+            .orderBy("_key", "_label").toPandas())
     half = rows[rows._half == 0]
     texts = {c: half[half._label == c]._text.tolist() for c in (0, 1)}
-    model = QualityModel(build_dictionary(texts[1]), build_dictionary(texts[0]), [0.0] * 4)
+    model = QualityModel(build_dictionary(texts[1]), build_dictionary(texts[0]), [0.0, 0.0])
     rest = rows[rows._half == 1]
     if rest._label.nunique() < 2:       # too few rows to spare any
         rest = rows
+    if not len(rest):                   # no labelled row has a document
+        return model
     scorer = model.scorer()
-    x = np.array([scorer.features(t) for t in rest._text])
+    x = np.array([[scorer.difference(t)] for t in rest._text])
     y = rest._label.to_numpy(dtype=float)
     seen = {c: max(1, int((y == c).sum())) for c in (0, 1)}
     model.weights = fit_logistic(x, y, np.array([counts[int(c)] / seen[int(c)] for c in y])

@@ -16,10 +16,10 @@ def test_logistic_finds_the_boundary():
 
 
 def test_whole_text_counts():
-    model = Q.QualityModel(b"good words " * 200, b"bad noise " * 200, [1.0, 0.0, 0.0, 0.0])
+    model = Q.QualityModel(b"good words " * 200, b"bad noise " * 200, [1.0, 0.0])
     scorer = model.scorer()
     head = "good words " * 300
-    assert scorer.features(head + "bad noise " * 5000)[0] < scorer.features(head)[0]
+    assert scorer.difference(head + "bad noise " * 5000) < scorer.difference(head)
 
 
 @pytest.mark.parametrize("labels,expected", [([], 0.5), ([(1, 1)], 1.0), ([(1, 0), (2, 0)], 0.0)])
@@ -43,7 +43,7 @@ def test_odd_rows(spark, make_docs, as_tables):
     assert got.score.between(0, 1).all() and ((got.score >= 0.5) == (got.predicted == 1)).all()
     held = got[got.held_out & (got.doc_id < 200)]
     assert (held.predicted == (held.doc_id < 100)).mean() > 0.9
-    assert Q.score(make_docs([]), Q.QualityModel(b"", b"", [0.0] * 4)).count() == 0
+    assert Q.score(make_docs([]), Q.QualityModel(b"", b"", [0.0, 0.0])).count() == 0
 
 
 def test_held_out_accuracy(spark):
@@ -52,3 +52,51 @@ def test_held_out_accuracy(spark):
         spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality"), "doc_id").toPandas()
     held = got[got.held_out]
     assert (held.predicted == held.quality).mean() > 0.97
+
+
+def test_score_against_plain_compression(spark, make_docs):
+    import math
+
+    import zstandard
+
+    rows = [(i, (f"a fine sentence about houses and gardens number {i}. " if i % 2 else f"BUY!! {i} ### $$$ ") * (1 + i % 40))
+            for i in range(120)] + [(500, None), (501, "")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    model = Q.train(make_docs(rows), labels, F.lit(True))
+    slope, constant = model.weights
+
+    def size(text, raw):
+        raw_text = (text or "").encode()
+        given = zstandard.ZstdCompressionDict(raw)
+        return sum(len(zstandard.ZstdCompressor(level=Q.LEVEL, dict_data=given, write_content_size=False, write_checksum=False)
+                       .compress(raw_text[at:at + 512])) for at in range(0, len(raw_text), 512))
+
+    texts = dict(rows)
+    for r in Q.score(make_docs(rows), model).collect():
+        good, bad = size(texts[r.doc_id], model.good), size(texts[r.doc_id], model.bad)
+        x = (bad - good) / max(good, bad, 1)
+        assert math.isclose(r.score, 1 / (1 + math.exp(-(slope * x + constant))), rel_tol=1e-9)
+    assert slope > 0
+
+
+def test_sample_is_bounded(spark):
+    # one id holds most rows, one label is repeated, one text is very long
+    docs = spark.range(20_000).select(
+        F.when(F.col("id") < 18_000, F.lit(1)).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") == 18_001, F.expr("repeat('long text ', 40000)"))
+        .otherwise(F.concat(F.lit("some text of row "), F.col("id").cast("string"))).alias("text"))
+    marked = (spark.range(20_000).filter("id = 1 or id >= 18000")
+              .select(F.col("id").alias("_key"), (F.col("id") % 2).cast("int").alias("_label")))
+    rows = Q.training_rows(docs, marked, "doc_id", "text", 30).toPandas()
+    assert len(rows) == 60 and (rows._label == 1).sum() == 30 and rows._key.is_unique
+    rows = Q.training_rows(docs, marked, "doc_id", "text", 5_000).toPandas().set_index("_key")
+    assert len(rows) == 2_001 and len(rows._text[18_001]) == Q.SAMPLE_CHARS
+    both = spark.createDataFrame([(1, 0), (1, 1), (18_005, 1)], "doc_id long, quality int")
+    assert Q.train(docs, both, F.lit(True), rows_per_class=30).weights is not None
+
+
+def test_long_texts_are_sampled_to_their_end(spark):
+    text = "".join(chr(0x4E00 + i % 9000) for i in range(200_000)) + "the end"
+    got = spark.createDataFrame([(text,), ("short",), ("",)], "t string").select(Q.sampled_text(F.col("t"), 6_400)).collect()
+    assert len(got[0][0]) == 6_400 and got[0][0].endswith("the end") and got[0][0][:100] == text[:100]
+    assert (got[1][0], got[2][0]) == ("short", "")
