@@ -6,20 +6,22 @@ a linked pair must be within the proportional budget ``T * block dims / dims``
 in at least one block.  Each block is range-joined on its own: its first
 coordinates define a grid as wide as the block's radius, a vector lives in one
 cell and visits the later cells that its ball reaches.  In a cell, rows are
-ordered by the first coordinate and compared within the radius in all block
-coordinates; what passes is verified by the exact cosine in double precision.
+ordered by a coordinate that the grid does not use and compared within the
+radius in all block coordinates; what passes is verified by the exact cosine in
+double precision.
 A pair counts in the first block whose budget it keeps, so no pair is counted
 twice and none is written out: a cell returns link counts per vector and a
 spanning set of links.
 
 Identical vectors are one row with a count.  A cell of more than ``cell_rows``
-rows is dealt in chunks, and visitors go to each.
+members or visitors is cut into units of pairs of chunks (``pairing``), so that
+no group exceeds about twice that, whatever lies in one cell.
 
 Definitions for odd input: vectors that are NULL, empty, zero or hold NULL or
-non-finite components link with nothing and are their own component, as are
-rows with a NULL id (whose component is NULL); vectors of different lengths
-never link; repeated ids with different vectors are vectors of their own; an
-empty table gives no rows.
+non-finite components link with nothing and are their own component; rows with
+a NULL id are compared like any other, and their component is NULL only where
+no row of it has an id; vectors of different lengths never link; repeated ids
+with different vectors are vectors of their own; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from pyspark.sql import types as T
 
 from llm.common import fields, saved
 from llm.components import connected_components
+from llm.pairing import crowded_cells, units
 from llm.simhash import Union, join_matches
 
 THRESHOLD = 0.95
@@ -122,54 +125,39 @@ def _count_cells(threshold: float, blocks: int, grid_dims: int):
                 y = g.rotated(x)
                 for b in range(len(g.parts)):
                     _, cell, own = g.visits(y, b)
-                    cells, n = np.unique(cell[own], return_counts=True)
-                    yield pa.RecordBatch.from_pydict({"cell": pa.array(cells), "n": pa.array(n.astype(np.int64))})
+                    cells, at, n = np.unique(cell, return_inverse=True, return_counts=True)
+                    members = np.bincount(at, weights=own, minlength=len(cells)).astype(np.int64)
+                    yield pa.RecordBatch.from_pydict({"cell": pa.array(cells), "members": pa.array(members),
+                                                      "visitors": pa.array(n.astype(np.int64) - members)})
     return run
 
 
-def _deal(threshold: float, blocks: int, grid_dims: int, crowded: dict[int, int]):
+def _deal(threshold: float, blocks: int, grid_dims: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         geometry = _geometries(threshold, blocks, grid_dims)
-        keys = np.array(sorted(crowded), dtype=np.int64)
-        sizes = np.array([crowded[k] for k in keys.tolist()], dtype=np.int64)
-
-        def chunks_of(cells: np.ndarray) -> np.ndarray:
-            if not len(keys):
-                return np.ones(len(cells), dtype=np.int64)
-            at = np.minimum(np.searchsorted(keys, cells), len(keys) - 1)
-            return np.where(keys[at] == cells, sizes[at], 1)
-
         for batch in batches:
-            nodes = batch.column("node").to_numpy(zero_copy_only=False)
             for rows, x in matrices(batch.column("embedding")):
                 g = geometry(x.shape[1])
                 y = g.rotated(x)
-                salt = (nodes[rows].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
                 for b in range(len(g.parts)):
                     row, cell, own = g.visits(y, b)
-                    n = chunks_of(cell)
-                    mine = salt[row] % n
-                    repeat = np.repeat(np.arange(len(row)), n)
-                    chunk = np.arange(len(repeat)) - np.repeat(np.cumsum(n) - n, n)
-                    keep = ~own[repeat] | (chunk >= mine[repeat])
-                    repeat, chunk = repeat[keep], chunk[keep]
-                    at = row[repeat]
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(cell[repeat] + chunk), pa.array(np.full(len(at), b, dtype=np.int32)),
-                        pa.array(own[repeat] & (chunk == mine[repeat])),
-                        *[batch.column(c).take(pa.array(rows[at])) for c in ("node", "n", "embedding")]],
-                        names=["unit", "block", "member", "node", "n", "embedding"])
+                        pa.array(cell), pa.array(np.full(len(row), b, dtype=np.int32)), pa.array(own),
+                        *[batch.column(c).take(pa.array(rows[row])) for c in ("node", "n", "embedding")]],
+                        names=["cell", "block", "own", "node", "n", "embedding"])
     return run
 
 
-def links_in_cell(g: Geometry, b: int, x: np.ndarray, member: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, Union]:
+def links_in_cell(g: Geometry, b: int, x: np.ndarray, member: np.ndarray, weight: np.ndarray,
+                  among: bool = True) -> tuple[np.ndarray, Union]:
     """Link counts and spanning sets from the pairs (a member, any row) whose
-    first block within budget is ``b``."""
+    first block within budget is ``b``; not ``among``: (a member, another row)."""
     y, u = g.rotated(x), unit_rows(x)
     part = g.parts[b]
     radius = np.sqrt(g.budgets[b]) + _SINGLE
-    order = np.argsort(y[:, part[0]], kind="stable")
-    first = y[order, part[0]]
+    free = part[min(g.grid_dims, len(part) - 1)]       # within a cell the grid's own coordinates differ little
+    order = np.argsort(y[:, free], kind="stable")
+    first = y[order, free]
     mine = np.flatnonzero(member[order])                # places in the order
     mine_first = first[mine]
     z = y[order][:, part].astype(np.float32)
@@ -177,17 +165,19 @@ def links_in_cell(g: Geometry, b: int, x: np.ndarray, member: np.ndarray, weight
     one = np.ones_like(square)
     left, right = np.hstack([z, square, one]), np.hstack([-2 * z, one, square])[mine]
     count, sets = np.zeros(len(x), dtype=np.int64), Union(len(x))
+    given = np.arange(len(order)) if among else np.flatnonzero(~member[order])
     at = 0
-    while at < len(order):
-        lo = np.searchsorted(mine_first, first[at] - radius)
-        end = min(len(order), at + max(1, _CELLS_AT_ONCE // max(1, len(mine) - lo)))
-        hi = np.searchsorted(mine_first, first[end - 1] + radius)
+    while at < len(given):
+        lo = np.searchsorted(mine_first, first[given[at]] - radius)
+        end = min(len(given), at + max(1, _CELLS_AT_ONCE // max(1, len(mine) - lo)))
+        hi = np.searchsorted(mine_first, first[given[end - 1]] + radius)
         if hi > lo:
-            near = left[at:end] @ right[lo:hi].T <= g.budgets[b] + _SINGLE
+            near = left[given[at:end]] @ right[lo:hi].T <= g.budgets[b] + _SINGLE
             rows = np.flatnonzero(near.any(axis=1))
             if len(rows):
                 cols = np.flatnonzero(near.any(axis=0))
-                _verify(g, b, near[np.ix_(rows, cols)], order[at + rows], order[mine[lo + cols]], at + rows,
+                places = given[at + rows]
+                _verify(g, b, near[np.ix_(rows, cols)], order[places], order[mine[lo + cols]], places,
                         mine[lo + cols], member, u, y, weight, count, sets)
         at = end
     return count, sets
@@ -223,6 +213,17 @@ def _verify(g, b, near, rows, cols, row_place, col_place, member, u, y, weight,
         join_matches(near, rows, cols, sets)
 
 
+def dealt_units(distinct: DataFrame, threshold: float, blocks: int, cell_rows: int, grid_dims: int) -> DataFrame:
+    """Rows of ``distinct`` once for each unit (cell, block, i, j) they take part in."""
+    given = (threshold, blocks, grid_dims)
+    counts = distinct.select("embedding").mapInArrow(
+        _count_cells(*given), fields(("cell", T.LongType()), ("members", T.LongType()), ("visitors", T.LongType())))
+    visits = distinct.mapInArrow(_deal(*given), T.StructType([
+        T.StructField("cell", T.LongType()), T.StructField("block", T.IntegerType()),
+        T.StructField("own", T.BooleanType()), *distinct.select("node", "n", "embedding").schema.fields]))
+    return units(visits, crowded_cells(counts, cell_rows))
+
+
 def links(distinct: DataFrame, threshold: float = THRESHOLD, blocks: int = BLOCKS,
           cell_rows: int = CELL_ROWS) -> DataFrame:
     """``distinct`` (node, n, embedding) -> (node, other, links): rows with
@@ -230,14 +231,6 @@ def links(distinct: DataFrame, threshold: float = THRESHOLD, blocks: int = BLOCK
     rows = distinct.count()
     grid_dims = max(1, round(np.log(max(1.0, rows / cell_rows)) / np.log(3)))
     given = (threshold, blocks, grid_dims)
-    cells = (distinct.select("embedding")
-             .mapInArrow(_count_cells(*given), fields(("cell", T.LongType()), ("n", T.LongType())))
-             .groupBy("cell").agg(F.sum("n").alias("n")))
-    # only cells over the bound: at most rows * blocks / cell_rows of them
-    crowded = {r[0]: -(-r[1] // cell_rows) for r in cells.filter(F.col("n") > cell_rows).collect()}
-    dealt = distinct.mapInArrow(_deal(*given, crowded), T.StructType([
-        T.StructField("unit", T.LongType()), T.StructField("block", T.IntegerType()),
-        T.StructField("member", T.BooleanType()), *distinct.select("node", "n", "embedding").schema.fields]))
 
     def run(table: pa.Table) -> pa.Table:
         nodes, b = table.column("node").to_numpy(), table.column("block")[0].as_py()
@@ -245,8 +238,9 @@ def links(distinct: DataFrame, threshold: float = THRESHOLD, blocks: int = BLOCK
         member = table.column("member").to_numpy(zero_copy_only=False).astype(bool)
         if member.any():
             weight = table.column("n").to_numpy()
+            among = table.column("i")[0] == table.column("j")[0]
             for at, x in matrices(table.column("embedding").combine_chunks()):
-                count, sets = links_in_cell(Geometry(x.shape[1], *given), b, x, member[at], weight[at])
+                count, sets = links_in_cell(Geometry(x.shape[1], *given), b, x, member[at], weight[at], among)
                 own = nodes[at]
                 some = np.flatnonzero(count)
                 a, c = sets.stars()
@@ -256,7 +250,7 @@ def links(distinct: DataFrame, threshold: float = THRESHOLD, blocks: int = BLOCK
         node, other, n = (np.concatenate(v).astype(np.int64) if v else np.array([], dtype=np.int64) for v in out.values())
         return pa.table({"node": node, "other": pa.array(other, mask=n > 0), "links": n})
 
-    return dealt.groupBy("unit", "block").applyInArrow(
+    return dealt_units(distinct, threshold, blocks, cell_rows, grid_dims).groupBy("cell", "block", "i", "j").applyInArrow(
         run, fields(("node", T.LongType()), ("other", T.LongType()), ("links", T.LongType())))
 
 
@@ -264,7 +258,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
                     threshold: float = THRESHOLD, blocks: int = BLOCKS, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(key, n_links, component) of every row."""
     rows = vectors.select(F.col(key).alias("_key"), F.col(vector).alias("embedding"))
-    takes_part = usable(F.col("embedding")) & F.col("_key").isNotNull()
+    takes_part = usable(F.col("embedding"))
     # a node is a distinct vector; its number is fixed by being written
     distinct = saved(rows.filter(takes_part).groupBy("embedding")
                      .agg(F.min("_key").cast("long").alias("least"), F.count(F.lit(1)).alias("n"))
@@ -290,4 +284,4 @@ def op1_embedding_dedup(spark, sf_dir: str) -> DataFrame:
 
     found = near_duplicates(load(spark, sf_dir, "embeddings"))
     return found.select("vec_id", "n_links", F.col("component").alias("component_id"),
-                        (F.col("vec_id") == F.col("component")).alias("kept"))
+                        F.coalesce(F.col("vec_id") == F.col("component"), F.lit(False)).alias("kept"))

@@ -8,7 +8,7 @@ from llm.url_filter import RULES
 EMBEDDING_DEDUP = f"""
 WITH RECURSIVE given AS (
   SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e,
-         vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+         embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AS ok
   FROM embeddings),
 v AS MATERIALIZED (SELECT r, e FROM given WHERE ok),
@@ -21,7 +21,7 @@ reached AS (
   SELECT l.b, x.c FROM reached x JOIN linked l ON l.a = x.r),
 least AS (SELECT r, min(c) AS component_id FROM reached GROUP BY r),
 counted AS (SELECT a AS r, count(*) AS n FROM linked GROUP BY a)
-SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
 FROM given JOIN least USING (r) LEFT JOIN counted USING (r)"""
 
 

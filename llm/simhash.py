@@ -11,9 +11,10 @@ with the rows whose distance differs by at most ``bits``.  A leaf returns a
 spanning set of links, never its pairs; components follow by star contraction.
 
 Vantage points are fixed pseudo-random codes; radii come from counts per
-(node, distance), at most 65 rows per node.  A leaf of more rows than
-``leaf_rows`` (fingerprints too close to be separated) is dealt in chunks, and
-visitors go to every chunk.
+(node, distance), at most 65 rows per node, and one radius per node reaches the
+driver.  A leaf of more than twice ``leaf_rows`` members or visitors
+(fingerprints too close to be separated) is cut into units of pairs of chunks
+(``pairing``), so that no group exceeds about four times ``leaf_rows``.
 
 Definitions for odd input: a NULL or blank text has fingerprint zero and is
 linked like any other; rows with a NULL key are fingerprinted, but take no part
@@ -28,12 +29,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.common import fields, saved, text_groups
 from llm.components import connected_components
+from llm.pairing import crowded_cells, units
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -131,55 +133,70 @@ def _distances_by_node(tree: Tree, level: int):
     return run
 
 
-def _histogram(codes: DataFrame, tree: Tree, level: int):
+def _radii(codes: DataFrame, tree: Tree, level: int) -> np.ndarray:
+    """The median distance to the level's vantage point in each node."""
     schema = fields(("node", T.LongType()), ("d", T.IntegerType()), ("n", T.LongType()))
-    return (codes.select("fp").mapInArrow(_distances_by_node(tree, level), schema)
-            .groupBy("node", "d").agg(F.sum("n").alias("n")).toPandas())
-
-
-def build_tree(codes: DataFrame, rows: int, leaf_rows: int = LEAF_ROWS) -> tuple[Tree, np.ndarray]:
-    """A tree whose leaves hold about ``leaf_rows`` rows, and the rows of each leaf."""
+    lower = Window.partitionBy("node").orderBy("d")
+    # at most 65 rows a node
+    found = (codes.select("fp").mapInArrow(_distances_by_node(tree, level), schema)
+             .groupBy("node", "d").agg(F.sum("n").alias("n"))
+             .withColumn("upto", F.sum("n").over(lower))
+             .withColumn("total", F.sum("n").over(Window.partitionBy("node")))
+             .filter(F.col("upto") * 2 >= F.col("total"))
+             .groupBy("node").agg(F.min("d").alias("radius")).toPandas())
+    radii = np.zeros(1 << level, dtype=np.int16)
+    radii[found.node] = found.radius
+    return radii
+
+
+def build_tree(codes: DataFrame, rows: int, leaf_rows: int = LEAF_ROWS) -> Tree:
+    """A tree whose leaves hold about ``leaf_rows`` rows: two bytes a node."""
     tree = Tree([])
     while (rows >> len(tree.radii)) > leaf_rows:
-        level = len(tree.radii)
-        h = _histogram(codes, tree, level)
-        grid = np.zeros((1 << level, 65), dtype=np.int64)
-        grid[h.node, h.d] = h.n
-        total = grid.cumsum(axis=1)
-        tree = Tree([*tree.radii, (total * 2 < total[:, -1:]).sum(axis=1).astype(np.int16)])
-    h = _histogram(codes, tree, len(tree.radii))
-    sizes = np.zeros(1 << len(tree.radii), dtype=np.int64)
-    np.add.at(sizes, h.node.to_numpy(), h.n.to_numpy())
-    return tree, sizes
-
-
-def _deal(tree: Tree, chunks: np.ndarray, bits: int):
-    """Rows to units (chunks of leaves): their own as members, later ones as visitors."""
-    first = np.concatenate([[0], np.cumsum(chunks)])
+        tree = Tree([*tree.radii, _radii(codes, tree, len(tree.radii))])
+    return tree
+
+
+def _visits(codes: np.ndarray, tree: Tree, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(start, row, leaf, own) for each 4,096 codes."""
+    for at in range(0, len(codes), 4096):
+        part = codes[at:at + 4096]
+        row, leaf = tree.visits(part, bits)
+        yield at, row, leaf, leaf == tree.home(part)[row]
+
+
+def _count_leaves(tree: Tree, bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, leaf, own in _visits(batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64), tree, bits):
+                cells, at, n = np.unique(leaf, return_inverse=True, return_counts=True)
+                members = np.bincount(at, weights=own, minlength=len(cells)).astype(np.int64)
+                yield pa.RecordBatch.from_pydict({"cell": pa.array(cells), "members": pa.array(members),
+                                                  "visitors": pa.array(n.astype(np.int64) - members)})
+    return run
+
 
+def _deal(tree: Tree, bits: int):
+    """Rows to leaves: their own as members, later ones as visitors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
             nodes = batch.column("node").to_numpy(zero_copy_only=False)
-            mixed = (codes ^ (codes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
-            for at in range(0, len(codes), 4096):
-                part = codes[at:at + 4096]
-                home = tree.home(part)
-                own = first[home] + (mixed[at:at + 4096] % chunks[home].astype(np.uint64)).astype(np.int64)
-                row, leaf = tree.visits(part, bits)
-                n = chunks[leaf]
-                row, unit = np.repeat(row, n), np.repeat(first[leaf], n) + _ramp(n)
-                ahead = unit >= own[row]
-                row, unit = row[ahead], unit[ahead]
+            for at, row, leaf, own in _visits(codes, tree, bits):
                 yield pa.RecordBatch.from_pydict({
-                    "unit": pa.array(unit), "fp": pa.array(part[row].view(np.int64)),
-                    "node": pa.array(nodes[at:at + 4096][row]), "member": pa.array(unit == own[row])})
+                    "cell": pa.array(leaf), "own": pa.array(own), "fp": pa.array(codes[at + row].view(np.int64)),
+                    "node": pa.array(nodes[at + row])})
     return run
 
 
-def _ramp(counts: np.ndarray) -> np.ndarray:
-    """0..n-1 for each n in turn."""
-    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+def dealt_units(codes: DataFrame, tree: Tree, bits: int, bound: int) -> DataFrame:
+    """Rows of ``codes`` once for each unit (cell, i, j) they take part in."""
+    counts = codes.select("fp").mapInArrow(
+        _count_leaves(tree, bits), fields(("cell", T.LongType()), ("members", T.LongType()), ("visitors", T.LongType())))
+    visits = codes.select("fp", "node").mapInArrow(
+        _deal(tree, bits),
+        fields(("cell", T.LongType()), ("own", T.BooleanType()), ("fp", T.LongType()), ("node", T.LongType())))
+    return units(visits, crowded_cells(counts, bound))
 
 
 class Union:
@@ -223,14 +240,17 @@ def join_matches(near: np.ndarray, rows: np.ndarray, columns: np.ndarray, sets:
         sets.join(int(columns[head]), [*rows[group].tolist(), *columns[others].tolist()])
 
 
-def links_in_unit(codes: np.ndarray, member: np.ndarray, bits: int) -> Union:
-    """Sets of rows connected through links of a member with any row."""
+def links_in_unit(codes: np.ndarray, member: np.ndarray, bits: int, among: bool = True) -> Union:
+    """Sets of rows connected through links of a member with any row; not
+    ``among``: with a row that is none."""
     sets = Union(len(codes))
     d = _distance(codes, _vantage(-1))
     mine = np.flatnonzero(member)
     mine = mine[np.argsort(d[mine], kind="stable")]
     mine_codes, mine_d = codes[mine], d[mine]
     every = np.argsort(d, kind="stable")
+    if not among:
+        every = every[~member[every]]
     bounds = np.searchsorted(d[every], np.arange(66))
     for value in range(65):
         group = every[bounds[value]:bounds[value + 1]]
@@ -249,20 +269,17 @@ def links_in_unit(codes: np.ndarray, member: np.ndarray, bits: int) -> Union:
 def near_groups(codes: DataFrame, bits: int = MAX_BITS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """``codes``: distinct (fp, node) -> (node, component) for nodes with a link."""
     rows = codes.count()
-    tree, sizes = build_tree(codes, rows, leaf_rows)
-    chunks = np.maximum(1, -(-sizes // (2 * leaf_rows)))
-    dealt = codes.select("fp", "node").mapInArrow(
-        _deal(tree, chunks, bits),
-        fields(("unit", T.LongType()), ("fp", T.LongType()), ("node", T.LongType()), ("member", T.BooleanType())))
+    dealt = dealt_units(codes, build_tree(codes, rows, leaf_rows), bits, 2 * leaf_rows)
 
     def links(table: pa.Table) -> pa.Table:
         nodes = table.column("node").to_numpy()
         sets = links_in_unit(table.column("fp").to_numpy().view(np.uint64),
-                             table.column("member").to_numpy(zero_copy_only=False).astype(bool), bits)
+                             table.column("member").to_numpy(zero_copy_only=False).astype(bool), bits,
+                             table.column("i")[0] == table.column("j")[0])
         a, b = sets.stars()
         return pa.table({"src": nodes[a], "dst": nodes[b]})
 
-    edges = dealt.groupBy("unit").applyInArrow(links, fields(("src", T.LongType()), ("dst", T.LongType())))
+    edges = dealt.groupBy("cell", "i", "j").applyInArrow(links, fields(("src", T.LongType()), ("dst", T.LongType())))
     return connected_components(edges)
 
 

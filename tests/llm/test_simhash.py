@@ -69,6 +69,20 @@ def test_tree_loses_no_close_pair():
         assert (a, int(home[b])) in seen
 
 
+@pytest.mark.parametrize("bound", [40, 700])
+def test_close_fingerprints_stay_in_bounded_units(spark, bound):
+    rng = np.random.default_rng(3)
+    flips = np.array([sum(1 << int(b) for b in rng.choice(64, size=rng.integers(0, 5), replace=False)) for _ in range(1_500)], dtype=np.uint64)
+    codes = np.unique(np.concatenate([np.uint64(0x1234567890ABCDEF) ^ flips, rng.integers(0, 1 << 63, size=300, dtype=np.uint64)]))
+    df = spark.createDataFrame([(int(c), i) for i, c in enumerate(codes.view(np.int64))], "fp long, node long")
+    tree = S.build_tree(df, len(codes), bound)
+    sizes = S.dealt_units(df, tree, 4, bound).groupBy("cell", "i", "j").count().toPandas()
+    assert sizes["count"].max() <= 2 * bound and (bound == 700 or (sizes.i < sizes.j).any())
+    expected = plain_components(list(range(len(codes))), codes)
+    got = {r.node: r.component for r in S.near_groups(df, 4, bound).collect()}
+    assert {i: got.get(i, i) for i in expected} == expected
+
+
 def test_query_result_and_empty_table(spark, make_docs, as_tables):
     docs = make_docs([(5, "a b c d e"), (3, "A B c d e"), (9, "something else here entirely now")], extra=("fp", "component", "node"))
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in S.op8_simhash(spark, as_tables(documents=docs)).collect()}

@@ -56,6 +56,31 @@ def test_links_and_components(spark, blocks, cell_rows):
     assert got.component.tolist() == component
 
 
+def test_crowded_cells_stay_bounded(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=24)
+    x = np.vstack([base + rng.normal(size=(3_000, 24)) * 0.05, rng.normal(size=(400, 24))]).astype(np.float32)
+    distinct = frame(spark, x).select(F.col("vec_id").alias("node"), F.lit(1).cast("long").alias("n"), "embedding")
+    sizes = (E.dealt_units(distinct, 0.95, 8, 256, 2).groupBy("cell", "block", "i", "j")
+             .agg(F.count(F.lit(1)).alias("n"), F.count_if("member").alias("m")).toPandas())
+    assert sizes.n.max() <= 512 and len(sizes[sizes.i < sizes.j]) > 100
+    got = E.near_duplicates(frame(spark, x), cell_rows=256).toPandas().set_index("vec_id").sort_index()
+    count, component = plain_links(x)
+    assert got.n_links.tolist() == count.tolist() and got.component.tolist() == component
+
+
+def test_vectors_without_id_are_compared(spark):
+    x = sample(4, 40, 24, 5)
+    vectors = frame(spark, x, [(None, x[3].tolist(), 0), (None, (x[4] * 1.001).tolist(), 0), (None, [5.0, 7.0], 0)])
+    got = E.near_duplicates(vectors).toPandas()
+    plain = E.near_duplicates(frame(spark, x)).toPandas().set_index("vec_id")
+    ids = got.dropna(subset=["vec_id"]).set_index("vec_id")
+    assert ids.n_links[3] == plain.n_links[3] + 1 and ids.n_links[4] == plain.n_links[4] + 1
+    assert ids.component.to_dict() == plain.component.to_dict()
+    lone = got[got.vec_id.isna()].component.tolist()
+    assert sorted(lone, key=str)[:2] == sorted([ids.component[3], ids.component[4]], key=str) and sum(c != c for c in lone) == 1
+
+
 def test_query_on_odd_vectors(spark, as_tables, tmp_path):
     x = sample(1, 80, 24, 10)
     vectors = frame(spark, x, ODD + [(5, x[7].tolist(), 0)]).withColumn("node", F.lit("x")).withColumn("component", F.lit("y"))
