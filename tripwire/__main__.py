@@ -73,6 +73,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--threshold", type=float, default=HIGH_VALUE_THRESHOLD)
     s.add_argument("--watermark", default=WATERMARK_DELAY)
     s.add_argument("--one-query", action="store_true", help="one query feeding all sinks (late rows kept)")
+    s.add_argument("--filters", action="store_true",
+                   help="Bloom filters of stored fraud rows (a table written without: sinks.fraud_table.add_filters first)")
     s.add_argument("--jdbc-url", help="also append fraud rows to a database")
     _database(s)
     s.add_argument("--available-now", action="store_true", help="drain what is there, then stop")
@@ -111,12 +113,13 @@ def main(argv: list[str] | None = None) -> int:
             ap.error("stream needs --servers or --source-dir")
         database = {"jdbc_url": args.jdbc_url, "jdbc_table": args.jdbc_table, "jdbc_properties": _properties(args.jdbc_property)}
         if args.one_query:
-            writer = FraudTableWriter(f"{base}/fraud", quarantine_path=f"{base}/fraud_quarantine", **database)
+            writer = FraudTableWriter(f"{base}/fraud", quarantine_path=f"{base}/fraud_quarantine",
+                                      filter_path=f"{base}/fraud_filters" if args.filters else None, **database)
             queries = [start_speed_layer(tx, base, available_now=args.available_now, threshold=args.threshold,
                                          delay=args.watermark, writer=writer)]
         else:
             queries = run_pipeline(spark, tx, base, available_now=args.available_now, threshold=args.threshold,
-                                   watermark=args.watermark, **database)
+                                   watermark=args.watermark, filters=args.filters, **database)
         if args.available_now:
             for q in queries:
                 q.awaitTermination()

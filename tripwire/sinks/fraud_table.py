@@ -11,6 +11,8 @@ Rows are de-duplicated within the batch and against what any other batch wrote
 later).  That lookup is bounded by the batch's own time range: only its event
 dates are listed, and only rows between its first and last event time are read.
 Rows without an event time are kept under the NULL date and looked up there.
+With ``filter_path`` Bloom filters per date and batch (``key_filter``) come
+first: stored rows are read only for the range of the rows that hit one.
 A batch writes one file per date until a date's rows are large.  Errors
 propagate: the batch is not committed and is retried on restart.
 
@@ -32,6 +34,7 @@ from pyspark.sql import types as T
 from tripwire.operators.sizing import fits_broadcast
 from tripwire.schema import FRAUD_COLUMNS, FRAUD_TABLE
 from tripwire.sinks.compaction import compact, live_rows
+from tripwire.sinks.key_filter import FILTERS, may_be_stored, rebuild_filters, write_filters
 from tripwire.sinks.ledger import LedgerAppend
 
 # Stored layout: the fraud table columns plus the partition columns.
@@ -64,38 +67,58 @@ def read_fraud_table(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], STORED)
 
 
-def _stored_between(spark: SparkSession, root: str, first, last, undated: bool) -> DataFrame | None:
-    """Stored rows with event times from ``first`` to ``last`` (and, if asked,
-    without one).  ``None`` when nothing of the kind is stored."""
-    wanted = F.lit(False)
+def _date_names(first, last, undated: bool) -> list[str]:
+    """Directories of the dates from ``first`` to ``last`` (microseconds) and, if
+    asked, of no date; none when they are too many to name."""
     names = []
     if first is not None:
-        wanted = F.col("timestamp").between(F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last)))
         a, b = (timedelta(microseconds=t).days for t in (first, last))
         if b - a < _NAMED_DATES:
             names = [f"event_date={(date(1970, 1, 1) + timedelta(days=d)).isoformat()}" for d in range(a, b + 1)]
-    if undated:
-        wanted = wanted | F.col("timestamp").isNull()
     if undated and (names or first is None):
         names.append(_NO_DATE)
-    live = live_rows(spark, root, STORED, names or None)
-    if live is not None:
-        return live.filter(wanted)
+    return names
+
+
+def _read_dates(spark: SparkSession, root: str, schema: T.StructType, names: list[str]) -> DataFrame | None:
+    """The rows below the named date directories (all without names); ``None``
+    when nothing of the kind is stored."""
     if names:
-        reader = spark.read.schema(STORED).option("basePath", root)
+        reader = spark.read.schema(schema).option("basePath", root)
         # literal paths; when some date has no directory yet, a glob over them
         tries = [[f"{root}/{n}" for n in names], [f"{root}/{{{','.join(names)}}}"]]
     else:
-        reader, tries = spark.read.schema(STORED), [[root]]
+        reader, tries = spark.read.schema(schema), [[root]]
     for paths in tries:
         try:
-            return reader.parquet(*paths).filter(wanted)
+            return reader.parquet(*paths)
         except Exception as exc:  # noqa: BLE001 - a date not written yet is not an error
             if not _missing(exc):
                 raise
     return None
 
 
+def _stored_between(spark: SparkSession, root: str, first, last, undated: bool) -> DataFrame | None:
+    """Stored rows with event times from ``first`` to ``last`` (and, if asked,
+    without one).  ``None`` when nothing of the kind is stored."""
+    wanted = F.lit(False)
+    if first is not None:
+        wanted = F.col("timestamp").between(F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last)))
+    if undated:
+        wanted = wanted | F.col("timestamp").isNull()
+    names = _date_names(first, last, undated)
+    live = live_rows(spark, root, STORED, names or None)
+    if live is None:
+        live = _read_dates(spark, root, STORED, names)
+    return None if live is None else live.filter(wanted)
+
+
+def _extent(rows: DataFrame):
+    """(first, last, rows without a time, rows): one row about a batch."""
+    return rows.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp")),
+                    F.count_if(F.col("timestamp").isNull()), F.count(F.lit(1))).first()
+
+
 @dataclass
 class FraudTableWriter:
     path: str
@@ -104,11 +127,20 @@ class FraudTableWriter:
     jdbc_properties: dict = field(default_factory=dict)
     database: LedgerAppend | None = None      # default: made of the JDBC settings
     quarantine_path: str | None = None
+    filter_path: str | None = None      # Bloom filters of the stored rows; of a table written without: ``add_filters``
     query_id: str | None = None         # default: the running streaming query's
 
     def _query_id(self, spark: SparkSession) -> str:
         return (self.query_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or OUTSIDE_A_QUERY)
 
+    def _suspected(self, rows: DataFrame, query_id: str, batch_id: int, first, last, undated: bool):
+        """The extent of the rows that a filter of another batch says may be stored."""
+        filters = _read_dates(rows.sparkSession, self.filter_path.rstrip("/"), FILTERS, _date_names(first, last, undated))
+        if filters is None:
+            return None, None, 0, 0
+        others = (F.col("query_id") != query_id) | (F.col("batch_id") < F.lit(batch_id))
+        return _extent(may_be_stored(rows, filters.filter(others), FRAUD_COLUMNS))
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         query_id = self._query_id(spark)
@@ -120,10 +152,9 @@ class FraudTableWriter:
         try:
             new = rows
             root = self.path.rstrip("/")
-            # one row about the batch
-            first, last, undated, size = rows.agg(
-                F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp")),
-                F.count_if(F.col("timestamp").isNull()), F.count(F.lit(1))).first()
+            first, last, undated, size = _extent(rows)
+            if self.filter_path and size:
+                first, last, undated, size = self._suspected(rows, query_id, batch_id, first, last, undated > 0)
             stored = _stored_between(spark, root, first, last, undated > 0) if size else None
             if stored is not None:
                 others = (F.col("query_id") != query_id) | (F.col("batch_id") < F.lit(batch_id))
@@ -149,9 +180,11 @@ class FraudTableWriter:
                 (checked.filter(F.size("violations") > 0).write.mode("overwrite")
                  .parquet(f"{self.quarantine_path.rstrip('/')}/query_id={query_id}/batch_id={batch_id}"))
                 out = checked.filter(F.size("violations") == 0).drop("violations")
-            if self.jdbc_url:
+            if self.jdbc_url or self.filter_path:
                 out = out.persist()
                 cached.append(out)
+            if self.filter_path:
+                write_filters(out, FRAUD_COLUMNS, self.filter_path.rstrip("/"), query_id, batch_id)
             # rows of a date together (large dates are split again at run time)
             (out.select(*STORED.names).hint("rebalance", "event_date")
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -167,3 +200,8 @@ class FraudTableWriter:
 def compact_fraud_table(spark: SparkSession, path: str, before: date) -> list[str]:
     """One file per date before ``before`` (``compaction.compact``)."""
     return compact(spark, path, before, STORED)
+
+
+def add_filters(spark: SparkSession, path: str, filter_path: str) -> None:
+    """Filters for what the table at ``path`` holds, before a writer uses them."""
+    rebuild_filters(read_fraud_table(spark, path), FRAUD_COLUMNS, filter_path.rstrip("/"))

@@ -100,11 +100,13 @@ def run_available_now(df: DataFrame, spark: SparkSession, name: str, processor:
 
 def run_pipeline(spark: SparkSession, tx: DataFrame, base: str, available_now: bool = False,
                  threshold: float = HIGH_VALUE_THRESHOLD, watermark: str = WATERMARK_DELAY,
-                 jdbc_url: str | None = None, jdbc_properties: dict | None = None, jdbc_table: str = "fraud_transactions"):
+                 jdbc_url: str | None = None, jdbc_properties: dict | None = None, jdbc_table: str = "fraud_transactions",
+                 filters: bool = False):
     """The full speed layer: fraud stream -> fraud table, all transactions ->
     validated files (rows breaking the fraud table's constraints go to
     ``fraud_quarantine/``); both streams are also registered as ``fraud_view`` and
-    ``transactions_view``.  Returns both queries
+    ``transactions_view``.  ``filters``: Bloom filters below ``fraud_filters/`` save
+    reading stored rows (a table written without: ``add_filters`` first).  Returns both queries
     (``spark.streams.awaitAnyTermination()`` waits for them)."""
     from tripwire.sources.views import register_views
     from tripwire.streaming.detect import stream_fraud
@@ -113,6 +115,7 @@ def run_pipeline(spark: SparkSession, tx: DataFrame, base: str, available_now: b
     fraud = stream_fraud(tx, watermark, threshold)
     register_views(fraud, tx)
     writer = FraudTableWriter(f"{base}/fraud", quarantine_path=f"{base}/fraud_quarantine",
+                              filter_path=f"{base}/fraud_filters" if filters else None,
                               jdbc_url=jdbc_url, jdbc_table=jdbc_table, jdbc_properties=jdbc_properties or {})
     fraud_q = start_fraud_sink(fraud, f"{base}/fraud", f"{base}/checkpoints/fraud",
                                available_now=available_now, writer=writer)
