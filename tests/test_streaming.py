@@ -219,3 +219,34 @@ def test_fraud_writer_quarantines_constraint_violations(spark):
     bad = spark.read.parquet(root + "/quarantine").collect()
     assert sorted((r["amount"], tuple(r["violations"])) for r in bad) == [
         (9500.0, ("location IS NULL",)), (9900.0, ("user_id LONGER THAN 50",))]
+
+
+def _stored_with(checkpoint):
+    """State store classes named in a checkpoint's first offset file."""
+    with open(os.path.join(checkpoint, "offsets", "0")) as fh:
+        conf = json.loads(fh.read().splitlines()[1])["conf"]
+    return conf["spark.sql.streaming.stateStore.providerClass"].rsplit(".", 1)[1]
+
+
+def test_state_is_not_kept_on_the_heap(spark, monkeypatch):
+    """Whatever the session's store: a heap map of ten windows an event fills the executors."""
+    from tripwire.streaming import run
+
+    root = tempfile.mkdtemp(prefix="store-", dir="/tmp")
+    _write_files(root, [[_payload("U1", "00:00:10", "US"), _payload("U1", "00:05:00", "UK")], [_payload("W", "01:00:00", "US")]])
+    key = "spark.sql.streaming.stateStore.providerClass"
+    heap = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    before = spark.conf.get(key)
+    spark.conf.set(key, heap)
+    paths = []
+    fresh = run.fresh_path
+    monkeypatch.setattr(run, "fresh_path", lambda s, name: paths.append(fresh(s, name)) or paths[-1])
+    try:
+        run_available_now(SD.stream_window_location_count(_stream(spark, root)), spark, "counts")
+        table, sink = (tempfile.mkdtemp(prefix="store-sink-", dir="/tmp") for _ in range(2))
+        start_fraud_sink(SD.stream_fraud(_stream(spark, root)), table, sink, available_now=True).awaitTermination()
+        assert spark.conf.get(key) == heap          # the session's own setting is left alone
+    finally:
+        spark.conf.set(key, before)
+    assert [_stored_with(p) for p in (paths[1], sink)] == ["RocksDBStateStoreProvider"] * 2
+    assert read_fraud_table(spark, table).count() == 2
