@@ -161,3 +161,31 @@ def test_state_rows(spark):
     aggregate = next(n for name, n in totals[0].items() if name == "stateStoreSave")
     (processor,) = [n for name, n in totals[1].items() if name.startswith("transformWithState")]
     assert 0 < processor * 5 <= aggregate, totals
+
+
+def test_partners_of_several_users():
+    user = np.array(["A", "A", "B", "B", "C"], dtype=object)
+    location = np.array(["US", "UK", "UK", "UK", "US"], dtype=object)
+    assert ST.has_partner(np.array([0, 5, 5, 6, 7]), location, 9, user).tolist() == [True, True, False, False, False]
+
+
+def test_exact_rule_holds_users_together(spark):
+    """The keys of the exact rule are bounded by its buckets, not by the users."""
+    key = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    before = spark.conf.get(key, None)
+    rows = [_payload(f"U{u}", f"00:{m:02d}:30", loc) for u in range(60) for m, loc in ((1, "US"), (5, "UK" if u % 2 else "US"))]
+    root, out = tempfile.mkdtemp(prefix="buckets-", dir="/tmp"), tempfile.mkdtemp(prefix="buckets-out-", dir="/tmp")
+    _write_files(root, [rows, [_payload("W", "03:00:00", "US")]])
+    spark.conf.set(key, "true")
+    try:
+        with processor_state(spark):
+            q = (ST.stream_travel_exact(_stream(spark, root), buckets=4).writeStream.format("parquet").option("path", out + "/t")
+                 .option("checkpointLocation", out + "/c").trigger(availableNow=True).start())
+            q.awaitTermination()
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+    # per key: its events and one timer (kept in two column families)
+    most = max(op["numRowsTotal"] for p in q.recentProgress for op in p["stateOperators"])
+    assert 0 < most <= 4 * 3
+    got = Counter(r.user_id for r in spark.read.parquet(out + "/t").collect())
+    assert got == {f"U{u}": 2 for u in range(1, 60, 2)}

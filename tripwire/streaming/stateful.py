@@ -8,11 +8,13 @@ the windows just closed were flagged, and the events of that minute (held once
 each by the join) are emitted that often: the rows of ``stream_impossible_travel``.
 
 ``stream_travel_exact``: the pairwise rule (another country at most ``gap`` away).
-State holds a user's events of a span of days and of ``gap`` around it.  An event is
+State holds the events of some users (those of a hash bucket) of a span of days and of
+``gap`` around it: a call of the processor costs about a millisecond whatever its rows,
+so that one call per user is most of the work.  An event is
 emitted as soon as a partner is known, before or after it; a timer releases it
 when ``gap`` has passed below the watermark and no partner can follow.  Events
 near the border of a span go to both spans, and only their own emits them, so
-one key holds at most a span of one user whatever the backlog.
+one key holds at most a span of a bucket's users whatever the backlog.
 
 (Column names of a processor's input may not begin with an underscore.)
 
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -38,7 +40,8 @@ from tripwire.config import (MICROS_PER_MINUTE, MICROS_PER_SECOND, REASON_TRAVEL
 from tripwire.functions.timecols import DAY, micros, minute_of, ts_of
 
 _MILLI = 1_000
-SPAN_DAYS = 7               # a key of the exact rule holds at most so many days of a user
+SPAN_DAYS = 7               # a key of the exact rule holds at most so many days of its users
+BUCKETS = 4096              # of users, in the exact rule: more, where a bucket's open events grow large
 
 _NEVER = -(1 << 62)
 
@@ -132,29 +135,31 @@ def stream_travel_stateful(tx: DataFrame, delay: str = WATERMARK_DELAY) -> DataF
             .drop("_copy"))
 
 
-_COLUMNS = ("us", "location", "merchant_category", "amount", "waits")
+_COLUMNS = ("user_id", "us", "location", "merchant_category", "amount", "waits")
 _HELD = T.StructType([*[T.StructField(n, T.ArrayType(t)) for n, t in zip(
-    _COLUMNS, (T.LongType(), T.StringType(), T.StringType(), T.DoubleType(), T.BooleanType()))], T.StructField("timer", T.LongType())])
+    _COLUMNS, (T.StringType(), T.LongType(), T.StringType(), T.StringType(), T.DoubleType(), T.BooleanType()))], T.StructField("timer", T.LongType())])
 _FOUND = T.StructType([T.StructField("user_id", T.StringType()), T.StructField("us", T.LongType()),
                        T.StructField("merchant_category", T.StringType()), T.StructField("amount", T.DoubleType()),
                        T.StructField("location", T.StringType())])
 
 
-def has_partner(us: np.ndarray, location: np.ndarray, gap: int) -> np.ndarray:
-    """Which events, in time order, have one elsewhere at most ``gap`` away.  The
-    nearest such event is the last of the run of locations before or the first of
-    the run after."""
+def has_partner(us: np.ndarray, location: np.ndarray, gap: int, user: np.ndarray | None = None) -> np.ndarray:
+    """Which events, in time order (of each ``user``, whose events follow each
+    other), have one elsewhere at most ``gap`` away.  The nearest such event is the
+    last of the run of locations before or the first of the run after."""
     n = len(us)
-    starts = np.flatnonzero(np.concatenate([[True], location[1:] != location[:-1]]))
+    user = np.zeros(n, dtype=np.int64) if user is None else user
+    starts = np.flatnonzero(np.concatenate([[True], (location[1:] != location[:-1]) | (user[1:] != user[:-1])]))
     run = np.repeat(np.arange(len(starts)), np.diff(starts, append=n))
     first, following = starts[run], np.append(starts, n)[run + 1]
-    before = (first > 0) & (us - us[np.maximum(first - 1, 0)] <= gap)
-    after = (following < n) & (us[np.minimum(following, n - 1)] - us <= gap)
+    last, nearest = np.maximum(first - 1, 0), np.minimum(following, n - 1)
+    before = (first > 0) & (user[last] == user) & (us - us[last] <= gap)
+    after = (following < n) & (user[nearest] == user) & (us[nearest] - us <= gap)
     return before | after
 
 
 class PairRelease(StatefulProcessor):
-    """Per user and span: events that wait for a partner, and those that may be one."""
+    """Per bucket of users and span: events that wait for a partner, and those that may be one."""
 
     def __init__(self, gap: int):
         self.gap = gap
@@ -167,24 +172,22 @@ class PairRelease(StatefulProcessor):
         held = self.held.get()
         return ([], None) if held is None else (list(zip(*held[:-1])), held[-1])
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         events, timer = self._load()
-        for batch in rows:
-            columns = [batch[n].astype(object).where(batch[n].notna(), None).tolist() for n in _COLUMNS]
-            events.extend(zip(*columns))
-        yield from self._decide(key, events, timer, timerValues)
+        events.extend(tuple(row)[-len(_COLUMNS):] for row in rows)
+        yield from self._decide(events, timer, timerValues)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._decide(key, self._load()[0], None, timerValues)
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._decide(self._load()[0], None, timerValues)
 
-    def _decide(self, key, events: list[tuple], timer: int | None, timerValues) -> Iterator[pd.DataFrame]:
-        events.sort(key=lambda e: e[:2])
-        us = np.array([e[0] for e in events], dtype=np.int64)
-        paired = has_partner(us, np.array([e[1] for e in events], dtype=object), self.gap).tolist() if events else []
-        found = [e for e, with_partner in zip(events, paired) if with_partner and e[4]]
+    def _decide(self, events: list[tuple], timer: int | None, timerValues) -> Iterator[Row]:
+        events.sort(key=lambda e: e[:3])
+        user, us, location = (np.array([e[i] for e in events], dtype=t) for i, t in enumerate((object, np.int64, object)))
+        paired = has_partner(us, location, self.gap, user).tolist() if events else []
+        found = [e for e, with_partner in zip(events, paired) if with_partner and e[5]]
         now = timerValues.getCurrentWatermarkInMs() * _MILLI
-        kept = [(*e[:4], e[4] and not with_partner) for e, with_partner in zip(events, paired) if e[0] + self.gap >= now]
-        following = (max(kept[0][0] + self.gap, now) // _MILLI + 1) if kept else None
+        kept = [(*e[:5], e[5] and not with_partner) for e, with_partner in zip(events, paired) if e[1] + self.gap >= now]
+        following = (max(min(e[1] for e in kept) + self.gap, now) // _MILLI + 1) if kept else None
         if timer is not None and timer != following:
             self.handle.deleteTimer(timer)
         if kept:
@@ -193,17 +196,16 @@ class PairRelease(StatefulProcessor):
                 self.handle.registerTimer(following)
         else:
             self.held.clear()
-        if found:
-            times, location, category, amount, _ = zip(*found)
-            yield pd.DataFrame({"user_id": [key[0]] * len(found), "us": times, "merchant_category": category,
-                                "amount": np.array(amount, dtype=np.float64), "location": location})
+        for user_id, at, place, category, amount, _ in found:
+            # NaN counts as missing
+            yield Row(user_id=user_id, us=at, merchant_category=category, amount=None if amount != amount else amount, location=place)
 
     def close(self) -> None:
         pass
 
 
 def stream_travel_exact(tx: DataFrame, delay: str = WATERMARK_DELAY, gap_seconds: int = TRAVEL_GAP_SECONDS,
-                        span_days: int = SPAN_DAYS) -> DataFrame:
+                        span_days: int = SPAN_DAYS, buckets: int = BUCKETS) -> DataFrame:
     """Events with another of the same user elsewhere at most ``gap_seconds`` away, each once."""
     gap = gap_seconds * MICROS_PER_SECOND
     us = micros(F.col("timestamp"))
@@ -212,10 +214,10 @@ def stream_travel_exact(tx: DataFrame, delay: str = WATERMARK_DELAY, gap_seconds
     reach = F.sequence(F.floor((us - gap) / span).cast("long"), F.floor((us + gap) / span).cast("long"))
     known = F.col("user_id").isNotNull() & F.col("timestamp").isNotNull() & F.col("location").isNotNull()
     spread = (tx.filter(known).withWatermark("timestamp", delay)
-              .select("user_id", "timestamp", us.alias("us"), "merchant_category", "amount", "location", own.alias("own"),
-                      F.explode(reach).alias("span"))
+              .select(F.pmod(F.xxhash64("user_id"), F.lit(buckets)).alias("bucket"), F.explode(reach).alias("span"), "timestamp",
+                      own.alias("own"), "user_id", us.alias("us"), "location", "merchant_category", "amount")
               .withColumn("waits", F.col("own") == F.col("span")).drop("own"))
-    return (spread.groupBy("user_id", "span")
-            .transformWithStateInPandas(PairRelease(gap), _FOUND, "Append", "EventTime")
+    return (spread.groupBy("bucket", "span")
+            .transformWithState(PairRelease(gap), _FOUND, "Append", "EventTime")
             .select("user_id", ts_of(F.col("us")).alias("timestamp"), "merchant_category", "amount", "location",
                     F.lit(REASON_TRAVEL).alias("fraud_reason")))
