@@ -189,3 +189,18 @@ def test_exact_rule_holds_users_together(spark):
     assert 0 < most <= 4 * 3
     got = Counter(r.user_id for r in spark.read.parquet(out + "/t").collect())
     assert got == {f"U{u}": 2 for u in range(1, 60, 2)}
+
+
+def test_minutes_of_one_place_are_not_tested_window_by_window():
+    class Counted(dict):
+        looked = 0
+
+        def __contains__(self, m):
+            Counted.looked += 1
+            return super().__contains__(m)
+
+    minutes = Counted({m * MIN: ("US", "US") for m in range(0, 2000, 5)})
+    minutes[501 * MIN] = ("UK", "UK")
+    flags = ST.flagged_windows(minutes, -1, 3000 * MIN)
+    assert set(flags) == {m * MIN for m in range(492, 515) if flags.get(m * MIN)} and flags[501 * MIN] == 10
+    assert Counted.looked < 1000

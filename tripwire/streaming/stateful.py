@@ -58,7 +58,24 @@ def flagged_windows(minutes: dict[int, tuple[str, str]], after: int, until: int,
     in ``(after, until]`` and cover it have more than one location.  Minutes
     without an event count, too: one that is late for a closed window may follow."""
     step, out, decided = MICROS_PER_MINUTE, {}, set()
-    for minute in minutes:
+    ordered = sorted(minutes)
+    for i, minute in enumerate(ordered):
+        # a window with two locations either holds a minute with two, or two minutes that differ:
+        # without either in reach of this minute, none of its windows is flagged
+        lo, hi = minutes[minute]
+        if lo == hi:
+            alike = True
+            for near in (range(i + 1, len(ordered)), range(i - 1, -1, -1)):
+                for j in near:
+                    if abs(ordered[j] - minute) >= length * step:
+                        break
+                    if minutes[ordered[j]] != (lo, lo):
+                        alike = False
+                        break
+                if not alike:
+                    break
+            if alike:
+                continue
         for end in range(minute + step, minute + (length + 1) * step, step):
             if not after < end <= until or end in decided:
                 continue
