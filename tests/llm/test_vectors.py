@@ -172,3 +172,43 @@ def test_search_that_does_not_end_fails(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
     with pytest.raises(RuntimeError, match="open nodes"):
         N.nearest(df, F.col("vec_id") % 20 == 0, beam=40, search_rounds=0)
+
+
+def recall_of(x, found):
+    queries = np.arange(0, len(x), 20)
+    scores = x[queries].astype(float) @ x.T.astype(float)
+    scores[np.arange(len(queries)), queries] = -np.inf
+    want = np.argsort(-scores, axis=1)[:, :20]
+    return np.mean([len(found.get(q, set()) & set(w.tolist())) / 20 for q, w in zip(queries.tolist(), want)])
+
+
+def test_recall_beside_one_very_long_vector(spark):
+    """One outlier does not make the codes of all other vectors the same."""
+    x = np.random.default_rng(1).normal(size=(2000, 32)).astype(np.float32)
+    x[7] *= 1000
+    got = N.nearest(frame(spark, x), F.col("vec_id") % 20 == 0).toPandas().groupby("query_id").vec_id.apply(set)
+    assert recall_of(x, got) >= 0.92
+
+
+def test_few_rows_in_groups_of_unequal_norms(spark):
+    """Fewer rows than a beam holds: groups of near vectors, the nearest of some in other groups."""
+    rng = np.random.default_rng(4)
+    x = np.repeat(np.eye(30) * 5, 6, axis=0) + rng.normal(size=(180, 30)) * 0.01
+    x = (x * rng.uniform(0.2, 3, size=(180, 1))).astype(np.float32)
+    got = N.nearest(frame(spark, x), F.col("vec_id") % 20 == 0).toPandas().groupby("query_id").vec_id.apply(set)
+    assert recall_of(x, got) >= 0.92
+
+
+def test_beams_without_a_graph_are_checked(spark):
+    """No links to follow, and a query without a beam: all nodes are scored."""
+    x = np.random.default_rng(2).normal(size=(300, 8)).astype(np.float32)
+    nodes = frame(spark, x).select(F.col("vec_id").alias("node"), "embedding")
+    queries = nodes.filter(F.col("node") % 20 == 0).select(
+        F.col("node").alias("query"), F.col("node").alias("entry"), F.col("embedding").alias("vector"))
+    graph = (nodes.filter("node != 40").withColumn("others", F.array("node")).select("node", "others"))
+    beams = N.search(queries, nodes, graph, len(x), 32)
+    assert N.measured_recall(queries, nodes, beams, 21) < 0.1
+    full = N.widened_search(queries, nodes, graph, len(x), 32, 50, 21)
+    assert N.measured_recall(queries, nodes, full, 21) == 1.0 and full.count() == 15
+    got = {r.query: set(r.ids[:21]) - {r.query} for r in full.collect()}
+    assert recall_of(x, got) == 1.0
