@@ -31,23 +31,30 @@ from llm.common import saved, text_groups
 
 ROOM = 1024
 END_ID = 2
-CACHED_WORDS = 250_000       # words a worker remembers; others are encoded again
+CACHED_WORDS = 250_000       # odd words a worker remembers; others are encoded again
+LONG_WORD = 64               # characters; longer words are not remembered
+GATHERED_WORDS = 250_000     # words whose ids are put in place at once
+GROUP_CHARS = 4_000_000      # of the texts encoded in one call: the larger, the fewer words are encoded again
 SPECIAL = "<|endoftext|>"       # the vocabulary's one special token
 # A blank next to other white space on both sides (or at the end) is no safe place to split.
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
 # Characters that the two libraries' patterns might class differently.
 _RARE = re.compile("[\u0250-\U0010ffff]")
+# Words that are encoded by themselves (for Arrow): empty ones, those that begin with white space, those with rare characters.
+_ODD = r"^$|^[\t-\r\x1c-\x20\x{85}\x{a0}]|[\x{250}-\x{10ffff}]"
 
 
 class Encoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    Word splitting never crosses a blank that follows a non-blank, so a text is
-    cut at its blanks and the ids of each chunk are remembered.  ``vocabulary``
-    is a ``tokenizers`` file; ``ranks`` the same vocabulary as merge ranks,
-    whose faster library takes the chunks of familiar characters.  New words of
-    a group of texts are encoded in one call, and their ids told apart by the
-    byte lengths of the tokens.
+    Word splitting never crosses a blank that follows a non-blank, so the texts
+    of a call are cut at their blanks, and each different word is encoded once a
+    call.  ``vocabulary`` is a ``tokenizers`` file; ``ranks`` the same vocabulary
+    as merge ranks, whose faster library takes all words of familiar characters
+    in one text; their ids are told apart by the byte lengths of the tokens.
+    Arrow and numpy split the texts and put the ids in place, so that no Python
+    step is taken per word; only words with rare characters or white space in
+    front are taken one by one, and remembered.
     """
 
     def __init__(self, vocabulary: str | None = None, ranks: str | None = None):
@@ -76,24 +83,67 @@ class Encoder:
             return self._encode_full(text)
         return self.fast.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
 
-    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of each word with a blank before it."""
-        out = {w: self._encode(" " + w) for w in words if not w or _RARE.search(w) or w.split() != [w]}
-        plain = [w for w in words if w not in out]
-        for at in range(0, len(plain), 20_000):
-            part = plain[at:at + 20_000]
-            ids = self.fast.encode_to_numpy(" " + " ".join(part)).astype("<u4", copy=False)
-            ends = np.cumsum([len(w.encode()) + 1 for w in part])
-            stops = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends) + 1
-            raw, start = ids.tobytes(), 0
-            for w, stop in zip(part, (4 * stops).tolist()):
-                out[w] = raw[start:stop]
-                start = stop
+    def _encode_odd(self, words: list[str]) -> list[bytes]:
+        """Ids of each word with a blank before it, word by word; short ones are remembered."""
+        out = []
+        for word in words:
+            ids = self.known.get(word)
+            if ids is None:
+                ids = self._encode(" " + word)
+                if len(word) <= LONG_WORD and len(self.known) < CACHED_WORDS:
+                    self.known[word] = ids
+            out.append(ids)
         return out
 
+    def _encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all the words with a blank before each, and every word's number of ids."""
+        odd = pa.compute.match_substring_regex(words, _ODD)
+        plain, rest = words.filter(pa.compute.invert(odd)), words.filter(odd).to_pylist()
+        ids, sizes = np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
+        if len(plain):
+            text = pa.compute.binary_join(pa.ListArray.from_arrays([0, len(plain)], plain), pa.scalar(" ", plain.type))[0].as_py()
+            ids = self.fast.encode_to_numpy(" " + text).astype("<u4", copy=False)
+            ends = np.cumsum(pa.compute.binary_length(plain).to_numpy() + 1)
+            sizes = np.diff(np.searchsorted(np.cumsum(self.token_bytes[ids]), ends) + 1, prepend=0)
+        if rest:
+            found = self._encode_odd(rest)
+            odd = odd.to_numpy(zero_copy_only=False)
+            own = np.empty(len(words), dtype=np.int64)
+            own[~odd], own[odd] = sizes, [len(f) // 4 for f in found]
+            stops = np.cumsum(own)
+            mixed = np.empty(stops[-1], dtype="<u4")
+            is_odd = np.repeat(odd, own)
+            mixed[~is_odd], mixed[is_odd] = ids, np.frombuffer(b"".join(found), dtype="<u4")
+            ids, sizes = mixed, own
+        return ids, sizes
+
+    def _encode_split(self, texts: list[str]) -> list[bytes]:
+        """Texts whose every blank is a place to split: each of their words is encoded once."""
+        lists = pa.compute.split_pattern(pa.array(texts, pa.large_string()), " ")
+        spelled = lists.flatten().dictionary_encode()
+        ids, sizes = self._encode_words(spelled.dictionary)
+        # a text's first word has no blank before it: an entry of its own after those of the words
+        firsts = [text[:text.index(" ")] if " " in text else text for text in texts]
+        heads = [self._encode(word) if word else b"" for word in firsts]
+        ids = np.concatenate([ids, np.frombuffer(b"".join(heads), dtype="<u4")])
+        sizes = np.concatenate([sizes, np.array([len(h) // 4 for h in heads], dtype=np.int64)])
+        starts = np.cumsum(sizes) - sizes
+        cuts = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(lists).to_numpy())])
+        word = spelled.indices.to_numpy().copy()
+        word[cuts[:-1]] = len(spelled.dictionary) + np.arange(len(texts))
+        ends = np.concatenate([[0], np.cumsum(sizes[word])])
+        out = np.empty(ends[-1], dtype="<u4")
+        for at in range(0, len(word), GATHERED_WORDS):
+            part, first = word[at:at + GATHERED_WORDS], ends[at]
+            last = ends[at + len(part)]
+            shift = starts[part] - (ends[at:at + len(part)] - first)
+            out[first:last] = ids[np.arange(last - first) + np.repeat(shift, sizes[part])]
+        places = ends[cuts].tolist()
+        return [out[a:b].tobytes() for a, b in zip(places, places[1:])]
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         out = [b""] * len(texts)
-        split: dict[int, list[str]] = {}
+        split = []
         for j, text in enumerate(texts):
             if not text:
                 continue
@@ -102,19 +152,10 @@ class Encoder:
             elif _UNSAFE.search(text):
                 out[j] = self._encode(text)
             else:
-                split[j] = text.split(" ")
-        new = set().union(*split.values()).difference(self.known)
-        found = self._encode_words(list(new))
-        room = CACHED_WORDS - len(self.known)
-        if len(found) <= room:
-            self.known.update(found)
-            find = self.known.__getitem__
-        else:
-            self.known.update(list(found.items())[:max(0, room)])
-            known = self.known
-            find = lambda w: known.get(w) or found[w]
-        for j, words in split.items():
-            out[j] = (self._encode(words[0]) if words[0] else b"") + b"".join(map(find, words[1:]))
+                split.append(j)
+        if split:
+            for j, ids in zip(split, self._encode_split([texts[j] for j in split])):
+                out[j] = ids
         return out
 
 
@@ -149,7 +190,7 @@ def token_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", room:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, task = encoder(vocabulary, ranks), TaskContext.get().partitionId()
         seen = np.zeros(room + 1, dtype=np.int64)
-        for part, texts in text_groups(batches, text):
+        for part, texts in text_groups(batches, text, GROUP_CHARS):
             rows, source = [], []
             for j, ids in enumerate(encode(texts)):
                 ids += end

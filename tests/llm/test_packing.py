@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -41,6 +43,34 @@ def test_encoder_beyond_its_memory(monkeypatch):
         assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts)] == [ids_of(t) for t in texts]
 
 
+@given(st.lists(st.text(alphabet="ab 1.'s\n\t é\x1c\x85\xa0ɏɐ日", max_size=30), max_size=6))
+@settings(max_examples=200, deadline=None)
+def test_ids_are_put_in_place_in_steps(texts):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(K, "GATHERED_WORDS", 2)
+        assert [np.frombuffer(b, "<u4").tolist() for b in ENCODE(texts)] == [ids_of(t) for t in texts]
+
+
+def test_many_different_words_cost_far_less_than_whole_texts():
+    rng = random.Random(3)
+    parts = "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le".split()
+    words = ["".join(rng.choices(parts, k=rng.randint(2, 6))) for _ in range(300_000)]
+    common = words[:3000]
+    texts = [" ".join(rng.choice(common) if rng.random() < 0.7 else rng.choice(words) for _ in range(500)) for _ in range(1000)]
+    took = {"whole": [], "words": []}
+    for _ in range(3):
+        encode = K.Encoder()
+        start = time.process_time()
+        got = encode(texts)
+        took["words"].append(time.process_time() - start)
+        start = time.process_time()
+        expected = [encode._encode(t) for t in texts]
+        took["whole"].append(time.process_time() - start)
+        assert got == expected
+        assert not encode.known         # no familiar word is held
+    assert min(took["words"]) < 0.65 * min(took["whole"]), took
+
+
 @given(st.integers(1, 60).flatmap(lambda room: st.tuples(
     st.just(room), st.dictionaries(st.integers(1, room), st.integers(1, 40), max_size=12))))
 @settings(max_examples=300, deadline=None)
