@@ -207,9 +207,14 @@ def amount_density_binned(fraud: DataFrame, points: int = DENSITY_GRID_POINTS, b
     """
     rng = _amount_range(fraud).filter(F.col("sd") > 0)
     bw = F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
-    params = F.broadcast(rng.select("n", "lo", "hi", bw.alias("bw"), ((F.col("hi") - F.col("lo")) / (points - 1)).alias("step")))
+    params = rng.select(F.struct("n", "lo", "hi", bw.alias("bw"), ((F.col("hi") - F.col("lo")) / (points - 1)).alias("step"))).scalar()
+
+    def with_params(rows: DataFrame) -> DataFrame:
+        """``rows`` beside the one row of parameters; none without a spread."""
+        return rows.select("*", params.alias("_p")).filter(F.col("_p").isNotNull()).select(*rows.columns, "_p.*")
+
     position = (F.col("amount") - F.col("lo")) / F.col("bw") * cells_per_bandwidth
-    cells = (fraud.filter(present("amount").isNotNull()).select("amount").crossJoin(params)
+    cells = (with_params(fraud.filter(present("amount").isNotNull()).select("amount"))
              .select(F.floor(position).alias("cell"), (position - F.floor(position)).alias("_up"))
              .groupBy("cell").agg(F.count(F.lit(1)).alias("_c"), F.sum("_up").alias("_up")))
     ends = (cells.select(F.explode(F.array(
@@ -220,11 +225,11 @@ def amount_density_binned(fraud: DataFrame, points: int = DENSITY_GRID_POINTS, b
     first = F.greatest(F.ceil((offset - F.col("bw") * reach) / F.col("step")), F.lit(0))
     last = F.least(F.floor((offset + F.col("bw") * reach) / F.col("step")), F.lit(points - 1))
     z = (F.col("point") * F.col("step") - F.col("offset")) / F.col("bw")
-    near = (ends.crossJoin(params)
+    near = (with_params(ends)
             .select("w", "bw", "step", offset.alias("offset"),
                     F.explode(F.when(first <= last, F.sequence(first, last))).alias("point"))
             .groupBy(F.col("point").cast("int").alias("point")).agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("_k")))
-    grid = fraud.sparkSession.range(points).select(F.col("id").cast("int").alias("point")).crossJoin(params)
+    grid = with_params(fraud.sparkSession.range(points).select(F.col("id").cast("int").alias("point")))
     density = F.coalesce(F.col("_k"), F.lit(0.0)) / (F.col("n") * F.col("bw") * F.lit((2 * 3.141592653589793) ** 0.5))
     return (grid.join(F.broadcast(near), "point", "left")
             .select("point", (F.col("lo") + F.col("point") * F.col("step")).alias("amount"), density.alias("density"),

@@ -99,12 +99,12 @@ def merged_summary(spark: SparkSession, root: str, first: str | None = None, las
     ).filter(F.col("total_fraud_transactions") > 0)
     counted = (_between(spark.read.schema(VALUES).parquet(f"{root}/values"), first, last)
                .groupBy("column", "value").agg(F.sum("n").alias("n")))
-    common = counted.agg(*[
+    common = counted.agg(F.struct(*[
         F.min(F.when(F.col("column") == c, F.struct((-F.col("n")).alias("n"), "value")))["value"].alias(f"_{c}")
-        for c in COUNTED])
+        for c in COUNTED])).scalar()
     median = F.when(F.col("_amounts") > 0, quantile(F.col("_quantiles"), 0.5))
-    return (head.crossJoin(F.broadcast(common))
+    return (head.select("*", common.alias("_common"))
             .select("total_fraud_transactions", "total_fraud_amount", "average_fraud_amount",
                     round2(median).alias("median_fraud_amount"), "max_fraud_amount", "unique_users_affected",
-                    F.col("_merchant_category").alias("most_common_category"),
-                    F.col("_fraud_reason").alias("most_common_reason")))
+                    F.col("_common._merchant_category").alias("most_common_category"),
+                    F.col("_common._fraud_reason").alias("most_common_reason")))
