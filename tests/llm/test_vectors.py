@@ -212,3 +212,46 @@ def test_beams_without_a_graph_are_checked(spark):
     assert N.measured_recall(queries, nodes, full, 21) == 1.0 and full.count() == 15
     got = {r.query: set(r.ids[:21]) - {r.query} for r in full.collect()}
     assert recall_of(x, got) == 1.0
+
+
+def test_op6_of_all_pairs_in_few_jobs(spark, as_tables):
+    """Exact, equal scores by id also at the last rank, without rounds of joins."""
+    x = np.random.default_rng(6).integers(-1, 2, size=(1500, 12)).astype(np.float32)
+    x = x[x.any(axis=1)]
+    spark.sparkContext.setJobGroup("op6", "op6")
+    got = N.op6_nearest(spark, as_tables(embeddings=frame(spark, x))).toPandas()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("op6"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < jobs <= 40
+    expected = plain_nearest(x, np.arange(len(x)), range(0, len(x), 20))
+    found = {q: list(zip(rows.vec_id, rows.score)) for q, rows in got.sort_values("rank").groupby("query_id")}
+    assert found == expected
+
+
+def test_all_pairs_of_any_magnitude_in_chunks(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    x = (rng.normal(size=(700, 12)) * 10.0 ** rng.uniform(-15, 15, size=(700, 1))).astype(np.float32)
+    monkeypatch.setattr(N, "CHUNK", 120)
+    got = N.nearest(frame(spark, x), F.col("vec_id") % 20 == 0, scanned=N.SCANNED).toPandas()
+    expected = plain_nearest(x, np.arange(len(x)), range(0, len(x), 20))
+    assert set(got.query_id) == set(expected)
+    for q, rows in got.sort_values("rank").groupby("query_id"):
+        np.testing.assert_allclose(rows.score, [s for _, s in expected[q]], rtol=1e-11)
+    assert N.nearest(frame(spark, x), F.lit(False), scanned=N.SCANNED).count() == 0
+
+
+def test_all_pairs_in_products_of_any_size(monkeypatch):
+    rng = np.random.default_rng(8)
+    v = rng.permutation(np.unique(rng.integers(-3, 4, size=(900, 4)), axis=0)).astype(float)
+    v = v[v.any(axis=1)]
+    batches = [N.pa.RecordBatch.from_arrays([N.pa.array(np.arange(a, a + len(p))), N._lists(p.ravel(), np.arange(len(p)) * 4)],
+                                            names=["node", "embedding"]) for a in range(0, len(v), 70) for p in [v[a:a + 70]]]
+    wanted = [np.lexsort((np.arange(len(v)), -(v * q).sum(axis=1)))[:9].tolist() for q in v[:100]]
+    for values, width in ((1 << 20, 512), (1000, 7), (4, 1)):
+        monkeypatch.setattr(N, "SCAN_VALUES", values)
+        monkeypatch.setattr(N, "SCAN_QUERIES", width)
+        (found,) = N._scan(np.arange(100), v[:100], 9)(iter(batches))
+        assert found.column("ids").to_pylist() == wanted
+    (few,) = N._scan(np.arange(100), v[:100], 90)(iter(batches[:1]))
+    assert {len(i) for i in few.column("ids").to_pylist()} == {70}
+    assert not list(N._scan(np.arange(100), v[:100], 9)(iter(())))
